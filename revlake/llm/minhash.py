@@ -5,9 +5,9 @@
 2. Bands of ``ROWS`` minima are the keys of candidate buckets. What stays of the minima is their lowest ``BITS`` bits, packed.
 3. Buckets with more than one class give candidate pairs. A pair's equal lanes, counted by XOR and popcount and corrected for chance
    (2**-BITS), estimate its similarity; pairs that can't reach the threshold within ``MARGIN`` go. The others are confirmed on the full sets.
-   Small buckets give all their pairs. In a large bucket, blocks of ``BLOCK`` members are compared with each other inside tasks. At first each
-   member sends only its best partner outside its own component; once these pairs are confirmed the components have grown, and the last
-   round sends every pair left that spans two components. Links inside a component can't change it, so none that matters is lost.
+   Small buckets give all their pairs, which are joined with the sets. Large buckets are dealt out as pairs of blocks of ``BLOCK`` members with their
+   sets; a task confirms pairs from the most to the least similar and skips those that its confirmed links connect already, as they
+   can't change a component. It sends a spanning forest, so rows grow with members, not with pairs. Buckets of the same members count once.
 4. Components of the confirmed links give each document its smallest reachable id.
 
 Nulls: a text that is null or has no word has an empty set and is linked with nothing. Rows with a null id are linked with nothing: their component
@@ -39,8 +39,6 @@ BANDS = 36
 MARGIN = 0.12
 #: Buckets up to this size give all pairs at once; larger ones are compared in blocks.
 SMALL, BLOCK = 6, 512
-#: Rounds in which members of large buckets send their best partner only.
-BEST_ROUNDS = 3
 
 _rng = np.random.default_rng(20_004)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -155,44 +153,56 @@ def estimated(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())]))
 def overlap(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Sizes of intersection and union of full sets."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        shared = len(x) + len(y) - len(np.union1d(x, y))
-        out.append((shared, len(x) + len(y) - shared))
+    out = [shared_and_total(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)]
     return pd.DataFrame(out, columns=["shared", "total"])
 
 
-def _block_pairs(rows: DataFrame, id_type: T.DataType, floor: float, everything: bool) -> DataFrame:
-    """Pairs of large buckets that span two components: of each member the best one, or all. ``rows``: key, size, id, label, sig."""
+def shared_and_total(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
+    """Sizes of intersection and union of two sorted arrays without repeats."""
+    both = np.concatenate((x, y))
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared, len(both) - shared
+
+
+def _forests(rows: DataFrame, id_type: T.DataType, floor: float, percent: int) -> DataFrame:
+    """Spanning forests of the links in large buckets. ``rows``: key, size, id, sig, shingles."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
     dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "sig")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "sig", "shingles")
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         i, j = g["i"].iloc[0], g["j"].iloc[0]
-        a, b = g[g["own"] == i], g[g["own"] == j]
-        sig_b = np.frombuffer(b"".join(b["sig"]), np.uint8).reshape(len(b), -1)
-        lab_b, id_b = b["label"].to_numpy(), b["id"].to_numpy()
-        found, best = [], np.full(len(b), -1.0)
-        best_of = np.zeros(len(b), id_b.dtype)
-        for x, lab, sig in zip(a["id"], a["label"], a["sig"], strict=True):
-            est = agreement(np.frombuffer(sig, np.uint8), sig_b) if len(b) else np.zeros(0)
-            est = np.where(lab_b == lab, -1, est)
-            if everything:
-                found += [(x, y) for y in id_b[est >= floor]]
-                continue
-            if len(est) and est.max() >= floor:
-                found.append((x, id_b[est.argmax()]))
-            better = est > best
-            best[better], best_of[better] = est[better], x
-        if not everything and i != j:
-            found += list(zip(best_of[best >= floor], id_b[best >= floor], strict=True))
+        g = g.sort_values("own", kind="stable")
+        ids, n, first = g["id"].tolist(), len(g), int((g["own"] == i).sum())
+        sigs = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(n, -1)
+        sets = [np.frombuffer(x, np.uint64) for x in g["shingles"]]
+        root = list(range(n))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        at, to, est = [], [], []
+        for x in range(first if i != j else n):
+            low = first if i != j else x + 1
+            e = agreement(sigs[x], sigs[low:])
+            near = np.flatnonzero(e >= floor)
+            at.append(np.full(len(near), x, np.int32)), to.append((near + low).astype(np.int32)), est.append(e[near].astype(np.float32))
+        at, to, est = np.concatenate(at), np.concatenate(to), np.concatenate(est)
+        found = []
+        for k in np.argsort(-est, kind="stable").tolist():
+            x, y = top(int(at[k])), top(int(to[k]))
+            if x != y:
+                shared, total = shared_and_total(sets[at[k]], sets[to[k]])
+                if 100 * shared >= percent * total:
+                    root[max(x, y)] = min(x, y)
+                    found.append((ids[at[k]], ids[to[k]]))
         return pd.DataFrame(found, columns=["a", "b"])
 
-    pairs = dealt.groupBy("key", "i", "j").applyInPandas(compare, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+    return dealt.groupBy("key", "i", "j").applyInPandas(compare, T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
 
 
 def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = round(100 * SIMILARITY)) -> DataFrame:
@@ -216,36 +226,21 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     lanes_of = lambda c: lanes.select(F.col("id").alias(c), F.col("sig").alias(f"sig_{c}"))
     sets_by = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stored(pairs, f"{at}/{name}-candidates")
-        both = pairs.join(sets_by("a").hint("merge"), "a").join(sets_by("b").hint("merge"), "b")
-        o = overlap("set_a", "set_b")
-        return stored(both.select("a", "b", o.alias("o")).filter((100 * F.col("o.shared") >= percent * F.col("o.total")) & (F.col("o.total") > 0)).select("a", "b"), f"{at}/{name}-links")
-
     # Small buckets: all pairs, at most SMALL * (SMALL - 1) / 2 of each.
     two = buckets.filter("size = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
     few = shared.filter(f"size > 2 and size <= {SMALL}").select("key", "id")
     more = few.alias("x").join(few.alias("y"), "key").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     first = stored(two.unionByName(more).distinct(), f"{at}/pairs")
     first = first.join(lanes_of("a").hint("merge"), "a").join(lanes_of("b").hint("merge"), "b").withColumn("est", estimated("sig_a", "sig_b")).filter(F.col("est") >= floor).select("a", "b")
-    links = confirmed(first, "small")
-    large = stored(shared.filter(f"size > {SMALL}").join(lanes.hint("merge"), "id").select("key", "size", "id", "sig"), f"{at}/large")
-    tried: DataFrame | None = None
-    labels = stored(components(links), f"{at}/labels-0")
-    for k in range(BEST_ROUNDS + 1):
-        labelled = large.join(labels.withColumnsRenamed({"node": "id"}).hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        spanning = stored(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), f"{at}/spanning-{k}")
-        if not spanning.limit(1).count():
-            break
-        rows = labelled.join(spanning.hint("merge"), "key", "left_semi").select("key", "size", "id", "label", "sig")
-        pairs = _block_pairs(rows, id_type, floor, k == BEST_ROUNDS)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        found = confirmed(pairs, f"round-{k}")
-        candidates = spark.read.schema(links.schema).parquet(f"{at}/round-{k}-candidates")
-        tried = candidates if tried is None else tried.unionByName(candidates)
-        links = links.unionByName(found)
-        labels = stored(components(links), f"{at}/labels-{k + 1}")
+    both = first.join(sets_by("a").hint("merge"), "a").join(sets_by("b").hint("merge"), "b").select("a", "b", overlap("set_a", "set_b").alias("o"))
+    links = both.filter((100 * F.col("o.shared") >= percent * F.col("o.total")) & (F.col("o.total") > 0)).select("a", "b")
+    # Buckets of the same members say the same: one of them is enough.
+    large = shared.filter(f"size > {SMALL}")
+    alike = large.groupBy("key", "size").agg(*(F.sum(F.xxhash64(F.lit(k), "id").cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)))
+    once = stored(alike.groupBy("size", "h1", "h2").agg(F.min("key").alias("key")).select("key"), f"{at}/once")
+    rows = large.join(once.hint("merge"), "key", "left_semi").join(lanes.hint("merge"), "id").join(sets.hint("merge"), "id")
+    forests = _forests(rows.select("key", "size", "id", "sig", "shingles"), id_type, floor, percent)
+    labels = components(links.unionByName(forests))
     per_class = classes.join(labels.withColumnsRenamed({"node": "class"}).hint("merge"), "class", "left").select("set_hash", F.coalesce("label", "class").alias("component_id"))
     per_class = stored(per_class, f"{at}/components")
     out = sigs.join(per_class.hint("merge"), "set_hash", "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))))
