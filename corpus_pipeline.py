@@ -15,8 +15,6 @@ from revlake.llm.queries import packed, scored
 
 #: A document is dropped for quality under this score: far under the share of good ones, so that clean documents stay.
 LEAST_QUALITY = 0.3
-#: A document is dropped as being in no known language under this cosine.
-LEAST_COSINE = 0.2
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -30,8 +28,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts in no language. A low cosine alone says nothing against a text: short ones have few n-grams."""
     found = langid.predict(docs, langid.learn(docs))
-    return _only(docs, found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_COSINE)))
+    return _only(docs, found.filter(F.col("lang_pred") != langid.UNKNOWN))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
