@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate
@@ -110,7 +110,36 @@ def filling(left: list[int], sizes: list[int], room: int, steps: int = SEARCH_ST
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Fillings, largest piece first, and how many sequences have each."""
+    """Fillings, largest piece first, and how many sequences have each: bin completion's, unless the incumbent, best fit decreasing, has fewer."""
+    return min(completion(counts, capacity), best_fit(counts, capacity), key=lambda x: sum(n for _, n in x))
+
+
+def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """Best fit decreasing over counts: sequences with one filling move together, from room to room."""
+    rooms: dict[int, list[tuple[list[int], int]]] = {capacity: []}
+    order = [capacity]
+    for s in sorted((s for s, n in counts.items() if n), reverse=True):
+        n = counts[s]
+        while n:
+            k = bisect_left(order, s)
+            while k < len(order) - 1 and not rooms[order[k]]:
+                del rooms[order[k]], order[k]
+            room = order[k]
+            each = room // s
+            chosen, there = rooms[room].pop() if rooms[room] else ([], n // each + 1)
+            use = min(there, n // each)
+            moves = [(chosen + [s] * each, use, room - each * s)] if use else [(chosen + [s] * n, 1, room - n * s)]
+            if chosen and there > moves[0][1]:
+                rooms[room].append((chosen, there - moves[0][1]))
+            n -= use * each if use else n
+            for filled, times, left in moves:
+                if left not in rooms:
+                    insort(order, left)
+                rooms.setdefault(left, []).append((filled, times))
+    return [x for found in rooms.values() for x in found]
+
+
+def completion(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     left = [0] * (capacity + 1)
     for s, n in counts.items():
         left[s] = n
