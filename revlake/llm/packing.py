@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from revlake.llm.common import run_dir, small_batches, stored
 
 CAPACITY = 2048
-#: Pieces that one window over a length and a salt should have.
-ROWS_PER_SALT = 50_000
+#: Pieces that one window over a length and a salt should have; a length gets as many salts as its count asks for.
+ROWS_PER_SALT = 1000
 #: Steps of one search; after them its incumbent is used.
 SEARCH_STEPS = 4_000
 
@@ -176,8 +176,9 @@ def pack(parts: DataFrame, *, id_col: str = "doc_id", capacity: int = CAPACITY)
             offset += s * each
         base += times
     tables = {s: np.array(x, np.int64).T for s, x in starts.items()}
-    salts = sum(counts.values()) // ROWS_PER_SALT + 1
-    salted = parts.withColumn("salt", F.pmod(F.hash(id_col, "piece"), F.lit(salts)))
+    # A row for each possible length at most, so this may be broadcast.
+    salts = F.broadcast(spark.createDataFrame([(s, n // ROWS_PER_SALT + 1) for s, n in counts.items()], "length long, salts long"))
+    salted = parts.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.col("salts"))).drop("salts")
     totals = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = totals.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
     before = stored(before, f"{run_dir(spark, 'pack')}/before")
