@@ -41,7 +41,9 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = CACHE):
         self.ranks, self.find, self.cached = ranks, regex.compile(pattern).findall, cached
+        # Ids of pre-tokens seen lately, and of those seen before them.
         self.known: dict[str, list[int]] = {}
+        self.before: dict[str, list[int]] = {}
         words = max(ranks.values(), default=0) // 64 + 1
         self.low, self.mid = [0] * words, [0] * (words // 64 + 1)
 
@@ -125,23 +127,26 @@ class Encoder:
             out.append(ids)
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text ends."""
         if len(self.known) > self.cached:
-            self.known = {}
+            self.known, self.before = {}, self.known
         known, words = self.known, [self.find(x) for x in texts]
-        new = list(set().union(*words) - known.keys())
-        whole = [self.ranks.get(x.encode()) for x in new]
-        rest = [x for x, r in zip(new, whole, strict=True) if r is None]
-        known.update((x, [r]) for x, r in zip(new, whole, strict=True) if r is not None)
+        new = set().union(*words) - known.keys()
+        again = new & self.before.keys()
+        known.update((x, self.before[x]) for x in again)
+        rest = list(new - again)
+        whole = [self.ranks.get(x.encode()) for x in rest]
+        known.update((x, [r]) for x, r in zip(rest, whole, strict=True) if r is not None)
+        rest = [x for x, r in zip(rest, whole, strict=True) if r is None]
         known.update(zip(rest, self.merge([x.encode() for x in rest]), strict=True))
-        out = []
+        out: list[int] = []
+        ends = [0]
         for found in words:
-            ids: list[int] = []
-            for x in found:
-                ids += known[x]
-            out.append(ids)
-        return out
+            for ids in map(known.__getitem__, found):
+                out += ids
+            ends.append(len(out))
+        return np.array(out, np.int32), np.array(ends, np.int32)
 
 
 @cache
@@ -159,9 +164,8 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for batch in batches:
-            found = [np.array(x, np.int32) for x in e.encode([x or "" for x in batch.column(len(keep)).to_pylist()])]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+            found, ends = e.encode([x or "" for x in batch.column(len(keep)).to_pylist()])
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(found))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], [*keep, ids_col])
 
     return rows.mapInArrow(run, schema)
@@ -174,11 +178,23 @@ def decode(coded: DataFrame, path: str, *, ids_col: str = "ids", bytes_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(path)
-        token = [b""] * (max(ranks.values(), default=-1) + 1)
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for k, r in ranks.items():
-            token[r] = k
+            tokens[r] = k
+        sizes = np.array([len(x) for x in tokens], np.int64)
+        table, starts = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes
         for batch in batches:
-            out = [b"".join([token[i] for i in x or ()]) for x in batch.column(ids_col).to_pylist()]
+            lists = batch.column(ids_col)
+            ids = lists.flatten().to_numpy()
+            counts = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64) if lists.null_count else np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            ends = np.concatenate(([0], np.cumsum(counts)))
+            out = []
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                # Each byte's place in the table: its token's start, and how far the byte is from its token's first.
+                own = ids[a:b]
+                n = sizes[own]
+                first = np.cumsum(n) - n
+                out.append(table[np.repeat(starts[own] - first, n) + np.arange(int(n.sum()))].tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, bytes_col])
 
     return coded.mapInArrow(run, schema)

@@ -93,7 +93,9 @@ def test_bpe_equals_library(spark, docs):
     own = bpe.Encoder(ranks, PATTERN, cached=50)
     rng = random.Random(5)
     texts = ["".join(rng.choice(["a", "the", " ", "  ", "\n", "é", "1", "!!", "'s", "ion", "aaaa", "漢", "　"]) for _ in range(rng.randrange(80))) for _ in range(400)] + ["ab" * 5000, "a" * 9000] + [chr(c) + "x " + chr(c) for c in range(0, 0x3000) if c]
-    assert own.encode(texts) == [lib.encode_ordinary(x) for x in texts]
+    for some in (texts, texts[:100], texts[50:]):
+        ids, ends = own.encode(some)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [lib.encode_ordinary(x) for x in some]
     got = bpe.decode(bpe.encode(docs, RANKS, PATTERN, keep=("id", "doc_id", "text")), RANKS).collect()
     assert len(got) == docs.count()
     for r in got:
