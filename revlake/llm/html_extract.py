@@ -5,7 +5,8 @@
    pages or more, are templates; so a host has at most 1 / ``min_share`` times the elements of a page.
 3. Each page is read again: template subtrees are deleted, as are elements whose tag, role or class says that they are not
    article text; the rest becomes blocks. ``article`` elements are the main content, else ``main``, else the whole body.
-   Inside them nothing is deleted for recurring: a passage that many articles quote is text.
+   Inside them nothing is deleted for recurring: a passage that many articles quote is text. Elements around them are no
+   subtrees outside the main content, so they are neither hashed nor deleted; the elements beside it are.
 
 Nulls: null html is an empty page, whose text is empty; a null url has host "". Repeated pages each get a row.
 """
@@ -71,8 +72,9 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self.words: list[str] = []
         self.seen = [True, False, False]
-        # of each open element: name, class, zone, whether refused, blocks before it, parts of its hash
-        self.open: list[tuple[str, str, int, bool, int, list[str]]] = [("", "", 0, False, 0, [])]
+        self.mains = 0
+        # of each open element: name, class, zone, whether refused, blocks before it, parts of its hash, elements of main content opened before it
+        self.open: list[tuple[str, str, int, bool, int, list[str], int]] = [("", "", 0, False, 0, [], 0)]
         at, n = 0, len(source)
         while at < n:
             m = TOKEN.match(source, at)
@@ -117,12 +119,13 @@ class Page:
         if name in VOID:
             return
         attrs = {a.lower(): entities.unescape(x or y or z or "") for a, x, y, z in ATTRIBUTE.findall(rest)} if "=" in rest or "hidden" in rest else {}
-        _, _, zone, no, _, _ = self.open[-1]
+        _, _, zone, no, _, _, _ = self.open[-1]
         no = no or refused(name, attrs, zone)
         if not no:
             zone = max(zone, 2 if name == "article" else 1 if name == "main" or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody" else 0)
             self.seen[zone] = True
-        self.open.append((name, attrs.get("class", ""), zone, no, len(self.blocks), []))
+        self.open.append((name, attrs.get("class", ""), zone, no, len(self.blocks), [], self.mains))
+        self.mains += zone > 0
 
     def close(self, name: str) -> None:
         if name == "p" and all(x[0] != "p" for x in self.open):
@@ -144,11 +147,11 @@ class Page:
 
     def pop(self, depth: int) -> None:
         while len(self.open) > depth:
-            name, kind, zone, _, before, parts = self.open[-1]
+            name, kind, zone, _, before, parts, mains = self.open[-1]
             if name in BLOCK:
                 self.flush()
             self.open.pop()
-            if zone:
+            if zone or self.mains > mains:
                 continue
             content = " ".join("".join(parts).split())
             h = xxhash.xxh3_64_intdigest(f"{name}\0{kind}\0{content}") - (1 << 63)

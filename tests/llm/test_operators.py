@@ -181,6 +181,15 @@ def test_html_blocks_and_templates(spark):
     assert got[0] == "H & h\n\none two x\n\nthree" and got[105] == "own 5" and got[500] == "" and got[501] == "" and got[502] == "ab\n\nc<" and got[503] == "plain"
 
 
+def test_html_wrapper_around_main_content(spark):
+    nav, foot = "<nav><ul><li>n</ul></nav>", "<footer>f</footer>"
+    forms = {"a": "<body><div id=page>{nav}<article><p>own {i}</p></article>{foot}</div></body>", "m": "<body><div><section>{nav}<div><main><p>own {i}</p></main></div></section>{foot}</div></body>", "r": "<body><div>{nav}<div role=main><p>own {i}</p></div>{foot}</div></body>"}
+    box = "<body><div><div><p>Shared box</p></div><div><p>own {i}</p></div></div></body>"
+    rows = [(f"{k}{i}", f"http://{k}.example/{i}", t.format(nav=nav, foot=foot, i=i)) for k, t in (forms | {"b": box}).items() for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert got == {f"{k}{i}": f"own {i}" for k in "amrb" for i in range(30)}
+
+
 def test_language_accuracy_on_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = queries.op7_language_id(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
