@@ -1,15 +1,16 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 1. Equal vectors form one class, by a grouping that Spark combines before its shuffle; the forest sees one row per class.
-2. Each tree splits space again and again at the median of a random projection. Vectors near a split go to both sides (spill). The medians come
-   from a sample of ``FIT_ROWS`` vectors; all vectors are indexed. A tree has at most FIT_ROWS / 32 leaves, so its splits are small.
+2. Each tree splits space again and again by a random projection, near its median but where it parts few of the linked pairs of a sample; a node
+   that any cut would part by more than the rate that the number of trees assumes, as a dense group is, stays a leaf. Vectors near a split go to both
+   sides (spill). The cuts come from a sample of ``FIT_ROWS`` vectors; all vectors are indexed. A tree has at most FIT_ROWS / 32 leaves, so its splits are small.
 3. Spark groups the vectors by tree and leaf; a leaf over ``BLOCK`` vectors is dealt out as pairs of blocks, so no task gets a whole one. Inside, cosines
-   are computed exactly. A pair that meets in several leaves counts in the first tree, and there in the first leaf, where it does, as every
+   are computed exactly; of a dense group these are all of its pairs. A pair that meets in several leaves counts in the first tree, and there in the first leaf, where it does, as every
    vector brings the list of its leaves. So tasks send sums and a spanning forest instead of pairs.
 4. Link counts are added up, components found from the spanning forests.
 
 Nulls: vectors that are null, zero, or hold null or non-finite components link with nothing, nor do rows with a null id; they are components of
-their own. Vectors of another dimension than most never link with the rest. Rows that repeat an id and its vector link with each other. Empty input gives an empty result.
+their own. Vectors of different dimensions never link; dimensions of few vectors are compared whole, all in one grouping. Rows that repeat an id and its vector link with each other. Empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ LEAF, BLOCK = 400, 1000
 #: leaves of a tree whatever its depth, and rows grow with the vectors.
 SPILL = 1.25
 FIT_ROWS = 100_000
+#: Vectors of a node whose linked pairs are counted to place its cut, the shares of the node that may lie left of it, and what a cut at the
+#: end of them costs, in shares of parted pairs.
+PROBE, SHARES, UNEVEN = 128, np.linspace(0.05, 0.95, 37), 0.05
 SEED = 20_010
 
 
@@ -50,14 +54,29 @@ class Forest:
         self.directions = rng.normal(size=(trees, max(depth, 1), d))
         self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True)
         self.spill = SPILL / max(depth, 1) * math.sqrt(max(0.0, 2 - 2 * cosine)) / math.sqrt(d)
-        self.cuts = np.zeros((trees, 2**depth))
+        # A node without a cut is a leaf.
+        self.cuts = np.full((trees, 2**depth), np.nan)
         for t in range(trees):
             node = np.ones(len(sample), int)
             for k in range(depth):
                 p = sample @ self.directions[t, k]
-                for x in np.unique(node):
-                    self.cuts[t, x] = np.median(p[node == x])
-                node = 2 * node + (p >= self.cuts[t, node])
+                order = np.argsort(node, kind="stable")
+                for own in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
+                    if (x := node[own[0]]) >= 2**k:
+                        self.cuts[t, x] = self.cut(sample[probe := own if len(own) <= PROBE else rng.choice(own, PROBE, False)], p[probe], p[own], cosine)
+                cuts = self.cuts[t, node]
+                node = np.where(np.isnan(cuts), node, 2 * node + (p >= cuts))
+
+    def cut(self, probe: np.ndarray, at: np.ndarray, p: np.ndarray, cosine: float) -> float:
+        """Where to split a node with projections ``p``; NaN if every cut parts too many of the linked pairs of ``probe``."""
+        x, y = np.nonzero(np.triu(probe @ probe.T >= cosine, 1))
+        if not len(x):
+            return float(np.median(p))
+        low, high = np.minimum(at[x], at[y]), np.maximum(at[x], at[y])
+        cuts = np.quantile(p, SHARES)
+        parted = ((low[:, None] < cuts - self.spill) & (high[:, None] >= cuts + self.spill)).mean(0)
+        best = int((parted + UNEVEN * np.abs(SHARES - 0.5) / 0.45).argmin())
+        return float(cuts[best]) if parted[best] <= math.acos(cosine) / math.pi else math.nan
 
     def leaves(self, vectors: np.ndarray) -> list[list[int]]:
         """Numbers of the leaves of each vector; a leaf's tree is its number divided by 2 ** (depth + 1)."""
@@ -70,7 +89,7 @@ class Forest:
                 right = away >= 0
                 both = np.abs(away) < self.spill
                 rows = np.concatenate((rows, rows[both]))
-                node = np.concatenate((2 * node + right, (2 * node + ~right)[both]))
+                node = np.concatenate((np.where(np.isnan(away), node, 2 * node + right), (2 * node + ~right)[both]))
             for r, x in sorted(zip(rows.tolist(), node.tolist(), strict=True)):
                 out[r].append((t << (self.depth + 1)) + x)
         return out
@@ -93,11 +112,13 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
     # -0.0 and 0.0 are one value for grouping.
     base = base.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
     classes = stored(base.filter("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("dim", F.size("v")), f"{at}/classes")
-    sizes = classes.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(100).collect()
+    # Each dimension of many vectors has a forest of its own; in the others, the dimension is the leaf.
+    sizes = stored(classes.groupBy("dim").agg(F.count("*").alias("n")), f"{at}/dimensions")
+    many = {r["dim"]: r["n"] for r in sizes.filter(F.col("n") > BLOCK).orderBy("dim").collect()}
     counts, forests = [], []
-    for dim, n in ((r["dim"], r["n"]) for r in sizes):
-        same = classes.filter(F.col("dim") == dim)
-        c, f = _within(same, dim, n, cosine, missed, leaf)
+    for dim, n in [*many.items(), *([(None, 0)] if sizes.filter(F.col("n") <= BLOCK).limit(1).count() else [])]:
+        same = classes.filter(F.col("dim") == dim if dim else ~F.col("dim").isin(list(many)))
+        c, f = _linked(_indexed(same, dim, n, cosine, missed, leaf) if dim else _whole(same), cosine)
         counts.append(stored(c, f"{at}/counts-{dim}"))
         forests.append(stored(f, f"{at}/forest-{dim}"))
     by_class = classes.select("id", "copies", "v")
@@ -115,8 +136,23 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("component_id", "id").eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _within(classes: DataFrame, dim: int, n: int, cosine: float, missed: float, leaf: int) -> tuple[DataFrame, DataFrame]:
-    """(id, links) and (a, b) of the classes, all of one dimension: linked rows of each class, and edges that span the components."""
+def _index_type(classes: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField("id", classes.schema["id"].dataType), T.StructField("copies", T.LongType()), T.StructField("u", T.BinaryType()), T.StructField("leaves", T.ArrayType(T.LongType()))])
+
+
+def _whole(classes: DataFrame) -> DataFrame:
+    """(id, copies, u, leaves) of classes of dimensions with few of them: the dimension is the leaf."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            u = [unit(np.array([x], float)).tobytes() for x in b.column("v").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array(u, pa.binary()), pa.array([[x] for x in b.column("dim").to_pylist()], pa.list_(pa.int64()))], ["id", "copies", "u", "leaves"])
+
+    return stored(classes.select("id", "copies", "v", "dim").mapInArrow(index, _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
+
+
+def _indexed(classes: DataFrame, dim: int, n: int, cosine: float, missed: float, leaf: int) -> DataFrame:
+    """(id, copies, u, leaves) of classes of one dimension, by a forest."""
     sample = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * min(1.0, FIT_ROWS / n)).select("v").toPandas()["v"]
     fitted = unit(np.array(sample.tolist(), float).reshape(-1, dim)) if len(sample) else np.zeros((1, dim))
     depth = max(0, min(round(math.log2(max(n, 1) / leaf)), int(math.log2(max(len(fitted), 32) / 32))))
@@ -124,7 +160,6 @@ def _within(classes: DataFrame, dim: int, n: int, cosine: float, missed: float,
     together = (1 - math.acos(cosine) / math.pi) ** depth
     trees = 1 if together == 1 else max(4, math.ceil(math.log(missed) / math.log(1 - together)))
     forest = Forest(fitted, depth, trees, cosine)
-    id_type = classes.schema["id"].dataType
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -132,8 +167,39 @@ def _within(classes: DataFrame, dim: int, n: int, cosine: float, missed: float,
                 u = unit(np.array(b.column("v").to_pylist(), float))
                 yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array([x.tobytes() for x in u], pa.binary()), pa.array(forest.leaves(u), pa.list_(pa.int64()))], ["id", "copies", "u", "leaves"])
 
-    indexed = classes.select("id", "copies", "v").mapInArrow(index, T.StructType([T.StructField("id", id_type), T.StructField("copies", T.LongType()), T.StructField("u", T.BinaryType()), T.StructField("leaves", T.ArrayType(T.LongType()))]))
-    indexed = stored(indexed, f"{run_dir(classes.sparkSession, 'forest')}/index")
+    return stored(classes.select("id", "copies", "v").mapInArrow(index, _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
+
+
+def groups(near: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric matrix of links, the first node of its component."""
+    first = np.arange(len(near))
+    fresh = near.any(0)
+    for x in np.flatnonzero(fresh):
+        if fresh[x]:
+            front = np.array([x])
+            while len(front):
+                fresh[front] = False
+                first[front] = x
+                front = np.flatnonzero(near[front].any(0) & fresh)
+    return first
+
+
+def met_before(a: list[list[int]], b: list[list[int]], leaf: int) -> np.ndarray:
+    """Which pairs of two lists of leaves have a smaller leaf than ``leaf`` in common."""
+    own = [[y for y in x if y < leaf] for x in a], [[y for y in x if y < leaf] for x in b]
+    column = {y: k for k, y in enumerate(sorted({y for x in own[0] for y in x} & {y for x in own[1] for y in x}))}
+    sides = [np.zeros((len(xs), len(column)), np.float32) for xs in own]
+    for side, xs in zip(sides, own, strict=True):
+        at = [(r, column[y]) for r, x in enumerate(xs) for y in x if y in column]
+        if at:
+            side[tuple(np.array(at).T)] = 1
+    return sides[0] @ sides[1].T > 0
+
+
+def _linked(indexed: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """(id, links) and (a, b) of the indexed classes: linked rows of each class, and edges that span the components."""
+    spark = indexed.sparkSession
+    id_type = indexed.schema["id"].dataType
     each = indexed.withColumn("leaf", F.explode("leaves"))
     sizes = each.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # One row per leaf, a bounded number: trees times FIT_ROWS / 32.
@@ -144,31 +210,25 @@ def _within(classes: DataFrame, dim: int, n: int, cosine: float, missed: float,
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         leaf, i, j = g["leaf"].iloc[0], g["i"].iloc[0], g["j"].iloc[0]
         a, b = g[g["own"] == i], g[g["own"] == j]
-        links: dict[int, int] = {}
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
+        links: list[tuple[int, int]] = []
+        edges: list[tuple[int, int]] = []
         if len(a) and len(b):
-            ub = np.frombuffer(b"".join(b["u"])).reshape(len(b), dim)
-            ids, copies, lists = b["id"].to_numpy(), b["copies"].to_numpy(), [set(x) for x in b["leaves"]]
-            for x, c, u, own in zip(a["id"], a["copies"], a["u"], a["leaves"], strict=True):
-                near = np.flatnonzero(ub @ np.frombuffer(u) >= cosine - 1e-12)
-                mine = sorted(own)
-                for k in near:
-                    y = ids[k]
-                    if x == y or i == j and y < x or min(lists[k].intersection(mine)) != leaf:
-                        continue
-                    links[x] = links.get(x, 0) + int(copies[k])
-                    links[y] = links.get(y, 0) + int(c)
-                    p, q = root(x), root(y)
-                    parent[max(p, q)] = min(p, q)
-        edges = [(x, root(x)) for x in parent if root(x) != x]
-        return pd.DataFrame([(x, None, n) for x, n in links.items()] + [(x, y, None) for x, y in edges], columns=["id", "other", "links"]).astype({"other": "Int64", "links": "Int64"} if id_type != T.StringType() else {"links": "Int64"})
+            ua, ub = (np.frombuffer(b"".join(x["u"])).reshape(len(x), -1) for x in (a, b))
+            near = (ua @ ub.T >= cosine - 1e-12) & ~met_before(a["leaves"].tolist(), b["leaves"].tolist(), leaf)
+            ids = a["id"].tolist() + (b["id"].tolist() if i != j else [])
+            if i == j:
+                rank = np.unique(a["id"].to_numpy(), return_inverse=True)[1]
+                near = (near | near.T) & (rank[:, None] != rank)
+                whole, sums = near, near @ b["copies"].to_numpy().astype(float)
+            else:
+                whole = np.zeros((len(ids), len(ids)), bool)
+                whole[: len(a), len(a) :], whole[len(a) :, : len(a)] = near, near.T
+                sums = np.concatenate((near @ b["copies"].to_numpy().astype(float), near.T @ a["copies"].to_numpy().astype(float)))
+            first = groups(whole)
+            links = [(ids[k], int(sums[k])) for k in np.flatnonzero(sums)]
+            edges = [(ids[k], ids[first[k]]) for k in np.flatnonzero(first != np.arange(len(first)))]
+        return pd.DataFrame([(x, None, n) for x, n in links] + [(x, y, None) for x, y in edges], columns=["id", "other", "links"]).astype({"other": "Int64", "links": "Int64"} if id_type != T.StringType() else {"links": "Int64"})
 
     found = dealt.groupBy("leaf", "i", "j").applyInPandas(compare, T.StructType([T.StructField("id", id_type), T.StructField("other", id_type), T.StructField("links", T.LongType())]))
-    found = stored(found, f"{run_dir(classes.sparkSession, 'found')}/found")
+    found = stored(found, f"{run_dir(spark, 'found')}/found")
     return found.filter("links is not null").select("id", "links"), found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))

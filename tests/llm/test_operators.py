@@ -276,6 +276,27 @@ def test_vectors_against_brute_force(spark):
     assert got[got.vec_id == 9007].component_id.item() == 9006 and got[got.vec_id.isna()].n_links.item() == 0
 
 
+def test_vectors_of_a_dense_group(spark):
+    """A third of the rows in one group whose cosines are about 0.96, not 1: no cut may go through it."""
+    rng = np.random.default_rng(6)
+    n, d = 6000, 64
+    v = rng.normal(size=(n, d))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[: n // 3] = v[0] + np.sqrt((1 / 0.96 - 1) / d) * rng.normal(size=(n // 3, d))
+    v[n // 3 + 1 :: 2] = v[n // 3 :: 2][: len(v[n // 3 + 1 :: 2])] + 0.02 * rng.normal(size=v[n // 3 + 1 :: 2].shape)
+    got = embed_dedup.near_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"), leaf=50).toPandas().sort_values("vec_id")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(1) - 1
+    found = got.n_links.to_numpy()
+    assert (found <= want).all() and found[: n // 3].sum() >= 0.98 * want[: n // 3].sum() and found[n // 3 :].sum() >= 0.98 * want[n // 3 :].sum()
+
+
+def test_vectors_of_many_dimensions(spark):
+    rows = [(2 * d + k, [1.0] * d) if k else (2 * d, [1.0] * (d - 1) + [1.01]) for d in range(2, 130) for k in (0, 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (1, i // 2 * 2) for i, _ in rows}
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
 
