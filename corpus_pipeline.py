@@ -2,6 +2,9 @@
 
 ``STAGES`` lists (name, function). Each function takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared
 folder and reads it again as the next one's docs. Every stage but the last returns the columns of ``documents``.
+
+A stage decides on rows, not on ids: rows with a null ``doc_id`` and rows that repeat one are judged, kept and dropped each by its own text. Of
+rows with equal or near texts exactly one stays: the smallest id that no other row has, or else one of the rows with a null or repeated id.
 """
 
 from __future__ import annotations
@@ -17,28 +20,46 @@ from revlake.llm.queries import packed, scored
 LEAST_QUALITY = 0.3
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ids are in ``kept``."""
-    return docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi").select(docs.columns)
+def _with_row(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` and ``_row``, a number for each row: its id, or one above all ids where the id is null or not the row's alone."""
+    at = run_dir(spark, "rows")
+    shared = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id"), f"{at}/shared")
+    if not shared.limit(1).count():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    top = max(docs.agg(F.max("doc_id")).first()[0] or 0, 0)
+    marked = docs.join(shared.filter("doc_id is not null").withColumn("_shared", F.lit(True)).hint("merge"), "doc_id", "left")
+    alone = F.col("doc_id").isNotNull() & F.col("_shared").isNull()
+    rows = marked.select(*docs.columns, F.when(alone, F.col("doc_id").cast("long")).otherwise(F.monotonically_increasing_id() + F.lit(top + 1)).alias("_row"))
+    # Stored, as the numbers could differ when they are computed again.
+    return stored(rows, f"{at}/rows")
+
+
+def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose ``_row`` is in ``kept``, without it."""
+    return rows.join(kept.select("_row").hint("merge"), "_row", "left_semi").select([c for c in rows.columns if c != "_row"])
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = scored(spark, docs, table(spark, sf_dir, "labels"))
-    return _only(docs, found.filter(F.col("score") >= LEAST_QUALITY))
+    rows = _with_row(spark, docs)
+    found = scored(spark, rows, table(spark, sf_dir, "labels"), keep=("doc_id", "_row"))
+    return _only(rows, found.filter(F.col("score") >= LEAST_QUALITY))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts in no language. A low cosine alone says nothing against a text: short ones have few n-grams."""
-    found = langid.predict(docs, langid.learn(docs))
-    return _only(docs, found.filter(F.col("lang_pred") != langid.UNKNOWN))
+    rows = _with_row(spark, docs)
+    found = langid.predict(rows, langid.learn(docs), keep=("_row",))
+    return _only(rows, found.filter(F.col("lang_pred") != langid.UNKNOWN))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, exact_dedup.exact_dedup(docs).filter("kept"))
+    rows = _with_row(spark, docs)
+    return _only(rows, exact_dedup.exact_dedup(rows, id_col="_row").filter("kept"))
 
 
 def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, minhash.near_dedup(docs).filter("kept"))
+    rows = _with_row(spark, docs)
+    return _only(rows, minhash.near_dedup(rows, id_col="_row").filter("kept"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

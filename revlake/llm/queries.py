@@ -54,13 +54,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``; ``labels`` are the rows to learn from."""
-    rows = quality.stored(quality.features(docs), f"{run_dir(spark, 'stats')}/stats")
+def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep``, with doc_id, and the score of every row of ``docs``; ``labels`` are the rows to learn from."""
+    rows = quality.stored(quality.features(docs, keep=keep), f"{run_dir(spark, 'stats')}/stats")
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
     labelled = rows.join(known.hint("merge"), "doc_id").select(F.col("doc_id").alias("id"), "stats", "label")
     labelled = quality.stored(labelled, f"{run_dir(spark, 'labelled')}/labelled")
-    return quality.predict(rows, quality.fit(labelled))
+    return quality.predict(rows, quality.fit(labelled), keep=keep)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

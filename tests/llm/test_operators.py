@@ -318,3 +318,24 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert len(set(labels[labels.quality == 0].doc_id) & kept) <= 0.1 * (labels.quality == 0).sum()
     last = corpus_pipeline.STAGES[-1][1](spark, found, "")
     assert {r["doc_id"] for r in last.select("doc_id").collect()} == kept
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Null ids keep their rows; rows that repeat an id stand and fall each by its own text."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    words = [f"wort{a}{b}" for a in "abcdefgh" for b in "klmnopqr"]
+    made = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(8)]
+    near = made[5].rsplit(" ", 1)[0] + " end"
+    texts = [(1, made[0]), (1, made[0]), (1, made[1]), (2, made[2]), (2, "123 !!"), (None, made[3]), (None, made[3]), (None, made[4]), (3, made[5]), (None, near), (4, made[6]), (4, near), (None, "456 ??"), (None, made[6] + " "), (5, made[7])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars int")
+    at = write(spark, tmp_path, labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    found = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, found, at)
+        found.write.parquet(str(tmp_path / name))
+        found = spark.read.parquet(str(tmp_path / name))
+    got = collections.Counter((r["doc_id"], r["text"].strip()) for r in found.collect())
+    either = [k for k in ((4, made[6]), (None, made[6])) if k in got]
+    assert len(either) == 1 and got == collections.Counter([(1, made[0]), (1, made[1]), (2, made[2]), (None, made[3]), (None, made[4]), (3, made[5]), (5, made[7]), *either])
