@@ -104,7 +104,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, missed: float = MISSED, leaf: int = LEAF) -> DataFrame:
     """Per row: id, ``n_links``, ``component_id``, ``kept``."""
     spark = rows.sparkSession
-    small_batches(spark, 2000)
+    small_batches(spark)
     at = run_dir(spark, "vectors")
     v = F.col(vector_col).cast("array<double>")
     fine = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0) & F.col(id_col).isNotNull(), F.lit(False))

@@ -30,8 +30,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    both = bpe.decode(coded, path)
+    both = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, bytes_col="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
