@@ -236,7 +236,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text_col: str = "text",
     small_batches(docs.sparkSession)
     n = len(keep)
     rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)] + [T.StructField(bytes_col, T.BinaryType(), False)] * bool(bytes_col))
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)] + ([T.StructField(bytes_col, T.BinaryType(), False)] if bytes_col else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, d = encoder(path, pattern), Decoder(read_ranks(path)) if bytes_col else None

@@ -77,12 +77,25 @@ def test_warc_round_trip(spark, tmp_path):
         warc.read_payloads(spark, f"{path}/other").collect()
 
 
-def test_directory_splits_overfull_buckets(spark):
-    keys = spark.createDataFrame([(hashlib.sha256(str(i).encode()).hexdigest(),) for i in range(500)], "digest string")
-    d = exact_dedup.directory(keys, 8, 20)
-    loads = keys.withColumn("slot", exact_dedup.slot(F.col("digest"), 8)).join(d, "slot").groupBy("bucket").count()
-    assert loads.agg(F.max("count")).first()[0] <= 20 and loads.agg(F.sum("count")).first()[0] == 500
-    assert d.groupBy("bucket").agg(F.countDistinct("depth").alias("n")).filter("n > 1").count() == 0
+def test_directory_splits_overfull_buckets(spark, tmp_path):
+    keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(500)] + [f"{i:064x}" for i in range(0, 1 << 18, 1 << 11)]
+    d, bits = exact_dedup.directory(spark.createDataFrame([(k,) for k in keys], "digest string"), str(tmp_path / "d"), 20, 4)
+    slots = {r["slot"]: (r["bucket"], r["depth"]) for r in d.collect()}
+    loads = collections.Counter(slots[int(k[:15], 16) >> 60 - bits][0] for k in keys if int(k[:15], 16) >> 60 - bits in slots)
+    assert sum(loads.values()) == len(keys)
+    assert {s for k in keys if (s := int(k[:15], 16) >> 60 - bits)} <= slots.keys()
+    assert all(n <= 20 for b, n in loads.items() if slots[b][1] < 14) and len({x for _, x in slots.values()}) > 2
+    assert all(b <= s < b + (1 << bits - depth) for s, (b, depth) in slots.items())
+
+
+def test_exact_dedup_chains_collisions(spark):
+    """With an index hash of few values different texts share digests; the result is the same."""
+    rows = [(i, f"text {i % 37}") for i in range(300)] + [(None, "text 5"), (7, "text 7"), (None, "alone"), (None, "alone"), (900, None), (901, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"digest": F.lit("clash"), "bucket": F.lit(1), "id": F.lit("x")})
+    short = lambda norm: F.lpad(F.hex(F.pmod(F.hash(norm), F.lit(5)).cast("long")), 64, "0")
+    want = rows_of(exact_dedup.exact_dedup(df))
+    assert rows_of(exact_dedup.exact_dedup(df, capacity=2, digest=short)) == want == rows_of(exact_dedup.exact_dedup(df, capacity=3))
+    assert len(want[1]) == len(rows)
 
 
 def test_bpe_equals_library(spark, docs):
