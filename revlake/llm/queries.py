@@ -102,14 +102,15 @@ ORACLE = {
         w AS (SELECT doc_id, t, MIN(doc_id) OVER (PARTITION BY t) AS keep_id, COUNT(*) OVER (PARTITION BY t) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256 FROM w""",
     "op5_line_dedup": r"""
-        WITH l AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
-        h AS (SELECT doc_id, ls, list_transform(ls, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS hs FROM l),
-        e AS (SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: i = len(ls) OR (hs[i] + CASE WHEN i > 1 THEN 31 * hs[i - 1] ELSE 0 END) % 2 = 0) AS ends FROM h),
-        c AS (SELECT doc_id, len(ls) AS n_lines, unnest(list_transform(range(1, len(ends) + 1), lambda k: k)) AS k, ls, ends FROM e),
-        d AS (SELECT doc_id, n_lines, k, ls[CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END : ends[k]] AS part FROM c),
-        o AS (SELECT *, array_to_string(part, chr(10)) AS chunk FROM d),
-        r AS (SELECT *, len(part) >= 2 AND doc_id IS NOT NULL AND ROW_NUMBER() OVER (PARTITION BY len(part) >= 2, chunk ORDER BY doc_id NULLS LAST, k) > 1 AS gone FROM o)
+        WITH l AS (SELECT ROW_NUMBER() OVER () AS rid, doc_id, sha256(COALESCE(text, '')) AS doc, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
+        h AS (SELECT *, list_transform(ls, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS hs, list_transform(ls, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 50) AS longs FROM l),
+        m AS (SELECT *, list_transform(range(1, len(ls) + 1), lambda i: hs[i] + CASE WHEN i > 1 THEN 31 * hs[i - 1] ELSE 0 END) AS rolled FROM h),
+        e AS (SELECT *, list_filter(range(1, len(ls) + 1), lambda i: i = len(ls) OR (i > 1 AND rolled[i] < rolled[i - 1] AND rolled[i] <= rolled[i + 1]) OR longs[i] OR COALESCE(longs[i + 1], FALSE)) AS ends FROM m),
+        c AS (SELECT rid, doc_id, doc, len(ls) AS n_lines, unnest(list_transform(range(1, len(ends) + 1), lambda k: k)) AS k, ls, ends, longs FROM e),
+        d AS (SELECT rid, doc_id, doc, n_lines, k, ls[CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END : ends[k]] AS part, longs[ends[k]] AS long FROM c),
+        o AS (SELECT *, array_to_string(part, chr(10)) AS chunk, len(part) >= 2 OR long AS passage FROM d),
+        r AS (SELECT *, passage AND doc_id IS NOT NULL AND DENSE_RANK() OVER (PARTITION BY passage, chunk ORDER BY doc_id NULLS LAST, doc, k) > 1 AS gone FROM o)
         SELECT doc_id, COALESCE(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text, CAST(MIN(n_lines) AS BIGINT) AS n_lines,
                CAST(COALESCE(SUM(len(part)) FILTER (gone), 0) AS BIGINT) AS removed_lines, COUNT(*) FILTER (gone) AS removed_chunks
-        FROM r GROUP BY doc_id""",
+        FROM r GROUP BY rid, doc_id""",
 }
