@@ -176,7 +176,7 @@ def test_minhash_equals_brute_force_in_large_buckets(spark):
     want = brute_components(list(range(len(texts))), sets, 85)
     old = minhash.BLOCK
     try:
-        minhash.BLOCK = 20
+        minhash.BLOCK = 10
         got = {r["doc_id"]: r for r in minhash.near_dedup(df, percent=85).collect()}
     finally:
         minhash.BLOCK = old
@@ -185,6 +185,17 @@ def test_minhash_equals_brute_force_in_large_buckets(spark):
     assert len(set(want.values())) < len(texts) - 30
 
 
+def test_minhash_rows_that_share_an_id(spark):
+    """Each row goes by its own text, whatever rows share its id."""
+    rng = random.Random(2)
+    a, b = (" ".join(rng.choice("abcdefghijkl") + str(rng.randrange(99)) for _ in range(150)) for _ in range(2))
+    for ids in ([1, 1, 2, 3], ["p", "p", "q", "r"]):
+        rows = list(zip(ids, (a, b, a + " x", b + " y"), strict=True))
+        df = spark.createDataFrame(rows, f"doc_id {'long' if ids[0] == 1 else 'string'}, text string").withColumns({"id": F.lit("clash"), "no": F.lit(1), "set_hash": F.lit("x")})
+        got = minhash.near_dedup(df).collect()
+        assert len(got) == 4 and {r["component_id"] for r in got} == {ids[0]} and sorted(r["kept"] for r in got) == [False, False, True, True]
+
+
 def test_minhash_odd_rows(spark, docs):
     got = minhash.near_dedup(docs).collect()
     assert len(got) == docs.count()
