@@ -10,7 +10,8 @@
 4. Link counts are added up, components found from the spanning forests.
 
 Nulls: vectors that are null, zero, or hold null or non-finite components link with nothing, nor do rows with a null id; they are components of
-their own. Vectors of different dimensions never link; dimensions of few vectors are compared whole, all in one grouping. Rows that repeat an id and its vector link with each other. Empty input gives an empty result.
+their own. Vectors of different dimensions never link; dimensions of few vectors are compared whole, all in one grouping. Classes have numbers of their own,
+so rows that repeat an id are linked each by their own vector; rows that repeat both link with each other. Other columns are not read, so none can clash. Empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlake.llm.common import run_dir, small_batches, stored
+from revlake.llm.common import frugal, run_dir, small_batches, stored
 from revlake.llm.components import components
 
 COSINE = 0.95
@@ -37,7 +38,8 @@ LEAF, BLOCK = 400, 1000
 #: lie apart along one random direction: sqrt(2 - 2 * cosine) / sqrt(dimension). As the levels share it, a vector is in about 1.4
 #: leaves of a tree whatever its depth, and rows grow with the vectors.
 SPILL = 1.25
-FIT_ROWS = 100_000
+#: Vectors that the top of the trees is fitted on at most, and their bytes.
+FIT_ROWS, FIT_BYTES = 100_000, 128 << 20
 #: Vectors of a node whose linked pairs are counted to place its cut, the shares of the node that may lie left of it, and what a cut at the
 #: end of them costs, in shares of parted pairs.
 PROBE, SHARES, UNEVEN = 128, np.linspace(0.05, 0.95, 37), 0.05
@@ -111,7 +113,7 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
     base = rows.select(F.col(id_col).alias("id"), F.when(fine, v).alias("v"))
     # -0.0 and 0.0 are one value for grouping.
     base = base.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
-    classes = stored(base.filter("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("dim", F.size("v")), f"{at}/classes")
+    classes = stored(base.filter("v is not null").groupBy("v").agg(F.min("id").alias("class"), F.count("*").alias("copies")).withColumns({"dim": F.size("v"), "id": F.monotonically_increasing_id()}), f"{at}/classes")
     # Each dimension of many vectors has a forest of its own; in the others, the dimension is the leaf.
     sizes = stored(classes.groupBy("dim").agg(F.count("*").alias("n")), f"{at}/dimensions")
     many = {r["dim"]: r["n"] for r in sizes.filter(F.col("n") > BLOCK).orderBy("dim").collect()}
@@ -121,7 +123,7 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
         c, f = _linked(_indexed(same, dim, n, cosine, missed, leaf) if dim else _whole(same), cosine)
         counts.append(stored(c, f"{at}/counts-{dim}"))
         forests.append(stored(f, f"{at}/forest-{dim}"))
-    by_class = classes.select("id", "copies", "v")
+    by_class = classes.select("id", "class", "copies", "v")
     if counts:
         links, edges = counts[0], forests[0]
         for c, f in zip(counts[1:], forests[1:], strict=True):
@@ -131,13 +133,15 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
         by_class = by_class.join(summed.hint("merge"), "id", "left").join(labels.hint("merge"), "id", "left")
     else:
         by_class = by_class.withColumns({"links": F.lit(None).cast("long"), "label": F.col("id")})
-    by_class = stored(by_class.select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "id").alias("component_id")), f"{at}/by-class")
+    by_class = stored(by_class.select("v", "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "id").alias("label")), f"{at}/by-class")
+    lowest = by_class.groupBy("label").agg(F.min("class").alias("component_id"))
+    by_class = stored(by_class.join(lowest.hint("merge"), "label").select("v", "n_links", "component_id"), f"{at}/by-vector")
     out = base.join(by_class.hint("merge"), "v", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("component_id", "id").eqNullSafe(F.col("id")).alias("kept"))
 
 
 def _index_type(classes: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField("id", classes.schema["id"].dataType), T.StructField("copies", T.LongType()), T.StructField("u", T.BinaryType()), T.StructField("leaves", T.ArrayType(T.LongType()))])
+    return T.StructType([T.StructField("id", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("u", T.BinaryType()), T.StructField("leaves", T.ArrayType(T.LongType()))])
 
 
 def _whole(classes: DataFrame) -> DataFrame:
@@ -148,12 +152,12 @@ def _whole(classes: DataFrame) -> DataFrame:
             u = [unit(np.array([x], float)).tobytes() for x in b.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array(u, pa.binary()), pa.array([[x] for x in b.column("dim").to_pylist()], pa.list_(pa.int64()))], ["id", "copies", "u", "leaves"])
 
-    return stored(classes.select("id", "copies", "v", "dim").mapInArrow(index, _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
+    return stored(classes.select("id", "copies", "v", "dim").mapInArrow(frugal(index), _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
 
 
 def _indexed(classes: DataFrame, dim: int, n: int, cosine: float, missed: float, leaf: int) -> DataFrame:
     """(id, copies, u, leaves) of classes of one dimension, by a forest."""
-    sample = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * min(1.0, FIT_ROWS / n)).select("v").toPandas()["v"]
+    sample = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * min(1.0, min(FIT_ROWS, FIT_BYTES // (8 * dim)) / n)).select("v").toPandas()["v"]
     fitted = unit(np.array(sample.tolist(), float).reshape(-1, dim)) if len(sample) else np.zeros((1, dim))
     depth = max(0, min(round(math.log2(max(n, 1) / leaf)), int(math.log2(max(len(fitted), 32) / 32))))
     # A random split parts two vectors with probability angle / pi, so a pair stays together in a tree with this one.
@@ -167,7 +171,7 @@ def _indexed(classes: DataFrame, dim: int, n: int, cosine: float, missed: float,
                 u = unit(np.array(b.column("v").to_pylist(), float))
                 yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array([x.tobytes() for x in u], pa.binary()), pa.array(forest.leaves(u), pa.list_(pa.int64()))], ["id", "copies", "u", "leaves"])
 
-    return stored(classes.select("id", "copies", "v").mapInArrow(index, _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
+    return stored(classes.select("id", "copies", "v").mapInArrow(frugal(index), _index_type(classes)), f"{run_dir(classes.sparkSession, 'forest')}/index")
 
 
 def groups(near: np.ndarray) -> np.ndarray:
@@ -199,7 +203,6 @@ def met_before(a: list[list[int]], b: list[list[int]], leaf: int) -> np.ndarray:
 def _linked(indexed: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     """(id, links) and (a, b) of the indexed classes: linked rows of each class, and edges that span the components."""
     spark = indexed.sparkSession
-    id_type = indexed.schema["id"].dataType
     each = indexed.withColumn("leaf", F.explode("leaves"))
     sizes = each.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # One row per leaf, a bounded number: trees times FIT_ROWS / 32.
@@ -214,7 +217,7 @@ def _linked(indexed: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
         edges: list[tuple[int, int]] = []
         if len(a) and len(b):
             ua, ub = (np.frombuffer(b"".join(x["u"])).reshape(len(x), -1) for x in (a, b))
-            near = (ua @ ub.T >= cosine - 1e-12) & ~met_before(a["leaves"].tolist(), b["leaves"].tolist(), leaf)
+            near = (ua @ ub.T >= cosine) & ~met_before(a["leaves"].tolist(), b["leaves"].tolist(), leaf)
             ids = a["id"].tolist() + (b["id"].tolist() if i != j else [])
             if i == j:
                 rank = np.unique(a["id"].to_numpy(), return_inverse=True)[1]
@@ -227,8 +230,8 @@ def _linked(indexed: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
             first = groups(whole)
             links = [(ids[k], int(sums[k])) for k in np.flatnonzero(sums)]
             edges = [(ids[k], ids[first[k]]) for k in np.flatnonzero(first != np.arange(len(first)))]
-        return pd.DataFrame([(x, None, n) for x, n in links] + [(x, y, None) for x, y in edges], columns=["id", "other", "links"]).astype({"other": "Int64", "links": "Int64"} if id_type != T.StringType() else {"links": "Int64"})
+        return pd.DataFrame([(x, None, n) for x, n in links] + [(x, y, None) for x, y in edges], columns=["id", "other", "links"]).astype({"other": "Int64", "links": "Int64"})
 
-    found = dealt.groupBy("leaf", "i", "j").applyInPandas(compare, T.StructType([T.StructField("id", id_type), T.StructField("other", id_type), T.StructField("links", T.LongType())]))
+    found = dealt.groupBy("leaf", "i", "j").applyInPandas(compare, "id long, other long, links long")
     found = stored(found, f"{run_dir(spark, 'found')}/found")
     return found.filter("links is not null").select("id", "links"), found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
