@@ -3,23 +3,25 @@
 1. Each text is tokenised whole where it lies. Only documents over the capacity are cut, into full pieces and a first piece that has
    the rest. A piece is a row with its length and a checksum of its ids.
 2. Spark counts the pieces of each length. These counts, one per possible length, are all that the driver gets.
-3. Bin completion plans sequences from the counts: around the longest piece left, a depth-first search goes through undominated fillings
-   (longest pieces first, none that a longer one could replace), prunes by the waste that the rest can still avoid, and starts from
-   the best fit as incumbent. A filling is used as often as the counts allow, so plans stay small whatever the number of documents.
+3. Bin completion plans sequences from the counts: a branch-and-bound search goes through the undominated fillings around the longest piece
+   left, prunes by the waste that a better solution may have, and starts from best fit decreasing as incumbent. A filling is used as often as
+   the counts allow, or once, so plans stay small whatever the number of documents.
 4. A piece's rank among those of its length gives its sequence and its offset by arithmetic. Ranks come from windows over
    (length, salt) and sums of a table with a row for each: a common length is spread over as many tasks as it needs.
 
-Nulls: a null text is empty and has just the end mark. Rows with a null id, and repeated rows, are packed too.
+Nulls: a null text is empty and has just the end mark. Rows with a null id, repeated ids and repeated rows (ties) are all packed, each by itself. Other columns
+are not read, so none can clash. An empty table gives an empty result; a text may have any length, as its pieces are rows of their own.
 """
 
 from __future__ import annotations
 
-import base64
+import json
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,37 +29,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlake.llm.common import run_dir, small_batches, stored
+from revlake.llm.common import frugal, run_dir, small_batches, stored
 
 CAPACITY = 2048
 #: Pieces that one window over a length and a salt should have; a length gets as many salts as its count asks for.
 ROWS_PER_SALT = 1000
-#: Steps of one search; after them its incumbent is used.
-SEARCH_STEPS = 4_000
+#: Fillings tried around a piece, steps of the search for them, and pieces of a filling up to which pairs of them are tested for dominance.
+ALTERNATIVES, SEARCH_STEPS, PAIRED = 12, 1_000, 12
+#: Nodes that the search for plans sees at most, besides two for each length; after them the best plan found is used.
+BRANCHES = 1_000
 
 
-@cache
-def tokenizer(ranks_path: str, pattern: str):
-    """Gives the ids that the vocabulary's other form gives in the tokenizers library with ``encode_special_tokens``, several times as fast; the tests compare them.
+class Tokenizer:
+    """Gives the ids that the tokenizers library gives with a byte-level BPE vocabulary in its JSON form and ``add_special_tokens=False``, several times as fast: added
+    tokens are found in the text as they are, the rest is encoded by the merge ranks. The tests compare them."""
+
+    def __init__(self, path: str, pattern: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            found = json.load(f)
+        # The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        raw = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in set(shown))}
+        added = {x["content"]: x["id"] for x in found["added_tokens"]}
+        odd = [x["content"] for x in found["added_tokens"] if x["single_word"] or x["lstrip"] or x["rstrip"]]
+        if odd:
+            raise ValueError(f"added tokens with conditions: {odd}")
+        ranks = {bytes(map(raw.__getitem__, k)): v for k, v in found["model"]["vocab"].items() if k not in added}
+        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
-    So a text that quotes the end mark gives the ids of its characters, and no control token."""
-    import tiktoken
+    def encode(self, text: str) -> list[int]:
+        return self.library.encode(text, allowed_special="all")
 
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+@cache
+def tokenizer(path: str, pattern: str) -> Tokenizer:
+    return Tokenizer(path, pattern)
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end mark, cut where they are too long."""
     small_batches(docs.sparkSession)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(ranks_path, pattern).encode_ordinary
+        encode = tokenizer(path, pattern).encode
         for b in batches:
             at, out = [], []
-            for k, text in enumerate(b.column(1).to_pylist()):
+            for k, text in enumerate(map(str, b.column(1).fill_null(""))):
                 ids = np.array([*encode(text or ""), end_id], "<u4")
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
@@ -67,53 +87,130 @@ def pieces(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *(pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(frugal(run), schema)
+
 
+def dominated(chosen: list[int], left: list[int], sizes: list[int], room: int) -> bool:
+    """Whether a filling of ``room`` can be replaced by one that leaves a better rest: a piece put in, one piece by a longer one, or two by one piece."""
+    waste = room - sum(chosen)
+    used = Counter(chosen)
 
-def filling(left: list[int], sizes: list[int], room: int, steps: int = SEARCH_STEPS) -> list[int]:
-    """Sizes of undominated least waste for ``room``; ``left`` has how many pieces of each size there are, ``sizes`` those with any, ascending."""
+    def between(low: int, high: int) -> bool:
+        """Whether a piece with low < size <= high is left."""
+        return any(left[s] > used[s] for s in sizes[bisect_right(sizes, low) : bisect_right(sizes, high)])
+
+    if between(0, waste) or waste and any(between(s, s + waste) for s in used):
+        return True
+    return any(between(x + y - 1, x + y + waste) for x, y in combinations(chosen, 2)) if len(chosen) <= PAIRED else False
+
+
+def fillings(left: list[int], sizes: list[int], room: int, most: int = ALTERNATIVES, steps: int = SEARCH_STEPS) -> list[list[int]]:
+    """Undominated fillings of ``room``, those of least waste first; ``left`` has how many pieces of each size there are, ``sizes`` those with any, ascending."""
     if not sizes or sizes[0] > room:
-        return []
-    best: list[int] = []
-    rest = room
-    while k := bisect_right(sizes, rest):  # best fit: the longest that goes in, again and again
-        s = sizes[k - 1]
-        while k and best.count(s) >= left[s]:
-            k -= 1
-            s = sizes[k - 1] if k else 0
-        if not k:
-            break
-        best.append(s)
-        rest -= s
-    waste, count = rest, 0
-    smallest = sizes[0]
+        return [[]]
+    found: list[tuple[int, list[int]]] = []
     supply = list(accumulate(s * left[s] for s in sizes))
+    count = 0
 
     def search(rest: int, top: int, chosen: list[int]) -> None:
-        nonlocal best, waste, count
-        if rest < waste:
-            best, waste = chosen[:], rest
-        if not waste or rest < smallest:
-            return
-        for k in range(bisect_right(sizes, min(rest, top)) - 1, -1, -1):
-            count += 1
-            if not waste or count > steps:
-                return
+        nonlocal count
+        k = bisect_right(sizes, min(rest, top)) - 1
+        whole = True
+        while k >= 0 and count <= steps:
             s = sizes[k]
-            if supply[k] <= rest - waste:  # all pieces of this size or less together leave no less
-                return
+            count += 1
+            if supply[k] <= rest - (found[-1][0] if len(found) == most else room + 1):  # all pieces of this size or less together leave no less
+                break
             if chosen.count(s) < left[s]:
+                whole = False
                 chosen.append(s)
                 search(rest - s, s, chosen)
                 chosen.pop()
+            k -= 1
+            if len(found) == most and not found[-1][0]:
+                return
+        if whole and (len(found) < most or rest < found[-1][0]) and not dominated(chosen, left, sizes, room):
+            insort(found, (rest, chosen[:]), key=lambda x: x[0])
+            del found[most:]
 
     search(room, room, [])
-    return best
+    if not found:  # the steps ran out before the first undominated one: best fit
+        chosen, rest, used = [], room, Counter()
+        for s in reversed(sizes):
+            while s <= rest and used[s] < left[s]:
+                chosen.append(s)
+                used[s] += 1
+                rest -= s
+        found = [(rest, chosen)]
+    return [x for _, x in found]
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Fillings, largest piece first, and how many sequences have each: bin completion's, unless the incumbent, best fit decreasing, has fewer."""
-    return min(completion(counts, capacity), best_fit(counts, capacity), key=lambda x: sum(n for _, n in x))
+    """Fillings, longest piece first, and how many sequences have each, by branch and bound.
+
+    A node fills sequences around the longest piece left, in one of its undominated fillings, as often as the counts allow or once; the best solution so far is
+    best fit decreasing's at first. A branch ends where its waste leaves no way to need one sequence less than that solution, and the search
+    where that solution meets the lower bound or ``BRANCHES`` nodes and two for each length have been seen; then it has the best one found."""
+    best = best_fit(counts, capacity)
+    bins = sum(n for _, n in best)
+    total = sum(s * n for s, n in counts.items())
+    # Pieces over half of the capacity never share a sequence.
+    bound = max(-(-total // capacity), sum(n for s, n in counts.items() if 2 * s > capacity))
+    left = [0] * (capacity + 1)
+    for s, n in counts.items():
+        left[s] = n
+    sizes = sorted(s for s, n in counts.items() if n)
+    path: list[tuple[list[int], int]] = []
+    seen = used = waste = 0
+
+    def change(chosen: list[int], times: int) -> None:
+        nonlocal used, waste
+        used += times
+        waste += times * (capacity - sum(chosen))
+        for x, n in Counter(chosen).items():
+            had = left[x]
+            left[x] -= times * n
+            if had and not left[x]:
+                sizes.pop(bisect_left(sizes, x))
+            elif not had and left[x]:
+                insort(sizes, x)
+
+    def alternatives() -> list[tuple[list[int], int]]:
+        s = sizes[-1]
+        left[s] -= 1
+        some = sizes if left[s] else sizes[:-1]
+        options = [[s, *x] for x in fillings(left, some, capacity - s)]
+        left[s] += 1
+        out = []
+        for chosen in options:
+            times = min(left[x] // n for x, n in Counter(chosen).items())
+            out += [(chosen, t) for t in dict.fromkeys((times, 1))]
+        return out
+
+    # Of each node on the way down, the alternatives that are left; the path has one step less.
+    untried = [iter(alternatives())] if bins > bound else []
+    while untried and bins > bound and seen < BRANCHES + 2 * len(counts):
+        step = next(untried[-1], None)
+        if step is None:
+            untried.pop()
+            if path:
+                chosen, times = path.pop()
+                change(chosen, -times)
+            continue
+        chosen, times = step
+        # What a solution of one sequence less may waste.
+        if waste + times * (capacity - sum(chosen)) > (bins - 1) * capacity - total:
+            continue
+        path.append(step)
+        change(chosen, times)
+        if sizes:
+            seen += 1
+            untried.append(iter(alternatives()))
+        else:
+            best, bins = path[:], used
+            change(chosen, -times)
+            path.pop()
+    return best
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -141,27 +238,6 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[lis
     return [x for found in rooms.values() for x in found]
 
 
-def completion(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    left = [0] * (capacity + 1)
-    for s, n in counts.items():
-        left[s] = n
-    sizes = sorted(s for s, n in counts.items() if n)
-    out = []
-    while sizes:
-        s = sizes[-1]
-        left[s] -= 1
-        some = sizes if left[s] else sizes[:-1]
-        chosen = [s, *filling(left, some, capacity - s)]
-        left[s] += 1
-        times = min(left[x] // chosen.count(x) for x in set(chosen))
-        for x in set(chosen):
-            left[x] -= times * chosen.count(x)
-            if not left[x]:
-                sizes.remove(x)
-        out.append((chosen, times))
-    return out
-
-
 def pack(parts: DataFrame, *, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``; it must be a stored table, as it is read twice."""
     spark = parts.sparkSession
@@ -202,4 +278,4 @@ def pack(parts: DataFrame, *, id_col: str = "doc_id", capacity: int = CAPACITY)
                 off[own] = offset[k] + q % each[k] * s
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(seq), pa.array(off)], [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(frugal(place), schema)

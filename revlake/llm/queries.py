@@ -72,7 +72,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    parts = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    parts = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return packing.pack(packing.stored(parts, f"{run_dir(spark, 'pieces')}/pieces"))
 
 

@@ -16,6 +16,7 @@ from revlake.llm import bpe, embed_dedup, exact_dedup, html_extract, langid, lin
 from revlake.llm.components import components
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 TEXTS = [None, "", " ", "a", "The cat sat.", "the CAT\tsat.", "The cat  sat.", "The cat sat.", "é漢字 ümläut\n\n x", "word " * 3000, "nospace" * 800, "<|endoftext|> it's 12345 !!", "a\nb\nc\nd\ne", "x\na\nb\nc\nd\ne", "\x1c\x85 odd space"]
 
@@ -80,7 +81,7 @@ def test_every_operator_takes_empty_tables(spark, docs):
     assert html_extract.extract(pages).count() == 0 and bpe.decode(bpe.encode(none, RANKS, PATTERN), RANKS).count() == 0
     assert langid.predict(none, langid.learn(none)).count() == 0
     assert quality.predict(quality.features(none), quality.fit(quality.features(none).selectExpr("doc_id AS id", "stats", "1 AS label"))).count() == 0
-    assert packing.pack(packing.pieces(none, RANKS, PATTERN)).count() == 0
+    assert packing.pack(packing.pieces(none, JSON, PATTERN)).count() == 0
     assert embed_dedup.near_vectors(none.selectExpr("doc_id AS vec_id", "CAST(array(1.0) AS array<float>) AS embedding")).count() == 0
 
 
@@ -268,15 +269,17 @@ def test_isotonic_pooling():
 def test_packing_is_whole_and_tight(spark, docs):
     from tokenizers import Tokenizer
 
-    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
-    parts = packing.pieces(docs.filter("doc_id is not null").dropDuplicates(["doc_id"]), RANKS, PATTERN, capacity=64)
+    lib = Tokenizer.from_file(JSON)
+    assert lib.encode("a <|endoftext|> b", add_special_tokens=False).ids == packing.tokenizer(JSON, PATTERN).encode("a <|endoftext|> b")
+    parts = packing.pieces(docs, JSON, PATTERN, capacity=64)
     got = packing.pack(packing.stored(parts, packing.run_dir(spark, "t")), capacity=64).toPandas()
-    for r in docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).collect():
+    want = collections.Counter()
+    for r in docs.collect():
         ids = np.array([*lib.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
-        own = got[got.doc_id == r["doc_id"]].sort_values("piece")
-        assert own.length.sum() == len(ids) and (own.length.iloc[1:] == 64).all()
-        assert all(zlib.crc32(ids[s : s + n].tobytes()) == c for s, n, c in zip(own.start, own.length, own.ids_crc32, strict=True))
+        first = len(ids) % 64 or 64
+        cuts = [0, *range(first, len(ids) + 1, 64)]
+        want.update((r["doc_id"], p, s, e - s, zlib.crc32(ids[s:e].tobytes())) for p, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)))
+    assert want == collections.Counter((None if d != d else int(d), *x) for d, *x in got[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False))
     for _, g in got.sort_values("offset").groupby("sequence_id"):
         assert list(g.offset) == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= 64
 
@@ -303,6 +306,43 @@ def test_plans_beat_best_fit_decreasing():
         assert sum(t for _, t in plan) <= n
 
 
+def fewest(sizes, room):
+    """Exact: over all sets of pieces, (sequences, fill of the last) at least."""
+    best = {0: (0, room)}
+    for mask in range(1, 1 << len(sizes)):
+        best[mask] = min((n, used + s) if used + s <= room else (n + 1, s) for k, s in enumerate(sizes) if mask >> k & 1 for n, used in [best[mask ^ 1 << k]])
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_plans_are_exact_on_small_cases():
+    """Also where best fit decreasing needs more sequences."""
+    rng, lost = random.Random(4), 0
+    for _ in range(400):
+        sizes = [rng.randrange(2, 13) for _ in range(rng.randrange(4, 10))]
+        counts = dict(collections.Counter(sizes))
+        found = packing.plan(counts, 20)
+        used = collections.Counter()
+        for chosen, times in found:
+            assert sum(chosen) <= 20
+            for x in chosen:
+                used[x] += times
+        n = sum(t for _, t in found)
+        assert used == counts and n == fewest(sizes, 20)
+        lost += sum(t for _, t in packing.best_fit(counts, 20)) > n
+    assert lost
+
+
+def test_vectors_that_share_an_id(spark):
+    """Two vectors under one id are linked each by themselves, and connect nothing."""
+    e = np.eye(4)
+    rows = [(1, e[0]), (1, e[1]), (2, e[0] + 0.1 * e[2]), (3, e[1] + 0.1 * e[2]), (4, e[3]), (4, e[3])]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>").withColumn("class", F.lit("clash"))
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embed_dedup.near_vectors(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (4, 1, 4)]
+    edge = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.95, float(np.sqrt(1 - 0.95**2)) * (1 + 1e-9)])], "vec_id long, embedding array<double>")
+    assert [r["n_links"] for r in embed_dedup.near_vectors(edge).collect()] == [0, 0]
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(30, 32))
