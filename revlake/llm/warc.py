@@ -4,8 +4,10 @@ An archive is two Parquet tables in a folder: ``payloads`` has each distinct pay
 ``headers`` has the exact header bytes of every record and the key of its payload. A record's original bytes are the
 join of the two. All of it is DataFrame functions; payload bytes are shuffled once, after equal ones of a task met.
 
-Nulls: a null body is an empty payload, a null url an empty ``WARC-Target-URI``. Rows with a null id are written too;
-they are responses unless a row with an id has the same payload. Equal rows give equal records. An empty table gives an empty archive.
+Rows of one digest are merged by comparing their bytes; two payloads with one SHA-256 would end the job. Nulls: a null body is an empty payload, a null url an
+empty ``WARC-Target-URI``. Rows with a null id are written too; they are responses unless a row with an id has the same payload. Ties: rows that repeat an id and
+its payload repeat its record, and count as the response if theirs is the largest id. Line breaks in a url are percent-encoded, as a header has none. Other
+columns are not read, so none can clash. An empty table gives an empty archive; payloads may have any length.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from revlake.llm.common import stored
 
 CRLF = "\r\n"
+# Fixed value: the profile of revisit records with equal payloads.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads under this size are never written as revisits.
 REVISIT_MIN_BYTES = 1000
 #: The tables have no capture time; records carry this one unless another is given.
@@ -23,7 +27,13 @@ NO_DATE = "1970-01-01T00:00:00Z"
 
 
 def _line(name: str, value: Column) -> Column:
-    return F.concat(F.lit(f"{name}: "), F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), r"[\r\n]+", " "), F.lit(CRLF))
+    text = F.replace(F.replace(F.coalesce(value.cast("string"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    return F.concat(F.lit(f"{name}: "), text, F.lit(CRLF))
+
+
+def _record_id(key: Column) -> Column:
+    """Names a record by its row's id and its payload's digest, which records that refer to it share."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("none")), F.lit(":"), F.col("sha1"), F.lit(">"))
 
 
 def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", uri_col: str = "url", body_col: str = "html", min_bytes: int = REVISIT_MIN_BYTES, date: str = NO_DATE) -> str:
@@ -37,17 +47,20 @@ def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", uri_c
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         _line("WARC-Type", kind),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("none")), F.lit(">"))),
+        _line("WARC-Record-ID", _record_id(F.col("id"))),
         _line("WARC-Target-URI", F.col("uri")),
         _line("WARC-Date", F.lit(date)),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        F.when(revisit, _line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("owner").cast("string"), F.lit(">")))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(_line("WARC-Profile", F.lit(PROFILE)), _line("WARC-Refers-To", _record_id(F.col("owner"))))).otherwise(F.lit("")),
         _line("Content-Type", F.lit("text/html")),
         _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("bytes"))),
         F.lit(CRLF),
     )
     base.select("id", "uri", "digest", "sha1", "bytes").join(owners, "digest").select("id", "digest", F.encode(header, "UTF-8").alias("header")).write.parquet(f"{path}/headers")
-    base.select("digest", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    # Equal digests are merged where their bytes are equal too.
+    kept = stored(base.select("digest", "payload").distinct(), f"{path}/payloads")
+    if kept.groupBy("digest").count().filter("count > 1").limit(1).count():
+        raise ValueError("different payloads with one SHA-256")
     return path
 
 
@@ -74,7 +87,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         "id",
         kind.alias("record_type"),
         _field("WARC-Target-URI").alias("uri"),
-        F.nullif(F.regexp_extract(_field("WARC-Refers-To"), r"<urn:page:(-?\d+)>", 1), F.lit("")).cast("long").alias("refers_to"),
+        F.nullif(F.regexp_extract(_field("WARC-Refers-To"), r"<urn:page:(-?\d+):", 1), F.lit("")).cast("long").alias("refers_to"),
         "payload_bytes",
         "payload_digest",
         (_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))).alias("digest_agrees"),
