@@ -4,31 +4,34 @@ Each letter has a random vector of +1 and -1. An n-gram binds the vectors of its
 of the rolled vectors. A text bundles its n-grams: their sum by count. A language's prototype is the bundle of all its texts; a
 text gets the language with the largest cosine. Runs of other characters count as one blank, case is ignored, and the text is used whole.
 
-Prototypes: each task bundles what it reads into one vector per language, Spark adds the vectors up. What comes to the driver is languages
-times dimensions numbers. Nulls: texts that are null or have no letter are ``und`` with score 0 and teach nothing; rows with
-a null language or id teach nothing. With nothing to learn from, every text is ``und``.
+Prototypes: each task bundles what it reads into one vector per language, Spark adds the vectors up. They are a stored table; tasks get a block of
+them at a time, so languages may be any number. Nulls: texts that are null or have no letter are ``und`` with score 0 and teach nothing; rows with
+a null language teach nothing. With nothing to learn from, as from an empty table, every text is ``und``. Ties go to the first language by name; repeated rows and ids count and are
+predicted each by themselves. Only the columns in ``keep`` are passed on, so others can't clash; a text may have any length.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlake.llm.common import small_batches
+from revlake.llm.common import frugal, run_dir, small_batches, stored
 
 DIMENSIONS = 1024
 GRAM = 3
 UNKNOWN = "und"
-#: Languages that a model may have: prototypes are sent to every task.
-MOST_LANGUAGES = 1000
+#: Languages whose prototypes are sent to tasks at a time, of 8 KB each.
+BLOCK_LANGUAGES = 1000
 #: Vectors of n-grams that a worker keeps, one byte a dimension.
-KEPT_GRAMS = 40_000
+KEPT_GRAMS = 30_000
 SEED = 20_011
 
 
@@ -88,52 +91,94 @@ def vectors(dimensions: int) -> Vectors:
     return Vectors(dimensions)
 
 
-def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
-    """The prototype of each language in ``lang_col``."""
-    small_batches(docs.sparkSession)
+@dataclass
+class Prototypes:
+    """A stored table (no, lang, v) of unit vectors, languages in order, and how many there are."""
+
+    table: DataFrame | None
+    count: int
+
+    def block(self, at: int) -> dict[str, np.ndarray]:
+        """The prototypes from number ``at`` on, ``BLOCK_LANGUAGES`` of them."""
+        if not self.count:
+            return {}
+        found = self.table.filter(F.col("no").between(at, at + BLOCK_LANGUAGES - 1)).orderBy("no").collect()
+        return {r["lang"]: np.array(r["v"]) / np.linalg.norm(r["v"]) for r in found}
+
+
+def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS) -> Prototypes:
+    """The prototype of each language in ``lang_col``. Languages whose texts have no letter, or bundle to zero, have none."""
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             by: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by.setdefault(lang, []).append(gram_codes(text))
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                by.setdefault(lang, []).append(gram_codes(text.as_py()))
             for lang, codes in by.items():
                 sums[lang] = sums.get(lang, 0) + vectors(dimensions).bundle(np.concatenate(codes))
+            if len(sums) > BLOCK_LANGUAGES:
+                yield bundles_of(sums)
+                sums = {}
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], ["lang", "bundle"])
+            yield bundles_of(sums)
+        vectors.cache_clear()
 
-    bundles = rows.mapInArrow(run, "lang string, bundle array<double>")
+    bundles = rows.mapInArrow(frugal(run), "lang string, bundle array<double>")
     added = bundles.select("lang", F.posexplode("bundle").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
-    per_lang = added.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).select("lang", "v.x").limit(MOST_LANGUAGES + 1).collect()
-    if len(per_lang) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return {r["lang"]: v / np.linalg.norm(v) for r in sorted(per_lang) if np.linalg.norm(v := np.array(r["x"]))}
+    per_lang = added.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).select("lang", F.col("v.x").alias("v")).filter(F.exists("v", lambda x: x != 0))
+    at = run_dir(spark, "languages")
+    per_lang = stored(per_lang, f"{at}/bundles")
+    numbers = per_lang.select("lang").withColumn("no", F.row_number().over(Window.orderBy("lang")) - 1)
+    numbered = stored(per_lang.join(numbers, "lang").select("no", "lang", "v"), f"{at}/prototypes")
+    return Prototypes(numbered, numbered.count())
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), dimensions: int = DIMENSIONS) -> DataFrame:
-    """The columns in ``keep``, ``lang_pred`` and ``score``, the cosine with that language's prototype, at least 0."""
-    from pyspark.sql import types as T
+def bundles_of(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], ["lang", "bundle"])
 
+
+def predict(docs: DataFrame, prototypes: Prototypes, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), dimensions: int = DIMENSIONS) -> DataFrame:
+    """The columns in ``keep``, ``lang_pred`` and ``score``, the cosine with that language's prototype, at least 0."""
     small_batches(docs.sparkSession)
-    names, n = [*prototypes, UNKNOWN], len(keep)
-    table = np.array(list(prototypes.values())) if prototypes else np.zeros((0, dimensions))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)])
+    n, last = len(keep), max(0, prototypes.count - 1) // BLOCK_LANGUAGES
+    kept = [docs.schema[c] for c in keep]
+    found = docs.select(*keep, F.col(text_col).alias("_text"), F.lit(None).cast("string").alias("_lang"), F.lit(-2.0).alias("_cosine"))
+    at = run_dir(docs.sparkSession, "predicted")
+    for k in range(last + 1):
+        run, names = _best(prototypes.block(k * BLOCK_LANGUAGES), n, keep, dimensions, k == last)
+        schema = T.StructType(kept + ([T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)] if k == last else [T.StructField("_text", T.StringType()), T.StructField("_lang", T.StringType()), T.StructField("_cosine", T.DoubleType())]))
+        found = found.mapInArrow(run, schema)
+        if k < last:  # more languages than one block: a pass for each, stored in between
+            found = stored(found, f"{at}/{k}")
+    return found
+
+
+def _best(block: dict[str, np.ndarray], n: int, keep: tuple[str, ...], dimensions: int, last: bool):
+    """A pass over rows with a text and the best language so far, which compares them with one block of languages."""
+    names = list(block)
+    table = np.array(list(block.values())) if block else np.zeros((0, dimensions))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             best, scores = [], []
-            for text in b.column(n).to_pylist():
-                codes = gram_codes(text)
-                d = vectors(dimensions).bundle(codes)
-                norm = np.linalg.norm(d)
-                if not len(codes) or not norm or not len(table):
-                    best.append(UNKNOWN), scores.append(0.0)
-                    continue
-                cosines = table @ d / norm
-                k = int(cosines.argmax())
-                best.append(names[k]), scores.append(min(1.0, max(0.0, float(cosines[k]))))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(best), pa.array(scores)], [*keep, "lang_pred", "score"])
-
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+            for text, lang, cosine in zip(b.column(n), b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist(), strict=True):
+                codes = gram_codes(text.as_py())
+                if len(codes) and names:
+                    d = vectors(dimensions).bundle(codes)
+                    # A bundle of zeros is as near to all languages: the first.
+                    cosines = table @ d / (np.linalg.norm(d) or 1.0)
+                    k = int(cosines.argmax())
+                    if cosines[k] > cosine:
+                        lang, cosine = names[k], float(cosines[k])
+                best.append(lang), scores.append(cosine)
+            if last:
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([x or UNKNOWN for x in best], pa.string()), pa.array([min(1.0, max(0.0, x)) for x in scores], pa.float64())], [*keep, "lang_pred", "score"])
+            else:
+                yield pa.RecordBatch.from_arrays([*b.columns[: n + 1], pa.array(best, pa.string()), pa.array(scores, pa.float64())], [*keep, "_text", "_lang", "_cosine"])
+        vectors.cache_clear()
+
+    return frugal(run), names
