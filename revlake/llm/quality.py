@@ -5,8 +5,10 @@ Each task sums its part of the normal equations, by fold; the driver adds these
 Scores of the folds left out of a fit are calibrated by pooling adjacent violators over 1000 bins.
 
 Only the fit is bounded: ``FIT_ROWS`` labelled rows are taken by a hash of the id when there are more; every text is scored.
-Nulls: a null text is an empty one; empty texts are scored like others. Labelled rows without id or label aren't used. With labels of one
-kind only, every score is that kind's share; with no labels it is 0.5.
+Nulls: a null text is an empty one; empty texts are scored like others, as are rows with a null id. Labelled rows without id or label aren't used. With labels of one
+kind only, every score is that kind's share; with no labels, as from empty tables, it is 0.5. Folds without labelled rows don't count, so any number of labels will do. Ties and repeated rows:
+equal texts have equal scores; rows that repeat an id are learnt from and scored each by their own text. Only the columns in ``keep`` are passed on, so others can't clash; a
+text may have any length.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlake.llm.common import run_dir, small_batches, stored
+from revlake.llm.common import frugal, run_dir, small_batches, stored
 
 #: Labelled rows that a model is fitted on at most, in expectation.
 FIT_ROWS = 50_000
@@ -63,9 +65,9 @@ def features(docs: DataFrame, *, text_col: str = "text", keep: tuple[str, ...] =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([statistics(x) for x in b.column(n).to_pylist()], pa.list_(pa.float64()))], [*keep, "stats"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([statistics(x.as_py()) for x in b.column(n)], pa.list_(pa.float64()))], [*keep, "stats"])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + [T.StructField("stats", T.ArrayType(T.DoubleType(), False), False)]))
+    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(frugal(run), T.StructType([docs.schema[c] for c in keep] + [T.StructField("stats", T.ArrayType(T.DoubleType(), False), False)]))
 
 
 @dataclass
@@ -80,7 +82,7 @@ class Model:
 
     def expand(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -6, 6)
-        return np.hstack([np.cos(z @ self.frequency + self.phase) * np.sqrt(2 / len(self.phase)), z, np.ones((len(z), 1))])
+        return np.hstack([np.cos(z @ self.frequency + self.phase) * np.sqrt(2 / len(self.phase)), np.ones((len(z), 1))])
 
     def score(self, x: np.ndarray) -> np.ndarray:
         raw = self.expand(x) @ self.weights
@@ -88,8 +90,8 @@ class Model:
         return np.clip(0.999 * np.interp(raw, self.at, self.level) + 0.001 * np.clip(raw, 0, 1), 0, 1)
 
 
-def _sums(rows: DataFrame, of) -> list[np.ndarray]:
-    """Per fold, the sum over all rows of ``of(x, y)``, a matrix; tasks add their own rows."""
+def _sums(rows: DataFrame, of) -> dict[int, np.ndarray]:
+    """By fold that has rows, the sum over them of ``of(x, y)``, a vector; tasks add their own rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -101,9 +103,9 @@ def _sums(rows: DataFrame, of) -> list[np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["fold", "part"])
 
     out: dict[int, np.ndarray] = {}
-    for r in rows.select("stats", "label", "fold").mapInArrow(run, "fold int, part binary").collect():
+    for r in rows.select("stats", "label", "fold").mapInArrow(frugal(run), "fold int, part binary").collect():
         out[r["fold"]] = out.get(r["fold"], 0) + np.frombuffer(r["part"])
-    return [out[k] for k in sorted(out)]
+    return {k: out[k] for k in sorted(out)}
 
 
 def pool(at: np.ndarray, total: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +131,7 @@ def fit(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, frequencies: int = FRE
     found = _sums(rows, lambda x, y: np.concatenate([x.sum(0), (x**2).sum(0), [y.sum(), len(y)]]))
     if not found:
         return 0.5
-    moments = sum(found)
+    moments = sum(found.values())
     d = (len(moments) - 2) // 2
     ones, total = moments[-2:]
     if ones in (0, total):
@@ -137,7 +139,7 @@ def fit(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, frequencies: int = FRE
     mean = moments[:d] / total
     scale = np.sqrt(np.maximum(moments[d : 2 * d] / total - mean**2, 1e-12)) + 1e-6
     rng = np.random.default_rng(SEED)
-    size = frequencies + d + 1
+    size = frequencies + 1
     model = Model(mean, scale, rng.normal(0, 1 / BANDWIDTH, (d, frequencies)), rng.uniform(0, 2 * np.pi, frequencies), np.zeros(size), np.zeros(1), np.zeros(1))
 
     def normal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -148,8 +150,9 @@ def fit(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, frequencies: int = FRE
         return np.linalg.solve(part[: size * size].reshape(size, size) + RIDGE * np.eye(size), part[size * size :])
 
     parts = _sums(rows, normal)
-    whole = sum(parts)
-    left_out = [solve(whole - p) for p in parts] if len(parts) > 1 else [solve(whole)]
+    whole = sum(parts.values())
+    # A fold's scores come from a fit without it; a single fold has none but its own.
+    left_out = {k: solve(whole - p) if len(parts) > 1 else solve(whole) for k, p in parts.items()}
     edges = np.linspace(-0.5, 1.5, BINS - 1)
 
     def binned(k: int):
@@ -161,8 +164,8 @@ def fit(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, frequencies: int = FRE
         return of
 
     sums = np.zeros(3 * BINS)
-    for k in range(len(left_out)):
-        for found in _sums(rows.filter(F.col("fold") == k) if len(left_out) > 1 else rows, binned(k)):
+    for k in left_out:
+        for found in _sums(rows.filter(F.col("fold") == k), binned(k)).values():
             sums += found
     weight, good, raw = sums.reshape(3, BINS)
     has = weight > 0
@@ -181,4 +184,4 @@ def predict(rows: DataFrame, model: Model | float, *, keep: tuple[str, ...] = ("
             score = np.full(len(b), model) if isinstance(model, float) else model.score(x) if len(b) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score)], [*keep, "score"])
 
-    return rows.select(*keep, "stats").mapInArrow(run, T.StructType([rows.schema[c] for c in keep] + [T.StructField("score", T.DoubleType(), False)]))
+    return rows.select(*keep, "stats").mapInArrow(frugal(run), T.StructType([rows.schema[c] for c in keep] + [T.StructField("score", T.DoubleType(), False)]))

@@ -92,15 +92,28 @@ def test_warc_round_trip(spark, tmp_path):
     got = sorted(((r["id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_records(spark, path).collect()), key=str)
     assert got == sorted([(1, "revisit", 2, 1200), (2, "response", None, 1200), (2, "response", None, 1200), (3, "response", None, 5), (4, "response", None, 5), (5, "response", None, 0), (None, "revisit", 2, 1200)], key=str)
     assert spark.read.parquet(f"{path}/payloads").count() == 3
-    for r in warc.read_records(spark, path).filter("id = 3").collect():
-        head, _, body = bytes(r["record"]).partition(b"\r\n\r\n")
-        assert head.startswith(b"WARC/1.1\r\nWARC-Type: response") and body == b"small\r\n\r\n" and r["digest_agrees"]
+    for r in warc.read_records(spark, path).collect():
+        i, u, body = next(x for x in rows if x[0] == r["id"])
+        body = (body or "").encode()
+        sha, revisit = hashlib.sha1(body).hexdigest(), r["record_type"] == "revisit"
+        name = f"<urn:page:{'none' if i is None else i}:{sha}>"
+        more = f"WARC-Profile: {warc.PROFILE}\r\nWARC-Refers-To: <urn:page:{r['refers_to']}:{sha}>\r\n" if revisit else ""
+        uri = (u or "").replace("\r", "%0D").replace("\n", "%0A")
+        head = f"WARC/1.1\r\nWARC-Type: {r['record_type']}\r\nWARC-Record-ID: {name}\r\nWARC-Target-URI: {uri}\r\nWARC-Date: {warc.NO_DATE}\r\nWARC-Payload-Digest: sha1:{sha}\r\n{more}Content-Type: text/html\r\nContent-Length: {0 if revisit else len(body)}\r\n\r\n"
+        assert bytes(r["record"]) == head.encode() + (b"" if revisit else body) + b"\r\n\r\n" and bytes(r["payload"]) == body and r["digest_agrees"]
     bad = spark.read.parquet(f"{path}/payloads").withColumn("payload", F.lit(b"?"))
     bad.write.parquet(f"{path}/other/payloads")
     with pytest.raises(Exception, match="differs from its digest"):
         warc.read_payloads(spark, f"{path}/other").collect()
 
 
+def test_warc_empty_and_clashing(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "u", "x" * 2000), (2, "u", "x" * 2000)], "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in ("id", "uri", "payload", "digest", "sha1", "bytes", "owner")})
+    got = warc.read_records(spark, warc.write_archive(rows, str(tmp_path / "c"))).collect()
+    assert sorted((r["id"], r["record_type"], r["refers_to"]) for r in got) == [(1, "revisit", 2), (2, "response", None)]
+    assert warc.read_records(spark, warc.write_archive(rows.limit(0), str(tmp_path / "e"))).count() == 0
+
+
 def test_directory_splits_overfull_buckets(spark, tmp_path):
     keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(500)] + [f"{i:064x}" for i in range(0, 1 << 18, 1 << 11)]
     d, bits = exact_dedup.directory(spark.createDataFrame([(k,) for k in keys], "digest string"), str(tmp_path / "d"), 20, 4)
@@ -246,6 +259,67 @@ def test_language_accuracy_on_held_out(spark):
     assert {(r["lang_pred"], r["score"]) for r in langid.predict(odd, langid.learn(docs)).collect()} == {("und", 0.0)}
 
 
+def test_languages_against_brute_force(spark):
+    """Predictions and cosines equal those of sums over all n-grams, whatever the size of a block of languages."""
+    rng = random.Random(8)
+    made = [(i, " ".join("".join(rng.choice(a) for _ in range(rng.randrange(2, 8))) for _ in range(40)), f"l{k}") for k, a in enumerate(("abcdef", "defghi", "ghijkl", "jklmno", "xyzéß")) for i in range(k * 10, k * 10 + 6)]
+    odd = [(100, None, "l0"), (101, "", "l1"), (102, "12 !", "l2"), (None, "abc abc def", None), (0, "xyz ß", None), (0, "xyz ß", None), (103, "ab" * 50_000, None), (104, "ΑΒΓ", None)]
+    df = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in made + odd], "doc_id long, text string, lang string, _text string, lang_pred string, score string")
+
+    def bundle(text):
+        out = np.zeros(langid.DIMENSIONS)
+        for c, n in collections.Counter(langid.gram_codes(text).tolist()).items():
+            letters = [np.random.default_rng([langid.SEED, c >> 21 * k & 0x1FFFFF]).choice(np.array([-1, 1]), langid.DIMENSIONS) for k in range(langid.GRAM)]
+            out += n * np.prod([np.roll(x, k) for k, x in enumerate(letters)], 0)
+        return out
+
+    sums = {lang: sum(bundle(t) for _, t, x in made if x == lang) for lang in sorted({x for *_, x in made})}
+    want = collections.Counter()
+    for i, t, _ in made + odd:
+        cosines = {x: v @ (d := bundle(t)) / np.linalg.norm(v) / (np.linalg.norm(d) or 1) for x, v in sums.items()}
+        has = any(map(str.isalpha, t or ""))
+        want[i, max(cosines, key=cosines.get) if has else "und", round(max(0, *cosines.values()), 6) if has else 0.0] += 1
+    old = langid.BLOCK_LANGUAGES
+    try:
+        for langid.BLOCK_LANGUAGES in (old, 2):
+            got = langid.predict(df, langid.learn(df)).collect()
+            assert collections.Counter((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in got) == want
+    finally:
+        langid.BLOCK_LANGUAGES = old
+
+
+def test_quality_fit_against_brute_force(spark):
+    """Weights solve the ridge equations of all rows, and the calibration is that of scores from fits without the row's fold."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5))
+    y = (np.sin(x[:, 0]) + x[:, 1] ** 2 + 0.3 * rng.normal(size=300) > 1).astype(int)
+    rows = spark.createDataFrame([(i, a.tolist(), int(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "id long, stats array<double>, label int")
+    m = quality.fit(rows, frequencies=40)
+    folds = np.array([r[0] for r in rows.select(F.pmod(F.hash(F.col("id").cast("string")), F.lit(quality.FOLDS))).collect()])
+    z = m.expand(x)
+    solve = lambda own: np.linalg.solve(z[own].T @ z[own] + quality.RIDGE * np.eye(z.shape[1]), z[own].T @ y[own])
+    assert np.allclose(m.weights, solve(np.ones(300, bool)))
+    raw = np.zeros(300)
+    for k in range(quality.FOLDS):
+        raw[folds == k] = z[folds == k] @ solve(folds != k)
+    at = np.digitize(raw, np.linspace(-0.5, 1.5, quality.BINS - 1))
+    w, good, total = (np.bincount(at, v, quality.BINS) for v in (np.ones(300), y, raw))
+    where, level = quality.pool(total[w > 0] / w[w > 0], good[w > 0], w[w > 0])
+    assert np.allclose(m.at, where) and np.allclose(m.level, level) and (np.diff(m.level) > 0).all()
+    auc = (m.score(x)[y == 1][:, None] > m.score(x)[y == 0][None, :]).mean()
+    assert auc > 0.9
+
+
+def test_quality_with_few_labels(spark):
+    """Whatever folds the labelled rows fall into; nulls, repeated ids and clashing columns."""
+    texts = [(i, f"Some words of text {i}. " * (i % 5 + 1), i % 2) for i in range(8)]
+    docs = spark.createDataFrame([(i, t, "clash", "clash", "clash") for i, t, _ in texts] + [(None, None, "c", "c", "c"), (1, "", "c", "c", "c"), (1, "x " * 200_000, "c", "c", "c")], "doc_id long, text string, stats string, score string, _text string")
+    for own in ([2, 3], [0, 1], [0, 1, 2, 3], [1, 3], [], range(8)):
+        labels = spark.createDataFrame([(i, q) for i, _, q in texts if i in own] + [(None, 1), (500, 0), (3, None)], "doc_id long, quality int")
+        got = queries.scored(spark, docs, labels).collect()
+        assert len(got) == docs.count() and all(0 <= r["score"] <= 1 for r in got)
+
+
 def test_bundle_is_the_sum_of_bound_vectors():
     v = langid.Vectors(256)
     codes = langid.gram_codes("Ab a")
