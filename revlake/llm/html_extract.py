@@ -1,14 +1,18 @@
 """Main text of web pages, with site templates removed.
 
-1. Each page is read once to hash its element subtrees (tag, class, text, children's hashes) outside the main content.
-2. Spark counts, per host, the pages that hold each hash. Hashes of ``min_pages`` pages or more, and of ``min_share`` of the host's
-   pages or more, are templates; so a host has at most 1 / ``min_share`` times the elements of a page.
-3. Each page is read again: template subtrees are deleted, as are elements whose tag, role or class says that they are not
-   article text; the rest becomes blocks. ``article`` elements are the main content, else ``main``, else the whole body.
-   Inside them nothing is deleted for recurring: a passage that many articles quote is text. Elements around them are no
-   subtrees outside the main content, so they are neither hashed nor deleted; the elements beside it are.
-
-Nulls: null html is an empty page, whose text is empty; a null url has host "". Repeated pages each get a row.
+1. Each page is read once to hash its element subtrees (tag, class, text, children's hashes), within the main content and outside of it,
+   and its shells: the tag, class, id and role of elements that stand beside the main content, or whose names say that they aren't text.
+2. Spark counts, per host, the pages that hold each hash. Hashes of ``min_pages`` pages or more, and of a share of the host's pages that depends on
+   their kind (``SHARES``), are templates; so a host has at most 1 / share times the elements of a page.
+3. Each page is read again. Template subtrees are deleted, as are what stands beside the main content in a shell that recurs, and elements with a telling name
+   in a shell that recurs. Elements that HTML itself sets apart (scripts, styles, navigation, forms, asides, footers, hidden ones) go too. The rest becomes blocks.
+   ``article`` elements are the main content, else ``main``; these and the elements around them are no templates. Inside them only containers that most
+   pages of the host share are deleted, and no paragraphs: a passage that many articles quote is text.
+
+Counts say nothing about hosts of fewer than ``min_pages`` pages. There names alone decide, and where a page has main content only that is taken.
+
+Nulls: null html is an empty page, whose text is empty; pages with a null url or one without a host have no host, so names decide. Repeated pages and ids (ties) each
+get a row. Only the columns in ``keep`` are passed on, so others can't clash. An empty table gives an empty result; a page may have any length.
 """
 
 from __future__ import annotations
@@ -16,19 +20,22 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlake.llm.common import run_dir, small_batches, stored
+from revlake.llm.common import frugal, run_dir, small_batches, stored
 
-#: A subtree is a template from this many pages of a host on,
+#: A hash is a template from this many pages of a host on, and from a share of the host's pages on, by kind, which are a hash's last two bits:
 MIN_PAGES = 10
-#: and from this share of the host's pages on.
-MIN_SHARE = 0.05
-#: Templates that are broadcast at most (16 bytes and a host name each); more are joined by a shuffle.
+OUTSIDE, INSIDE, BESIDE, NAMED = range(4)
+#: subtrees outside and inside the main content, shells beside it, shells with a telling name.
+SHARES = (0.05, 0.5, 0.5, 0.05)
+#: Templates and hosts that are sent to every task at most (16 bytes and a host name each); more are joined by a shuffle.
 BROADCAST_TEMPLATES = 50_000
 
 TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[a-zA-Z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|<[a-zA-Z/!?][^>]*+>|[^<]++|<""", re.S)
@@ -45,6 +52,8 @@ SAME_LEVEL = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"},
 NOT_TEXT = frozenset("script style head title noscript template iframe object embed svg canvas map nav aside footer form button select option input textarea dialog menu audio video applet frameset search datalist math".split())
 NOT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 NOT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay sidebar comment comments disqus respond newsletter subscribe subscription signup login share sharing social breadcrumb breadcrumbs menu navbar nav navigation related recommended pagination pager footer masthead widget widgets toolbar skip disclaimer".split())
+#: Elements that may be deleted inside the main content.
+CONTAINERS = frozenset("div section aside figure details ul ol dl table center".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -53,28 +62,54 @@ def host(url: Column) -> Column:
 
 
 def refused(tag: str, attrs: dict[str, str], inside: int) -> bool:
-    """Whether an element's name, role, class or id says that it isn't article text."""
+    """Whether HTML itself says that an element isn't article text."""
     if tag in NOT_TEXT or tag == "header" and not inside:
         return True
     if not attrs or tag in ("html", "body", "main"):
         return False
-    if attrs.get("role", "").lower() in NOT_ROLES or "hidden" in attrs or HIDDEN.search(attrs.get("style", "")):
-        return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-    return not NOT_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", names)) or not inside and "header" in re.split(r"[^a-z0-9]+", names)
+    return attrs.get("role", "").lower() in NOT_ROLES or "hidden" in attrs or bool(HIDDEN.search(attrs.get("style", "")))
+
+
+def telling(tag: str, attrs: dict[str, str], inside: int) -> bool:
+    """Whether an element's class or id suggests that it isn't article text."""
+    if not attrs or tag in ("html", "body", "main"):
+        return False
+    names = re.split(r"[^a-z0-9]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
+    return not NOT_WORDS.isdisjoint(names) or not inside and "header" in names
+
+
+def hashed(kind: int, *parts: str) -> int:
+    return (xxhash.xxh3_64_intdigest("\0".join(parts)) - (1 << 63)) & ~3 | kind
+
+
+@dataclass(slots=True)
+class Open:
+    """An open element: the zone it is in (0 body, 1 main, 2 article), whether its text is refused, the blocks and elements of main content before it, the parts of its
+    hash, its shell and those of the outermost finished elements in it."""
+
+    name: str
+    kind: str = ""
+    zone: int = 0
+    no: bool = False
+    before: int = 0
+    mains: int = 0
+    shell: int = 0
+    parts: list[str] = field(default_factory=list)
+    beside: list[int] = field(default_factory=list)
 
 
 class Page:
-    """One pass over a page: ``blocks`` of text by zone (0 body, 1 main, 2 article) and ``hashes`` of subtrees outside the main content."""
+    """One pass over a page. ``blocks``: [zone, text, whether in a recurring shell beside main content]; ``hashes``: what to count.
+
+    With ``templates`` None names decide, as counts say nothing; else what is in ``templates`` goes."""
 
-    def __init__(self, source: str, templates: frozenset[int] = frozenset()):
+    def __init__(self, source: str, templates: frozenset[int] | None = frozenset()):
         self.templates, self.hashes = templates, set()
-        self.blocks: list[tuple[int, str]] = []
+        self.blocks: list[list] = []
         self.words: list[str] = []
         self.seen = [True, False, False]
         self.mains = 0
-        # of each open element: name, class, zone, whether refused, blocks before it, parts of its hash, elements of main content opened before it
-        self.open: list[tuple[str, str, int, bool, int, list[str], int]] = [("", "", 0, False, 0, [], 0)]
+        self.open: list[Open] = [Open("")]
         at, n = 0, len(source)
         while at < n:
             m = TOKEN.match(source, at)
@@ -94,16 +129,19 @@ class Page:
                     at = e.start() if e else n
         self.pop(1)
         self.flush()
+        if self.mains:
+            self.hashes.update(self.open[0].beside)
 
     def data(self, text: str) -> None:
-        if not self.open[-1][3]:
+        if not self.open[-1].no:
             self.words.append(entities.unescape(text) if "&" in text else text)
-        self.open[-1][5].append(text)
+        if self.templates is not None:
+            self.open[-1].parts.append(text)
 
     def flush(self) -> None:
         if self.words:
             if text := " ".join("".join(self.words).split()):
-                self.blocks.append((self.open[-1][2], text))
+                self.blocks.append([self.open[-1].zone, text, False])
             self.words = []
 
     def start(self, name: str, rest: str) -> None:
@@ -119,83 +157,111 @@ class Page:
         if name in VOID:
             return
         attrs = {a.lower(): entities.unescape(x or y or z or "") for a, x, y, z in ATTRIBUTE.findall(rest)} if "=" in rest or "hidden" in rest else {}
-        _, _, zone, no, _, _, _ = self.open[-1]
-        no = no or refused(name, attrs, zone)
+        zone = self.open[-1].zone
+        shell = (name, *sorted(attrs.get("class", "").split()), attrs.get("id", ""), attrs.get("role", ""))
+        no = self.open[-1].no or refused(name, attrs, zone)
+        if not no and telling(name, attrs, zone):
+            no = self.templates is None or (h := hashed(NAMED, *shell)) in self.templates
+            if not no:
+                self.hashes.add(h)
         if not no:
             zone = max(zone, 2 if name == "article" else 1 if name == "main" or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody" else 0)
             self.seen[zone] = True
-        self.open.append((name, attrs.get("class", ""), zone, no, len(self.blocks), [], self.mains))
+        self.open.append(Open(name, attrs.get("class", ""), zone, no, len(self.blocks), self.mains, 0 if zone or self.templates is None else hashed(BESIDE, *shell)))
         self.mains += zone > 0
 
     def close(self, name: str) -> None:
-        if name == "p" and all(x[0] != "p" for x in self.open):
+        if name == "p" and all(x.name != "p" for x in self.open):
             self.flush()
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == name:
+            if self.open[i].name == name:
                 return self.pop(i)
 
     def until(self, names: set[str], border: set[str]) -> None:
         """Close the outermost open element of ``names`` that is above any of ``border``."""
         found = 0
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] in names:
+            if self.open[i].name in names:
                 found = i
-            elif self.open[i][0] in border:
+            elif self.open[i].name in border:
                 break
         if found:
             self.pop(found)
 
     def pop(self, depth: int) -> None:
         while len(self.open) > depth:
-            name, kind, zone, _, before, parts, mains = self.open[-1]
-            if name in BLOCK:
+            x = self.open[-1]
+            if x.name in BLOCK:
                 self.flush()
             self.open.pop()
-            if zone or self.mains > mains:
+            if self.templates is None:
                 continue
-            content = " ".join("".join(parts).split())
-            h = xxhash.xxh3_64_intdigest(f"{name}\0{kind}\0{content}") - (1 << 63)
-            self.open[-1][5].append(f"<{h}>" if name in BLOCK else content)
-            if name in BLOCK and content and name not in ("html", "body"):
-                self.hashes.add(h)
-                if h in self.templates:
-                    del self.blocks[before:]
+            over = self.open[-1]
+            if not x.zone and self.mains > x.mains:  # around main content: what stands beside it, or in another element around it, stays known
+                over.beside += x.beside
+                continue
+            if x.zone and not over.zone:  # main content itself
+                continue
+            content = " ".join("".join(x.parts).split())
+            kind = INSIDE if x.zone else OUTSIDE
+            h = hashed(kind, x.name, x.kind, content)
+            over.parts.append(f"<{h}>" if x.name in BLOCK else content)
+            if not content or x.name not in (CONTAINERS if x.zone else BLOCK) or x.name in ("html", "body", "article", "main"):
+                continue
+            self.hashes.add(h)
+            if h in self.templates:
+                del self.blocks[x.before :]
+            elif not x.zone:
+                over.beside.append(x.shell)
+                if x.shell in self.templates:
+                    for block in self.blocks[x.before :]:
+                        block[2] = True
 
     def text(self) -> str:
-        zone = max(z for z in (0, 1, 2) if self.seen[z])
-        return "\n\n".join(t for z, t in self.blocks if z >= zone)
+        """Where names decide, the blocks of the main content; else all that no template took, without those beside main content in recurring shells."""
+        zone = max(z for z in (0, 1, 2) if self.seen[z]) if self.templates is None else 0
+        return "\n\n".join(t for z, t, beside in self.blocks if z >= zone and not (beside and self.mains))
 
 
-def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash, pages): subtrees that recur on a host."""
+def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, shares: tuple[float, ...] = SHARES) -> DataFrame:
+    """(host, hashes): the templates of each host of ``min_pages`` pages or more."""
     small_batches(pages.sparkSession)
-    base = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    base = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).filter("host != ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([list(Page(x or "").hashes) for x in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["host", "hashes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([list(Page(x.as_py() or "").hashes) for x in b.column(1)], pa.list_(pa.int64()))], ["host", "hashes"])
 
-    found = base.mapInArrow(run, "host string, hashes array<long>")
+    found = base.mapInArrow(frugal(run), "host string, hashes array<long>")
     counted = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
-    sizes = base.groupBy("host").agg(F.count("*").alias("all"))
-    return counted.join(sizes, "host").filter(F.col("pages") >= min_share * F.col("all")).select("host", "hash", "pages")
+    sizes = base.groupBy("host").agg(F.count("*").alias("all")).filter(F.col("all") >= min_pages)
+    share = F.element_at(F.array(*map(F.lit, shares)), (F.col("hash").bitwiseAND(3) + 1).cast("int"))
+    kept = counted.join(sizes, "host").filter(F.col("pages") >= share * F.col("all")).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    return sizes.select("host").join(kept, "host", "left").select("host", F.coalesce("hashes", F.array().cast("array<long>")).alias("hashes"))
 
 
-def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), **limits: float) -> DataFrame:
+def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), **limits) -> DataFrame:
     """The columns in ``keep``, and ``text``."""
     spark = pages.sparkSession
     found = stored(templates(pages, url_col=url_col, html_col=html_col, **limits), f"{run_dir(spark, 'templates')}/templates")
-    few = found.count() <= BROADCAST_TEMPLATES
-    per_host = found.groupBy("host").agg(F.collect_list("hash").alias("_templates"))
-    rows = pages.select(*keep, host(F.col(url_col)).alias("host"), F.col(html_col).alias("_html"))
-    rows = rows.join(F.broadcast(per_host) if few else per_host.hint("merge"), "host", "left").select(*keep, "_html", "_templates")
-    n = len(keep)
+    rows = pages.select(*keep, F.col(html_col).alias("_html"), host(F.col(url_col)).alias("_host"))
+    n, known = len(keep), None
+    if found.agg(F.coalesce(F.sum(F.size("hashes") + 1), F.lit(0))).first()[0] <= BROADCAST_TEMPLATES:
+        known = {r["host"]: frozenset(r["hashes"]) for r in found.collect()}
+        rows = rows.withColumn("_templates", F.lit(None).cast("array<long>"))
+    else:
+        rows = rows.join(found.withColumnsRenamed({"host": "_host", "hashes": "_templates"}).hint("merge"), "_host", "left").select(*keep, "_html", "_host", "_templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
         for b in batches:
-            texts = [Page(x or "", frozenset(t or ())).text() for x, t in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)]
+            texts = []
+            for source, at, array in zip(b.column(n), b.column(n + 1).to_pylist(), b.column(n + 2), strict=True):
+                if known is not None:
+                    own = known.get(at)
+                elif last != at:  # pages of a host come one after the other
+                    last, own = at, frozenset(array.as_py()) if array.is_valid else None
+                texts.append(Page(source.as_py() or "", own).text())
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(texts, pa.string())], [*keep, "text"])
 
-    from pyspark.sql import types as T
-
-    return rows.mapInArrow(run, T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType(), False)]))
+    return rows.mapInArrow(frugal(run), T.StructType([pages.schema[c] for c in keep] + [T.StructField("text", T.StringType(), False)]))

@@ -251,6 +251,42 @@ def test_html_wrapper_around_main_content(spark):
     assert got == {f"{k}{i}": f"own {i}" for k in "amrb" for i in range(30)}
 
 
+def test_html_templates_decide_on_the_given_pages(spark):
+    """Equal to counting in one process; without the counts nearly all pages would keep what stands beside their article."""
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    rows += [(10_000, None, None), (10_001, rows[0][1], None), (10_001, rows[0][1], rows[0][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"_html": F.lit("clash"), "hashes": F.lit("clash")})
+    got = collections.Counter((r["page_id"], r["text"]) for r in html_extract.extract(df).collect())
+    by_host = collections.defaultdict(list)
+    for _, u, h in rows:
+        by_host[u.split("://")[1].split("/")[0].lower() if u else ""].append(html_extract.Page(h or "").hashes)
+    want, bare = collections.Counter(), 0
+    for i, u, h in rows:
+        own = by_host[u.split("://")[1].split("/")[0].lower() if u else ""]
+        few = len(own) < html_extract.MIN_PAGES or not u
+        counts = collections.Counter(x for hashes in own for x in hashes)
+        found = None if few else frozenset(x for x, n in counts.items() if n >= html_extract.MIN_PAGES and n >= html_extract.SHARES[x & 3] * len(own))
+        want[i, html_extract.Page(h or "", found).text()] += 1
+        bare += not few and html_extract.Page(h or "").text() != html_extract.Page(h or "", found).text()
+    assert got == want and bare > 0.5 * sum(len(x) for u, x in by_host.items() if u and len(x) >= html_extract.MIN_PAGES)
+    old = html_extract.BROADCAST_TEMPLATES
+    try:
+        html_extract.BROADCAST_TEMPLATES = 0
+        assert collections.Counter((r["page_id"], r["text"]) for r in html_extract.extract(df).collect()) == want
+    finally:
+        html_extract.BROADCAST_TEMPLATES = old
+
+
+def test_html_banner_inside_the_article_and_words_in_text(spark):
+    """A container that all articles of a host share goes whatever it is called; one that stands in a single article stays whatever it is called; quoted paragraphs stay."""
+    page = "<body><div class=x7>Today {i}</div><article><h1>T {i}</h1><p>Quoted by all.</p><div class=q3><p>Join us now</p></div><p>own {i}</p>{more}</article></body>"
+    more = {3: "<div class=notice><p>A real notice</p></div>", 4: "<section class='ad related'><p>real too</p></section>"}
+    rows = [(i, f"https://one.example/{i}", page.format(i=i, more=more.get(i, "<div class='comments'><p>reader %d says</p></div>" % i if i > 9 else ""))) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    tail = {3: "\n\nA real notice", 4: "\n\nreal too"}
+    assert got == {i: f"T {i}\n\nQuoted by all.\n\nown {i}{tail.get(i, '')}" for i in range(40)}
+
+
 def test_language_accuracy_on_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = queries.op7_language_id(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
