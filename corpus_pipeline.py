@@ -4,7 +4,9 @@
 folder and reads it again as the next one's docs. Every stage but the last returns the columns of ``documents``.
 
 A stage decides on rows, not on ids: rows with a null ``doc_id`` and rows that repeat one are judged, kept and dropped each by its own text. Of
-rows with equal or near texts exactly one stays: the smallest id that no other row has, or else one of the rows with a null or repeated id.
+rows with equal or near texts exactly one stays: the smallest id that no other row has, or else one of the rows with a null or repeated id. Ties and repeated
+rows are such rows. Null and empty texts and texts of any length are judged like others, as each stage says. Every stage takes an empty table and gives an empty one; columns
+of other names stay, but for ``_row``, ``_shared``, ``_text``, ``_lang`` and ``_cosine``, which the stages use themselves.
 """
 
 from __future__ import annotations
@@ -40,29 +42,37 @@ def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that score under ``LEAST_QUALITY`` by a model of the labels; null texts score as empty ones. With no labels all score 0.5 and stay."""
     rows = _with_row(spark, docs)
     found = scored(spark, rows, table(spark, sf_dir, "labels"), keep=("doc_id", "_row"))
     return _only(rows, found.filter(F.col("score") >= LEAST_QUALITY))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no language. A low cosine alone says nothing against a text: short ones have few n-grams."""
+    """Drops texts in no language: those that are null or have no letter. A low cosine alone says nothing against a text: short ones have few n-grams.
+    Where no row has a language, nothing can be learnt, and nothing is dropped."""
+    learnt = langid.learn(docs)
+    if not learnt.count:
+        return docs
     rows = _with_row(spark, docs)
-    found = langid.predict(rows, langid.learn(docs), keep=("_row",))
+    found = langid.predict(rows, learnt, keep=("_row",))
     return _only(rows, found.filter(F.col("lang_pred") != langid.UNKNOWN))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each group of texts that are equal but for white space; null texts are equal to empty ones."""
     rows = _with_row(spark, docs)
     return _only(rows, exact_dedup.exact_dedup(rows, id_col="_row").filter("kept"))
 
 
 def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each group of near duplicates; texts without words have none and stay."""
     rows = _with_row(spark, docs)
     return _only(rows, minhash.near_dedup(rows, id_col="_row").filter("kept"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document, with its sequence and place there; null and empty texts have one piece, the end mark."""
     return packed(spark, docs)
 
 
