@@ -20,6 +20,8 @@ from revlake.llm.queries import packed, scored
 
 #: A document is dropped for quality under this score: far under the share of good ones, so that clean documents stay.
 LEAST_QUALITY = 0.3
+#: Numbers of dropped rows that are broadcast at most, 8 bytes each.
+BROADCAST_ROWS = 2_000_000
 
 
 def _with_row(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -36,16 +38,18 @@ def _with_row(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return stored(rows, f"{at}/rows")
 
 
-def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows whose ``_row`` is in ``kept``, without it."""
-    return rows.join(kept.select("_row").hint("merge"), "_row", "left_semi").select([c for c in rows.columns if c != "_row"])
+def _without(spark: SparkSession, rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose ``_row`` is not in ``dropped``, without it. Few numbers are sent to every task, so that texts aren't shuffled; many are joined by a shuffle."""
+    dropped = stored(dropped.select("_row"), f"{run_dir(spark, 'dropped')}/dropped")
+    few = dropped.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(dropped) if few else dropped.hint("merge"), "_row", "left_anti").select([c for c in rows.columns if c != "_row"])
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that score under ``LEAST_QUALITY`` by a model of the labels; null texts score as empty ones. With no labels all score 0.5 and stay."""
     rows = _with_row(spark, docs)
     found = scored(spark, rows, table(spark, sf_dir, "labels"), keep=("doc_id", "_row"))
-    return _only(rows, found.filter(F.col("score") >= LEAST_QUALITY))
+    return _without(spark, rows, found.filter(F.col("score") < LEAST_QUALITY))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,19 +60,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs
     rows = _with_row(spark, docs)
     found = langid.predict(rows, learnt, keep=("_row",))
-    return _only(rows, found.filter(F.col("lang_pred") != langid.UNKNOWN))
+    return _without(spark, rows, found.filter(F.col("lang_pred") == langid.UNKNOWN))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of texts that are equal but for white space; null texts are equal to empty ones."""
     rows = _with_row(spark, docs)
-    return _only(rows, exact_dedup.exact_dedup(rows, id_col="_row").filter("kept"))
+    return _without(spark, rows, exact_dedup.exact_dedup(rows, id_col="_row").filter("not kept"))
 
 
 def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates; texts without words have none and stay."""
     rows = _with_row(spark, docs)
-    return _only(rows, minhash.near_dedup(rows, id_col="_row").filter("kept"))
+    return _without(spark, rows, minhash.near_dedup(rows, id_col="_row").filter("not kept"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
