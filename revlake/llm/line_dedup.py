@@ -7,7 +7,7 @@ anywhere, the same bytes, are removed from all places but the first, by document
 only a document's ends or long neighbours can leave over, stay. Occurrences are counted by grouping on (SHA-256, whole chunk), which compares bytes; a task's
 copies are combined before the shuffle, so a hot passage stays small.
 
-A document is a pair of id and text, so rows that repeat an id go each by their own text; rows that repeat both are one document and
+A document is a pair of id and text, by the first 60 bits of the text's SHA-256, so rows that repeat an id go each by their own text; rows that repeat both are one document and
 keep or lose the same chunks. Ids may have any type that has an order. Nulls: a null text counts as empty (one empty line, kept); rows with a null
 id are counted but never changed. Other columns are not read, so none can clash. An empty table gives an empty result. Time and memory
 grow with a text's length, not with its square.
@@ -45,17 +45,18 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """Per row: id, ``text`` without repeated passages, ``n_lines``, ``removed_lines``, ``removed_chunks``."""
     spark = docs.sparkSession
     at = run_dir(spark, "lines")
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", F.sha2(F.coalesce("text", F.lit("")), 256))
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", F.conv(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 15), 16, 10).cast("long"))
     # The outer form, as Spark infers a filter on the size of the array from the plain one and computes all of it twice.
     each = with_chunks(base).select("id", "doc", "passage", F.posexplode_outer("c").alias("k", "lines")).filter(F.get("passage", F.col("k")))
-    occ = stored(each.select(F.array_join("lines", "\n").alias("chunk"), "id", "doc", "k").withColumn("key", F.sha2("chunk", 256)), f"{at}/chunks")
+    occ = stored(each.select(F.array_join("lines", "\n").alias("chunk"), "id", "doc", "k").withColumn("key", F.unhex(F.sha2("chunk", 256))), f"{at}/chunks")
+    # Two different chunks with one SHA-256 would make the join below ambiguous: that ends the job.
+    twice = occ.groupBy("key", "chunk").agg(F.count("*").alias("n")).groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("texts")).filter("n > 1 or texts > 1")
+    twice = stored(twice.select(F.when(F.col("texts") == 1, F.col("key")).otherwise(F.raise_error(F.lit("different chunks with one SHA-256")).cast("binary")).alias("key")), f"{at}/repeated")
     # Places in order; rows without an id come last.
     place = F.struct(F.col("id").isNull().alias("none"), "id", "doc", "k")
-    groups = occ.select("key", "chunk", place.alias("place")).groupBy("key", "chunk").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first")
-    # Two different chunks with one SHA-256 would make the join below ambiguous: that ends the job.
-    twice = groups.groupBy("key").agg(F.min("first").alias("first"), F.count("*").alias("texts"))
-    twice = stored(twice.select(F.when(F.col("texts") == 1, F.col("key")).otherwise(F.raise_error(F.lit("different chunks with one SHA-256"))).alias("key"), "first"), f"{at}/repeated")
-    gone = occ.select("key", "id", "doc", "k", place.alias("place")).join(twice.hint("merge"), "key").filter((F.col("place") != F.col("first")) & F.col("id").isNotNull())
+    some = stored(occ.select("key", "id", "doc", "k", place.alias("place")).join(twice.hint("merge"), "key"), f"{at}/places")
+    firsts = stored(some.groupBy("key").agg(F.min("place").alias("first")), f"{at}/firsts")
+    gone = some.join(firsts.hint("merge"), "key").filter((F.col("place") != F.col("first")) & F.col("id").isNotNull())
     per_doc = stored(gone.groupBy("id", "doc").agg(F.collect_set("k").alias("gone")), f"{at}/removed")
     whole = with_chunks(base.join(per_doc.hint("merge"), ["id", "doc"], "left"))
     gone = F.coalesce("gone", F.array().cast("array<int>"))
