@@ -52,11 +52,13 @@ def clean_reference(c: Column) -> Column:
 
 
 def parse_money(c: Column) -> Ruled:
-    """PRJ-3, PRJ-4: exact decimal text with at most six fractional digits under 1e32; never through a float."""
+    """PRJ-3, PRJ-4: exact decimal text, also with an exponent, with at most six fractional digits under 1e32; never through a float."""
     text = F.nullif(strip(c), F.lit(""))
-    number = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$")
-    digits = F.length(F.regexp_replace(F.split_part(text, F.lit("."), F.lit(1)), r"^[+-]?0*", ""))
-    scale = F.length(F.regexp_replace(F.split_part(text, F.lit("."), F.lit(2)), r"0+$", ""))
+    number = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$")
+    power = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
+    plain = F.regexp_replace(text, r"[eE].*$", "")
+    digits = F.length(F.regexp_replace(F.split_part(plain, F.lit("."), F.lit(1)), r"^[+-]?0*", "")) + power
+    scale = F.length(F.regexp_replace(F.split_part(plain, F.lit("."), F.lit(2)), r"0+$", "")) - power
     fits = number & (digits <= 32) & (scale <= 6)
     value = F.when(fits, text.try_cast(MONEY))
     issue = F.when(text.isNull() | value.isNotNull(), None).when(~number, "invalid_money").when(scale > 6, "money_scale").otherwise("money_magnitude")

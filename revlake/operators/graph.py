@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder that all executors see: under ``spark.checkpoint.dir``, our own where that is unset."""
+def scratch(spark: SparkSession, name: str = "graph") -> str:
+    """A new folder that all executors see, under ``spark.checkpoint.dir``. Where that is unset a local master gets one of its own; a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _kept(df: DataFrame, path: str) -> DataFrame:

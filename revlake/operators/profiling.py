@@ -2,82 +2,139 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlake.functions.cleaning import SENTINELS, strip
 
-#: Levels of nesting that a profile goes down.
-DEPTH = 6
-
-
-def flatten_json(df: DataFrame, record: str, payload: str, depth: int = DEPTH) -> DataFrame:
-    """PRF-1: (record, path, value, kind) of every leaf and container; items of arrays share the path "name[]".
-
-    One pass per level: objects and arrays of the level before are exploded, JSON text stays text until it is a leaf."""
-    level = df.select(F.col(record).alias("record"), F.lit("").alias("path"), F.col(payload).alias("value"))
-    out = None
-    for _ in range(depth):
-        typed = level.withColumn("kind", json_kind(F.col("value")))
-        out = typed.filter("path != ''") if out is None else out.unionByName(typed.filter("path != ''"))
-        objects = typed.filter("kind = 'object'").select("record", "path", F.explode_outer(F.from_json("value", "map<string,string>")).alias("k", "value"))
-        objects = objects.filter("k is not null").select("record", F.concat("path", F.when(F.col("path") == "", "").otherwise("."), "k").alias("path"), "value")
-        arrays = typed.filter("kind = 'array'").select("record", F.concat("path", F.lit("[]")).alias("path"), F.explode_outer(F.from_json("value", "array<string>")).alias("value")).filter("value is not null")
-        level = objects.unionByName(arrays)
-    return out
-
-
-def json_kind(c: Column) -> Column:
-    text = F.trim(c)
-    return F.when(c.isNull(), "null").when(text.startswith("{") & text.endswith("}"), "object").when(text.startswith("[") & text.endswith("]"), "array").otherwise("scalar")
-
-
-def value_state(c: Column) -> Column:
-    """PRF-2: null, empty or populated; missing is for paths that a record hasn't."""
-    return F.when(c.isNull(), "null").when(strip(c).isin("", "{}", "[]"), "empty").otherwise("populated")
-
-
-def semantic_type(c: Column) -> Column:
-    """PRF-2: what the text of a value looks like."""
-    t = strip(c)
-    return (
-        F.when(value_state(c) != "populated", None).when(json_kind(c) != "scalar", json_kind(c)).when(F.lower(t).isin("true", "false"), "boolean")
-        .when(t.rlike(r"^[+-]?\d+$"), "integer").when(t.rlike(r"^[+-]?\d[\d,]*\.?\d*$"), "number").when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), "date").otherwise("text")
-    )
+#: Parts that a path's values are dealt over before the frequent ones are ranked.
+SALTS = 64
+#: Leaves and containers in an Arrow batch that a record's walk sends back.
+ROWS = 10_000
+
+
+def walk(text: str | None) -> Iterator[tuple[str, str | None, str, str]]:
+    """(path, value, state, type) of every node of a JSON text, the root "$" first; one that can't be read is a string by itself. Containers have no
+    value. A stack, so depth has no limit but the parser's."""
+    try:
+        root = json.loads(text, parse_float=_Float, parse_int=_Int, parse_constant=_Float) if text is not None else None
+    except (ValueError, RecursionError):
+        root = text
+    stack = [("$", root)]
+    while stack:
+        path, x = stack.pop()
+        if isinstance(x, dict):
+            yield path, None, "populated" if x else "empty", "object"
+            stack += [(f"{path}.{k}", v) for k, v in reversed(x.items())]
+        elif isinstance(x, list):
+            yield path, None, "populated" if x else "empty", "array"
+            stack += [(f"{path}[]", v) for v in reversed(x)]
+        elif x is None:
+            yield path, None, "null", "null"
+        elif isinstance(x, bool):
+            yield path, "true" if x else "false", "populated", "bool"
+        elif isinstance(x, _Int):
+            yield path, str(x), "populated", "int"
+        elif isinstance(x, _Float):
+            yield path, str(x), "populated", "float"
+        else:
+            yield path, x, "populated" if x.strip() else "empty", "string"
+
+
+class _Int(str):
+    """A whole number as it was written."""
+
+
+class _Float(str):
+    """Another number as it was written."""
+
+
+def flatten_json(df: DataFrame, record: str, payload: str) -> DataFrame:
+    """PRF-1, PRF-2: (record, path, value, state, type) of every leaf and container, the root "$" included; items of arrays share the path "name[]".
+
+    Each record is parsed and walked once, in Python tasks on Arrow batches, whatever its depth; text that looks like a date or a time is typed so."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at: list[int] = []
+            found: list[tuple] = []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                for node in walk(text):
+                    at.append(i)
+                    found.append(node)
+                    if len(found) >= ROWS:
+                        yield _batch(b, at, found)
+                        at, found = [], []
+            if found:
+                yield _batch(b, at, found)
+
+    schema = T.StructType([T.StructField("record", df.schema[record].dataType), *(T.StructField(c, T.StringType()) for c in ("path", "value", "state", "type"))])
+    flat = df.select(F.col(record).alias("record"), F.col(payload).cast("string").alias("payload")).mapInArrow(run, schema)
+    text = strip(F.col("value"))
+    dated = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"), "datetime").when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), "date").otherwise("string")
+    return flat.withColumn("type", F.when(F.col("type") == "string", dated).otherwise(F.col("type")))
+
+
+def _batch(b: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *(pa.array(c, pa.string()) for c in zip(*found, strict=True))], ["record", "path", "value", "state", "type"])
 
 
 def path_metrics(flat: DataFrame, records: int) -> DataFrame:
-    """PRF-3: per path, the share of records that have it, that have it null, empty or populated, occurrences, and a tier."""
-    per_record = flat.withColumn("state", value_state(F.col("value"))).groupBy("path", "record").agg(*(F.max((F.col("state") == s).cast("int")).alias(s) for s in ("null", "empty", "populated")), F.count("*").alias("occurrences"))
-    n = F.lit(float(records))
-    out = per_record.groupBy("path").agg(F.count("*").alias("present"), *(F.sum(s).alias(s) for s in ("null", "empty", "populated")), F.sum("occurrences").alias("occurrences"))
-    out = out.select("path", "occurrences", *((F.col(c) / n).alias(f"{c}_ratio") for c in ("present", "null", "empty", "populated")))
+    """PRF-3: per path, the share of records that have it, that have it null, empty or populated, occurrences, types, and a tier."""
+    per_record = flat.groupBy("path", "record").agg(*(F.max((F.col("state") == s).cast("int")).alias(s) for s in ("null", "empty", "populated")), F.count("*").alias("occurrences"), F.collect_set("type").alias("types"))
+    n = F.lit(float(max(records, 1)))
+    out = per_record.groupBy("path").agg(F.count("*").alias("present"), *(F.sum(s).alias(s) for s in ("null", "empty", "populated")), F.sum("occurrences").alias("occurrences"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"))
+    out = out.select("path", "occurrences", "types", *((F.col(c) / n).alias(f"{c}_ratio") for c in ("present", "null", "empty", "populated")), (1 - F.col("present") / n).alias("missing_ratio"))
     p = F.col("populated_ratio")
-    return out.withColumn("tier", F.when(p >= 0.95, "core").when(p >= 0.5, "common").when(p > 0, "rare").otherwise("unused"))
+    return out.withColumn("tier", F.when(p > 0.99, "Full").when(p >= 0.95, "Mostly full").when(p >= 0.80, "Gaps present").otherwise("Sparse"))
+
+
+def scalars(flat: DataFrame) -> DataFrame:
+    """Populated values that aren't containers."""
+    return flat.filter((F.col("state") == "populated") & F.col("value").isNotNull())
 
 
 def cardinality(flat: DataFrame) -> DataFrame:
     """PRF-4: distinct populated values and their share of all."""
-    full = flat.filter(value_state(F.col("value")) == "populated")
-    return full.groupBy("path").agg(F.count("*").alias("values"), F.countDistinct("value").alias("distinct_values")).withColumn("cardinality_ratio", F.col("distinct_values") / F.col("values"))
+    return scalars(flat).groupBy("path").agg(F.count("*").alias("values"), F.countDistinct("value").alias("distinct_values")).withColumn("cardinality_ratio", F.col("distinct_values") / F.col("values"))
 
 
 def frequent(flat: DataFrame, n: int = 10, rare: int = 5) -> DataFrame:
-    """PRF-4, AGG-14: the most and the least frequent values of each path; equal counts by value."""
-    counts = flat.filter(value_state(F.col("value")) == "populated").groupBy("path", "value").agg(F.count("*").alias("count"))
-    up = Window.partitionBy("path").orderBy(F.desc("count"), "value")
-    down = Window.partitionBy("path").orderBy("count", F.desc("value"))
-    return counts.withColumns({"top": F.row_number().over(up), "bottom": F.row_number().over(down)}).filter((F.col("top") <= n) | (F.col("bottom") <= rare))
+    """PRF-4, AGG-14: the most and the least frequent values of each path; equal counts by value.
+
+    A path's values are ranked in ``SALTS`` parts first, of which only the first few can be among the first of all."""
+    counts = scalars(flat).groupBy("path", "value").agg(F.count("*").alias("count"))
+    ups, downs = (F.desc("count"), F.asc("value")), (F.asc("count"), F.desc("value"))
+    parts = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
+    rank = lambda keys, order: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = parts.withColumns({"top": rank(["path", "part"], ups), "bottom": rank(["path", "part"], downs)}).filter((F.col("top") <= n) | (F.col("bottom") <= rare)).drop("part", "top", "bottom")
+    return first.withColumns({"top": rank(["path"], ups), "bottom": rank(["path"], downs)}).filter((F.col("top") <= n) | (F.col("bottom") <= rare))
+
+
+#: PRF-5: the ranks of numeric profiles.
+RANKS = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
 def numeric_stats(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """PRF-5, AGG-13: exact statistics of numbers; text with thousands separators is read as a number."""
+    """PRF-5, AGG-13: exact statistics of numbers; text with thousands separators is read as a number. A rank q is the sorted value at place int(q * n), from 0.
+
+    Values are counted before they are ranked, so a running sum over the distinct values of a key is all that one task has to do."""
     x = F.regexp_replace(value.cast("string"), ",", "").try_cast("double")
-    qs = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
-    quantiles = [F.percentile("_x", q).alias(k) for k, q in qs.items()]
-    return df.withColumn("_x", x).filter("_x is not null").groupBy(*keys).agg(F.count("*").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"), F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"), F.count_if(F.col("_x") == 0).alias("zeros"), F.count_if(F.col("_x") < 0).alias("negatives"), *quantiles)
+    known = df.withColumn("_x", x).filter("_x is not null")
+    stats = known.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"), F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"), F.count_if(F.col("_x") == 0).alias("zeros"), F.count_if(F.col("_x") < 0).alias("negatives"))
+    counts = known.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+    counts = counts.withColumn("_to", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)))
+    both = counts.join(stats.select(*keys, "n"), keys)
+    place = lambda q: F.floor(F.lit(q) * F.col("n"))
+    at = lambda q: F.when((F.col("_to") > place(q)) & (F.col("_to") - F.col("_c") <= place(q)), F.col("_x"))
+    ranks = both.groupBy(*keys).agg(*(F.max(at(q)).alias(k) for k, q in RANKS.items()))
+    return stats.join(ranks, keys)
 
 
 def text_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -90,11 +147,21 @@ def text_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def role(metrics: DataFrame) -> DataFrame:
-    """PRF-7: what a path is likely for, and whether it may be a key; ``metrics`` joins PRF-3 and PRF-4 with a semantic ``type``."""
-    key = (F.col("cardinality_ratio") == 1) & (F.col("populated_ratio") == 1)
-    kind = F.when(key, "identifier").when(F.col("type") == "date", "date").when(F.col("type").isin("integer", "number"), "measure").when(F.col("distinct_values") <= 20, "category").otherwise("text")
-    return metrics.withColumns({"candidate_key": key, "role": kind})
+# Parts of names that tell a path's role, in the order they are asked.
+KEY_NAMES, TIME_NAMES, TEXT_NAMES = ("id", "code", "no"), ("date", "time"), ("name", "desc", "content", "reason")
+
+
+def role(metrics: DataFrame, records: int) -> DataFrame:
+    """PRF-7: what a path is likely for, and whether it may be a key. ``metrics`` joins PRF-3 and PRF-4 and has ``mean`` and ``max`` of numbers, null without any."""
+    name = F.lower("path")
+    has = lambda parts: reduce(lambda a, b: a | b, (name.contains(p) for p in parts))
+    number = F.col("mean").isNotNull() & ((F.col("mean") != 0) | (F.col("max") != 1))
+    kind = (
+        F.when(has(KEY_NAMES), "Key").when(has(TIME_NAMES), "Timestamp").when(number, "Measure").when(F.col("types") == F.array(F.lit("bool")), "Flag")
+        .when(has(TEXT_NAMES), "Free-text").when(F.arrays_overlap("types", F.array(F.lit("object"), F.lit("array"))), "Nested").otherwise("Attribute")
+    )
+    key = (F.col("distinct_values") == records) & (F.col("populated_ratio") == 1) & (F.col("null_ratio") == 0) & (F.col("empty_ratio") == 0)
+    return metrics.withColumns({"candidate_key": F.coalesce(key, F.lit(False)), "role": kind})
 
 
 def candidate_keys(df: DataFrame, sets: list[list[str]]) -> DataFrame:

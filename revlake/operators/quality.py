@@ -47,8 +47,9 @@ def first_pattern(df: DataFrame, patterns: dict[str, str], name: str = "pattern"
 
 def payload_metrics(flat: DataFrame, payloads: DataFrame) -> DataFrame:
     """DQ-3: bytes, fields, ratios and hashes of the shape and of the pattern of nulls; ``flat`` is PRF-1's, ``payloads`` has (record, payload)."""
-    empty = F.col("value").isNull() | F.trim("value").isin("", "{}", "[]")
-    per = flat.groupBy("record").agg(F.count("*").alias("fields"), F.count_if(~empty).alias("populated"), F.array_sort(F.collect_set("path")).alias("p"), F.array_sort(F.collect_set(F.when(empty, F.col("path")))).alias("e"))
+    empty = F.col("state") != "populated"
+    inner = flat.filter("path != '$'").withColumn("path", F.regexp_replace("path", r"^\$\.?", ""))
+    per = inner.groupBy("record").agg(F.count("*").alias("fields"), F.count_if(~empty).alias("populated"), F.array_sort(F.collect_set("path")).alias("p"), F.array_sort(F.collect_set(F.when(empty, F.col("path")))).alias("e"))
     per = per.select("record", "fields", "populated", ((F.col("fields") - F.col("populated")) / F.col("fields")).alias("empty_ratio"), F.sha2(F.to_json("p"), 256).alias("shape_hash"), F.sha2(F.to_json("e"), 256).alias("null_hash"))
     return payloads.select("record", F.octet_length("payload").alias("bytes")).join(per, "record", "left")
 

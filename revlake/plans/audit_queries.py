@@ -46,7 +46,7 @@ def cohort_warnings(spark, sf):
 @query("""SELECT event_id, strlen(props) AS bytes, CAST(1 AS BIGINT) AS fields, CAST(1 AS BIGINT) AS populated, CAST(0 AS DOUBLE) AS empty_ratio, sha256('["k"]') AS shape_hash, sha256('[]') AS null_hash FROM events""")
 def payload_metrics(spark, sf):
     e = table(spark, sf, "events")
-    flat = profiling.flatten_json(e, "event_id", "props", depth=2)
+    flat = profiling.flatten_json(e, "event_id", "props")
     out = quality.payload_metrics(flat, e.select(F.col("event_id").alias("record"), F.col("props").alias("payload")))
     return out.select(F.col("record").alias("event_id"), F.col("bytes").cast("bigint").alias("bytes"), "fields", "populated", F.col("empty_ratio").cast("double").alias("empty_ratio"), "shape_hash", "null_hash")
 
