@@ -134,7 +134,7 @@ def near_vectors(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
     else:
         by_class = by_class.withColumns({"links": F.lit(None).cast("long"), "label": F.col("id")})
     by_class = stored(by_class.select("v", "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "id").alias("label")), f"{at}/by-class")
-    lowest = by_class.groupBy("label").agg(F.min("class").alias("component_id"))
+    lowest = stored(by_class.groupBy("label").agg(F.min("class").alias("component_id")), f"{at}/lowest")
     by_class = stored(by_class.join(lowest.hint("merge"), "label").select("v", "n_links", "component_id"), f"{at}/by-vector")
     out = base.join(by_class.hint("merge"), "v", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("component_id", "id").eqNullSafe(F.col("id")).alias("kept"))

@@ -287,7 +287,7 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     # The smallest id of each component's classes.
     named = classes.select("set_hash", "class", F.col("no").alias("node")).join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = stored(named, f"{at}/named")
-    lowest = named.groupBy("label").agg(F.min("class").alias("component_id"))
+    lowest = stored(named.groupBy("label").agg(F.min("class").alias("component_id")), f"{at}/lowest")
     per_class = stored(named.join(lowest.hint("merge"), "label").select("set_hash", "component_id"), f"{at}/components")
     out = sigs.join(per_class.hint("merge"), "set_hash", "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
