@@ -30,13 +30,51 @@ def route(df: DataFrame, rules: dict[str, tuple[dict[str, object], list[dict[str
 
 
 def check(df: DataFrame, rules: dict[str, tuple[str, str]]) -> DataFrame:
-    """DQ-2, DQ-13, DQ-14: ``issues`` (code, severity) of each row and its worst ``status``; ``rules`` has (SQL condition of the fault, severity)."""
+    """DQ-13, DQ-14: ``issues`` (code, severity) of each row and its worst ``status``; ``rules`` has (SQL condition of the fault, severity)."""
     each = F.array(*(F.when(F.coalesce(F.expr(fault), F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"))) for code, (fault, severity) in rules.items()))
     out = df.withColumn("issues", F.filter(each, lambda x: x.isNotNull()))
     has = lambda s: F.exists("issues", lambda x: x["severity"] == s)
     return out.withColumn("status", F.when(has("error"), "error").when(has("warning"), "warning").otherwise("ok"))
 
 
+def detail_contract(df: DataFrame, roots: list[str], aliases: dict[str, list[str]], *, payload: str = "payload", optional: str = "notifyVersion", search_version: bool = False, least_fields: int = 10, empty_ratio: float = 0.8) -> DataFrame:
+    """DQ-2: ``issues`` (code, severity, path) of each record's JSON text and its worst ``status``: fail, unresolved, warn or pass.
+
+    ``roots`` are dotted paths where the record may lie, "" the payload itself. ``aliases`` has the names of a field in the record; the
+    value that the context expects is in the column of the field's name. All of it is one projection without a shuffle.
+    A payload that is null, no object or empty has ``empty_payload`` alone, one without a usable root ``missing_business_root`` alone."""
+    none = ["", "[]", "{}"]
+    text = F.col(payload)
+    is_object = lambda c: c.startswith("{") & (c != "{}")
+    lies = F.array(*(F.struct(F.lit(r).alias("path"), F.get_json_object(text, f"$.{r}" if r else "$").alias("root")) for r in roots))
+    rows = df.withColumn("_roots", F.filter(lies, lambda x: F.coalesce(is_object(x["root"]), F.lit(False)))).withColumn("_root", F.get("_roots", F.lit(0)))
+    values = lambda root, names: F.filter(F.array(*(F.get_json_object(root, f"$.{n}") for n in names)), lambda v: v.isNotNull() & ~v.isin(none))
+    path = lambda field: F.concat(F.col("_root.path"), F.lit(f".{field}"))
+    issue = lambda rule, code, severity, where="": F.when(F.coalesce(rule, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), (F.lit(where) if isinstance(where, str) else where).alias("path")))
+    found = []
+    for field, names in aliases.items():
+        everywhere = F.flatten(F.transform("_roots", lambda x: values(x["root"], names)))  # noqa: B023
+        own = values(F.col("_root.root"), names)
+        actual, expected = F.get(own, F.lit(0)), F.nullif(F.col(field).cast("string"), F.lit(""))
+        found += [issue(F.size(F.array_distinct(everywhere)) > 1, "conflicting_business_roots", "fail", field), issue(F.size(F.array_distinct(own)) > 1, "conflicting_identity_aliases", "fail", path(field))]
+        if field != optional:
+            found += [issue(actual.isNull(), "missing_detail_identity", "fail", path(field)), issue(expected.isNull(), "missing_identity_context", "unresolved", field)]
+        elif not search_version:
+            found.append(issue(actual.isNull(), "missing_detail_version", "fail", path(field)))
+        found.append(issue(actual != expected, "identity_mismatch", "fail", path(field)))
+    error = F.get_json_object(text, "$.error")
+    found.append(issue((error.isNotNull() & ~error.isin([*none, "false", "0"])) | (F.get_json_object(text, "$.success") == "false"), "error_envelope", "fail"))
+    fields = F.map_values(F.from_json("_root.root", "map<string,string>"))
+    hollow = F.size(F.filter(fields, lambda v: v.isNull() | v.isin(none)))
+    found.append(issue((F.size(fields) >= least_fields) & (hollow / F.size(fields) >= empty_ratio), "high_empty_ratio", "warn", F.col("_root.path")))
+    all_of = F.filter(F.array(*found), lambda x: x.isNotNull())
+    nothing = ~F.coalesce(is_object(F.get_json_object(text, "$")), F.lit(False))
+    alone = lambda code: F.array(issue(F.lit(True), code, "fail"))
+    out = rows.withColumn("issues", F.when(nothing, alone("empty_payload")).when(F.size("_roots") == 0, alone("missing_business_root")).otherwise(all_of))
+    has = lambda s: F.exists("issues", lambda x: x["severity"] == s)
+    return out.withColumn("status", F.when(has("fail"), "fail").when(has("unresolved"), "unresolved").when(has("warn"), "warn").otherwise("pass")).drop("_roots", "_root")
+
+
 def first_pattern(df: DataFrame, patterns: dict[str, str], name: str = "pattern") -> DataFrame:
     """DQ-14: the first exceptional pattern that holds; order matters, the narrower ones go first."""
     out = F.lit(None).cast("string")

@@ -129,6 +129,33 @@ def demand(packages: DataFrame, plans: DataFrame, places: DataFrame, notices: Da
     )
 
 
+def contract_prices(results: DataFrame, contracts: DataFrame) -> DataFrame:
+    """BIZ-27: (revision_id, contract_price): prices of the contracts of each result, found by bid, by result or by notice; a contract that
+    is found in several ways counts once. The OR is a union of equi-joins."""
+    paid = contracts.filter("price_after_tax > 0").select("entity_id", "price_after_tax", "result_source_id", "notice_no")
+    ways = [("bid_id", "result_source_id"), ("result_id", "result_source_id"), ("notify_no", "notice_no")]
+    met = [results.select("revision_id", F.col(a).alias("_k")).join(paid.select(F.col(b).alias("_k"), "entity_id", "price_after_tax"), "_k").drop("_k") for a, b in ways]
+    return reduce(DataFrame.unionByName, met).distinct().groupBy("revision_id").agg(F.sum("price_after_tax").alias("contract_price"))
+
+
+def one_per_key(dimension: DataFrame, key: str) -> DataFrame:
+    """DIM-7: of the rows that batches brought for a key, the one whose JSON text is the smallest. A grouped minimum, so hot keys combine before the shuffle."""
+    row = F.struct(*(F.col(c) for c in dimension.columns))
+    return dimension.groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("_r")).select("_r.*")
+
+
+def dim_geography(known: DataFrame, canonical: DataFrame, places: DataFrame, provinces: DataFrame) -> DataFrame:
+    """DIM-6: (geography_key, province_code, province_name, region_name): canonical rows over ``known`` ones; then codes of ``places`` that
+    ``provinces`` (raw_code) doesn't map, with their name where it is the same everywhere, which replaces the name of a known row."""
+    fields = ["geography_key", "province_code", "province_name", "region_name"]
+    base = canonical.select(fields).unionByName(known.select(fields).join(canonical.select("geography_key"), "geography_key", "left_anti"))
+    code = F.upper(_filled("province_code"))
+    seen = places.select(code.alias("code"), _filled("province_name").alias("name")).filter("code is not null").groupBy("code").agg(only_value("name").alias("name"))
+    seen = seen.join(provinces.select(F.col("raw_code").alias("code")).distinct(), "code", "left_anti").select(F.concat(F.lit("GEO_"), "code").alias("geography_key"), "code", "name", F.lit(True).alias("_seen"))
+    both = base.join(seen, "geography_key", "full")
+    return both.select("geography_key", F.coalesce("province_code", "code").alias("province_code"), F.when(F.col("_seen"), F.col("name")).otherwise(F.col("province_name")).alias("province_name"), "region_name")
+
+
 def location_bridge(places: DataFrame, keys: DataFrame) -> DataFrame:
     """BIZ-14: (location_set_key, province_code), once each."""
     return places.join(keys.select("revision_id", "location_set_key"), "revision_id").select("location_set_key", "province_code").filter("province_code is not null").distinct()
