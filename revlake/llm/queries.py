@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.llm import bpe, embed_dedup, exact_dedup, html_extract, langid, line_dedup, minhash, packing, quality, warc
+from revlake.llm import bpe, embed_dedup, exact_dedup, fim, html_extract, langid, line_dedup, minhash, packing, quality, runs, url_filter, warc
 from revlake.llm.common import run_dir, table
 
 #: From this score on a document is predicted to be of good quality.
@@ -80,10 +80,45 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``docs``, of which a tenth, by id, repeats words: each word from number a on becomes one of the p words from there, in turn. Other texts stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("_g", F.when(h % 10 == 0, F.floor(h / 10))).withColumn("_words", F.when(F.col("_g").isNotNull(), words)).withColumn("_n", F.size("_words"))
+    docs = docs.withColumn("_a", F.when(F.col("_n") > 0, (F.col("_g") % F.col("_n")).cast("int")))
+    docs = docs.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    again = F.flatten(F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), F.ceil(rest / F.col("_p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), F.slice(again, F.lit(1), rest)), " ")
+    return docs.select(*(F.coalesce(text, "text").alias("text") if c == "text" else c for c in docs.columns if c[0] != "_"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(looped(table(spark, sf_dir, "documents")))
+    first = F.aggregate("runs", F.lit(None).cast(runs.RUN), lambda best, x: F.when(best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"]), x).otherwise(best))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"].cast("string"), x["length"].cast("string"), x["period"].cast("string")), F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("b"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+#: Host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, url_filter.RULES))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    hashed = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(fim.restore(F.col("output"), F.col("form")), 256)}
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(c.alias(k) for k, c in hashed.items()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    own = [op1_warc_archive, op2_exact_dedup, op3_bpe, op4_minhash, op5_line_dedup, op6_html_extract, op7_language_id, op8_quality, op9_packing, op10_embedding_dedup]
+    own = [op1_warc_archive, op2_exact_dedup, op3_bpe, op4_minhash, op5_line_dedup, op6_html_extract, op7_language_id, op8_quality, op9_packing, op10_embedding_dedup, op11_runs, op12_url_filter, op13_fill_in_middle]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -113,4 +148,12 @@ ORACLE = {
         SELECT doc_id, COALESCE(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text, CAST(MIN(n_lines) AS BIGINT) AS n_lines,
                CAST(COALESCE(SUM(len(part)) FILTER (gone), 0) AS BIGINT) AS removed_lines, COUNT(*) FILTER (gone) AS removed_chunks
         FROM r GROUP BY rid, doc_id""",
+    "op13_fill_in_middle": r"""
+        WITH t AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('42:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+        u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, list_transform(range(4), lambda k: CAST('0x' || substr(x, 8 * k + 1, 8) AS BIGINT)) AS h FROM t),
+        f AS (SELECT doc_id, t, u, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+                     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM f)
+        SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form != 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
 }
