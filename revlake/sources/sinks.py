@@ -3,28 +3,44 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlake.operators.sets import multiset_equal
+from revlake.sources import versions
 
 
-def overwrite_window(spark: SparkSession, new: DataFrame, path: str, day: str, start: str, end: str) -> None:
-    """SNK-1, SNK-7: days in [start, end) become what ``new`` has; days that it hasn't are emptied, others stay.
+def overwrite_window(spark: SparkSession, new: DataFrame, path: str, day: str, start: str, end: str) -> versions.Commit:
+    """SNK-1, SNK-7: days in [start, end) become what ``new`` has; days that it hasn't are emptied, others stay. Read with ``versions.read``.
 
-    Partitions by day are replaced dynamically; days that became empty have no row to replace them, so their partitions are dropped."""
+    ``new`` is evaluated once, into a new folder; the window changes whole, when the commit that names each day's folder is put in place."""
     inside = (F.col(day) >= F.lit(start).cast("date")) & (F.col(day) < F.lit(end).cast("date"))
-    new = new.filter(inside)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    had = {s.getPath().getName().partition("=")[2] for s in fs.listStatus(root) if s.isDirectory() and "=" in s.getPath().getName()} if fs.exists(root) else set()
-    days = {str(r[0]) for r in new.select(day).distinct().collect()}  # one row per day of the window
-    new.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
-    for d in had - days:
-        if start <= d < end:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={d}"), True)
+    before = versions.current(spark, path)
+    after = versions.write(new.filter(inside), path, day)
+    out = versions.commit(spark, path, {d: f for d, f in before.parts.items() if not start <= d < end} | after, before)
+    versions.sweep(spark, path)
+    return out
+
+
+def accept_candidate(spark: SparkSession, root: str, tables: dict[str, DataFrame], on: versions.Commit, violations: Callable[[dict[str, DataFrame]], DataFrame]) -> versions.Commit:
+    """INC-4: a candidate, all tables of a star together, becomes the accepted version, or nothing changes.
+
+    The tables are written, read back and validated; ``violations`` gives a row for each fault, and one is enough to refuse. The candidate was made from the version ``on``: if another has been
+    accepted since, it is stale and refused (``StaleCommit``). Readers see all of the old tables or all of the new ones."""
+    parts = {name: versions.write(df, f"{root.rstrip('/')}")[""] for name, df in tables.items()}
+    written = {name: spark.read.schema(tables[name].schema).parquet(f"{root.rstrip('/')}/{folder}") for name, folder in parts.items()}
+    fault = violations(written).first()
+    if fault is not None:
+        raise ValueError(f"candidate refused: {fault.asDict()}")
+    return versions.commit(spark, root, parts, on)
+
+
+def accepted(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """INC-4: a table of the accepted version."""
+    return versions.read(spark, root, schema, [name])
 
 
 def insert_absent(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

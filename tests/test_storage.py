@@ -3,7 +3,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from revlake.operators import ledger, sets
-from revlake.sources import scans, sinks
+from revlake.sources import scans, sinks, versions
 
 
 @pytest.fixture
@@ -12,7 +12,7 @@ def days(spark):
 
 
 def read(spark, path):
-    return sorted((str(r["d"]), r["x"]) for r in spark.read.parquet(path).collect())
+    return sorted((str(r["d"]), r["x"]) for r in versions.read(spark, path, "x int, d date").collect())
 
 
 def test_window_overwrite_empties_days_and_is_rerun_safe(spark, days, tmp_path):
