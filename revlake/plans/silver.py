@@ -233,94 +233,6 @@ def result_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-# Which components an opening's payload has, by shape.
-OPENING_SHAPES = {
-    "adb_wb_single_envelope": [["opening_adb_wb"]],
-    "khac_single_envelope": [["opening_out"]],
-    "khac_two_envelope": [["opening_out_technical"], ["opening_out_financial", "opening_out_technical"]],
-    "ldt_single_envelope": [["bid_open", "lot_open_detail"]],
-    "ldt_two_envelope": [["bid_open_technical", "lot_open_detail_technical"], ["bid_open_financial", "bid_open_technical", "lot_open_detail_financial", "lot_open_detail_technical"]],
-}
-FIRST_PART = {"adb_wb_single_envelope": "opening_adb_wb", "khac_single_envelope": "opening_out", "khac_two_envelope": "opening_out_technical", "ldt_single_envelope": "bid_open", "ldt_two_envelope": "bid_open_technical"}
-SECOND_PART = {"khac_two_envelope": "opening_out_financial", "ldt_two_envelope": "bid_open_financial"}
-SUBMISSIONS = "bidSubmissionByContractorViewResponse.bidSubmissionDTOList"
-
-
-def opening_shape(payload: Column) -> Column:
-    """SLV-20: the shape by the exact set of components; those with ``notify`` and ``roundmng`` are the ones of the main platform."""
-    keys = F.array_sort(F.json_object_keys(payload))
-    own = F.array_sort(F.array_except(keys, F.array(F.lit("notify"), F.lit("roundmng"), F.lit("cancellation_notice"))))
-    platform = F.array_contains(keys, "notify") & F.array_contains(keys, "roundmng")
-    out = F.lit(None).cast("string")
-    for shape, sets in OPENING_SHAPES.items():
-        for s in sets:
-            wanted = F.array(*map(F.lit, sorted(s)))
-            out = F.when(((own == wanted) & platform) if shape.startswith("ldt") else keys == wanted, shape).otherwise(out)
-    return out
-
-
-def list_state(payload: Column, part: Column, path: str) -> Column:
-    """SLV-22: whether a part's list wasn't fetched, is missing, null or a list."""
-    whole = F.try_element_at(F.from_json(payload, "map<string,string>"), part)
-    found = F.get_json_object(whole, f"$.{path}")
-    head, _, last = path.rpartition(".")
-    keys = F.json_object_keys(F.get_json_object(whole, f"$.{head}") if head else whole)
-    return F.when(whole.isNull(), "not_fetched").when(F.trim(found).startswith("["), "list").when(F.coalesce(F.array_contains(keys, last), F.lit(False)), "null").otherwise("missing")
-
-
-def opening_tables(bronze: DataFrame) -> dict[str, DataFrame]:
-    """SLV-20..25: openings with their shape, status, phases, submissions and bidders' lots."""
-    seen = observation(bronze, "opening").withColumn("shape", opening_shape(F.col("payload")))
-    table = lambda m: F.create_map(*(F.lit(x) for kv in m.items() for x in kv))
-    seen = seen.withColumns({"entity_id": C.digest(F.lit("opening"), F.col("source_id")), "first_part": F.try_element_at(table(FIRST_PART), F.col("shape")), "second_part": F.try_element_at(table(SECOND_PART), F.col("shape"))})
-    seen = seen.withColumn("revision_id", C.digest(F.col("entity_id"), F.col("source_version"), F.sha2("payload", 256)))
-    get = lambda p: F.get_json_object("payload", f"$.{p}")
-    first, second = list_state(F.col("payload"), F.col("first_part"), SUBMISSIONS), list_state(F.col("payload"), F.col("second_part"), SUBMISSIONS)
-    financial = F.coalesce(get("roundmng.successBidOpenDateTc"), get("opening_out_technical.roundmng.successBidOpenDateTc"))
-    cancelled = F.coalesce(get("notify.cancelDate"), F.lit("")) != ""
-    status = F.when(F.col("shape").isNull() | cancelled | get("cancellation_notice").isNotNull() | (first != "list"), None).when(F.col("second_part").isNull(), "complete").when(financial.isNull() & (second == "not_fetched"), "awaiting_financial").when(financial.isNotNull() & (second == "list"), "complete")
-    seen = seen.withColumns({"collection_status": status, "first_state": first, "second_state": second})
-    phase = lambda name, part, state: F.when(F.col(part).isNotNull(), F.struct(F.lit(name).alias("phase"), F.col(part).alias("part"), F.col(state).alias("list_state")))
-    phases = seen.select("revision_id", "payload", F.explode(F.array(phase("first", "first_part", "first_state"), phase("financial", "second_part", "second_state"))).alias("x")).filter("x is not null").select("revision_id", "payload", "x.*")
-    parts = F.try_element_at(F.from_json("payload", "map<string,string>"), F.col("part"))
-    subs = phases.select("revision_id", "phase", F.posexplode(json_items(F.get_json_object(parts, f"$.{SUBMISSIONS}"))).alias("ordinal", "s"))
-    own = lambda p: F.get_json_object("s", f"$.{p}")
-    price, price_issue = M(own("bidPrice"))
-    final, _ = M(own("bidFinalPrice"))
-    sale, _ = M(own("saleNumber"))
-    score, _ = M(own("techScore"))
-    subs = subs.select(C.digest(F.col("revision_id"), F.col("phase"), F.col("ordinal")).alias("submission_id"), "revision_id", "phase", "ordinal", C.clean_text(own("contractorCode")).alias("contractor_code"), C.clean_text(own("contractorName")).alias("contractor_name"), price.alias("bid_price"), final.alias("final_bid_price"), sale.alias("discount_rate"), C.clean_text(own("techResult")).alias("tech_result"), score.cast("decimal(10,4)").alias("tech_score"), price_issue.alias("price_issue"), F.col("s").alias("raw"))
-    nested = subs.select("revision_id", "phase", "submission_id", "contractor_code", F.posexplode(json_items(F.get_json_object("raw", "$.lotList"))).alias("lot_ordinal", "l"))
-    lot_part = F.when(F.col("phase") == "financial", "lot_open_detail_financial").when(F.col("part").endswith("technical"), "lot_open_detail_technical").otherwise("lot_open_detail")
-    apart = phases.select("revision_id", "phase", F.posexplode(json_items(F.try_element_at(F.from_json("payload", "map<string,string>"), lot_part))).alias("lot_ordinal", "l"))
-    read = lambda p: F.get_json_object("l", f"$.{p}")
-    lot_price = lambda: M(read("bidPrice"))[0]
-    lot_final = lambda: M(read("bidFinalPrice"))[0]
-    nested = nested.select("revision_id", "phase", "submission_id", "contractor_code", C.clean_text(read("lotNo")).alias("lot_no"), lot_price().alias("bid_price"), lot_final().alias("final_bid_price"))
-    apart = apart.select("revision_id", "phase", C.clean_text(read("contractorCode")).alias("contractor_code"), C.clean_text(read("lotNo")).alias("lot_no"), lot_price().alias("bid_price"), lot_final().alias("final_bid_price"))
-    return {
-        "opening_revision": seen.select("revision_id", "entity_id", "observation_id", "observed_at", "source_id", "source_version", "shape", "collection_status"),
-        "opening_phase": phases.drop("payload"),
-        "opening_submission": subs.drop("raw"),
-        "opening_lot_submission": reconcile_lots(nested, apart),
-    }
-
-
-def reconcile_lots(main: DataFrame, auxiliary: DataFrame) -> DataFrame:
-    """SLV-25: rows of ``main``, nulls filled from the one auxiliary row with their phase, lot and contractor; ``reconciliation`` says what was found.
-    Auxiliary rows that match none come along without a submission."""
-    key = ["revision_id", "phase", "lot_no", "contractor_code"]
-    aux = auxiliary.groupBy(*key).agg(F.count("*").alias("_n"), F.min("bid_price").alias("_p"), F.min("final_bid_price").alias("_f"))
-    twice = main.groupBy(*key).agg(F.count("*").alias("_m"))
-    rows = main.join(twice, key, "left").join(aux, key, "left")
-    clash = F.coalesce(F.col("bid_price") != F.col("_p"), F.lit(False)) | F.coalesce(F.col("final_bid_price") != F.col("_f"), F.lit(False))
-    state = F.when(F.col("_n").isNull(), "main_only").when((F.col("_n") > 1) | (F.col("_m") > 1), "ambiguous").when(clash, "conflict").otherwise("matched")
-    use = (F.col("_n") == 1) & (F.coalesce("_m", F.lit(1)) == 1)
-    out = rows.select(*key, "submission_id", F.when(use, F.coalesce("bid_price", "_p")).otherwise(F.col("bid_price")).alias("bid_price"), F.when(use, F.coalesce("final_bid_price", "_f")).otherwise(F.col("final_bid_price")).alias("final_bid_price"), state.alias("reconciliation"))
-    rest = auxiliary.join(main.select(*key), key, "left_anti").select(*key, F.lit(None).cast("string").alias("submission_id"), "bid_price", "final_bid_price", F.lit("auxiliary_only").alias("reconciliation"))
-    return out.unionByName(rest)
-
-
 def assemble(tables: dict[str, DataFrame], revision: str, children: list[str] = (), day: str = "public_date") -> dict[str, DataFrame]:
     """SLV-26: revisions once each, ``source_month``, and ``is_current`` where an entity's latest observation names one revision only."""
     out = dict(tables)

@@ -58,17 +58,6 @@ def test_result_totals_only_when_certain(spark):
     assert {"missing_outcome", "unverified_zero_winning_price", "unverified_consortium_allocation", "conflicting_currency"} <= {x["code"] for x in out["quality_issue"].collect()}
 
 
-def test_opening_shapes_and_lots(spark):
-    sub = {"bidSubmissionByContractorViewResponse": {"bidSubmissionDTOList": [{"contractorCode": "c1", "bidPrice": "10", "bidFinalPrice": "9", "lotList": [{"lotNo": "1", "bidPrice": None, "bidFinalPrice": "9"}]}]}}
-    one = {"notify": {}, "roundmng": {}, "bid_open": sub, "lot_open_detail": [{"lotNo": "1", "contractorCode": "c1", "bidPrice": "10", "bidFinalPrice": "9"}, {"lotNo": "2", "contractorCode": "c1", "bidPrice": "4"}]}
-    two = {"opening_out_technical": sub | {"roundmng": {"successBidOpenDateTc": None}}}
-    odd = {"something": {}}
-    out = solid(silver.opening_tables(bronze(spark, [one, two, odd])))
-    assert {(r["source_id"], r["shape"], r["collection_status"]) for r in out["opening_revision"].collect()} == {("0", "ldt_single_envelope", "complete"), ("1", "khac_two_envelope", "awaiting_financial"), ("2", None, None)}
-    lots = {(r["lot_no"], r["reconciliation"], None if r["bid_price"] is None else float(r["bid_price"])) for r in out["opening_lot_submission"].collect()}
-    assert ("1", "matched", 10.0) in lots and ("2", "auxiliary_only", 4.0) in lots
-
-
 def test_from_payloads_to_facts(spark):
     plans = solid(silver.resource(bronze(spark, [{"id": "l1", "planNo": "P1", "investorName": "Inv", "publicDate": "2024-01-01"}]), silver.PLAN, "plan")["plan_revision"])
     packs = [{"id": f"p{i}", "bidNo": f"B{i}", "planId": "x", "planNo": "P1", "bidPrice": str(1000 * (i + 1)), "bidPriceUnit": "VND", "bidField": "XL", "createdDate": "2024-01-05", "bidLocation": [{"provCode": "79"}]} for i in range(3)]
