@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.operators.selection import union_length
+from revlake.operators import positions
 
 
 def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -53,8 +53,9 @@ def page_faults(pages: DataFrame, results: DataFrame, size: int) -> DataFrame:
 
 def request_metrics(attempts: DataFrame) -> DataFrame:
     """OPS-7, AGG-11: per endpoint, success rate, retries, exact percentiles by nearest rank, and busy seconds (WIN-9)."""
-    m = attempts.groupBy("endpoint").agg(F.count("*").alias("requests"), F.avg(F.col("ok").cast("double")).alias("success_rate"), F.sum(F.col("attempt") - 1).alias("retries"), *(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY latency)").alias(f"p{round(100 * q)}") for q in (0.5, 0.95)))
-    return m.join(union_length(attempts, ["endpoint"], "started_at", "ended_at").withColumnRenamed("seconds", "busy_seconds"), "endpoint", "left")
+    m = attempts.groupBy("endpoint").agg(F.count("*").alias("requests"), F.avg(F.col("ok").cast("double")).alias("success_rate"), F.sum(F.col("attempt") - 1).alias("retries"))
+    m = m.join(positions.ranks(attempts, ["endpoint"], "latency", {"p50": positions.nearest(0.5), "p95": positions.nearest(0.95)}), "endpoint", "left")
+    return m.join(positions.union_length(attempts, ["endpoint"], "started_at", "ended_at").withColumnRenamed("seconds", "busy_seconds"), "endpoint", "left")
 
 
 def late_openings(notices: DataFrame, openings: DataFrame, now: str, grace: str = "1 hour") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.cleaning import digest
+from revlake.operators.graph import scratch
 from revlake.operators.sets import replace_rows, symmetric_difference
 
 
@@ -68,16 +69,35 @@ def slice_change(before: DataFrame, after: DataFrame, keys: DataFrame, on: list[
     return before.join(keys, on, "left_semi"), after.join(keys, on, "left_semi")
 
 
-def change_chain(edges: DataFrame, start: str, end: str) -> list[tuple[str, str]]:
-    """INC-9: the contiguous edges (from, to) between two versions. Versions are few: one per run of the table."""
-    after = {r["from"]: r["to"] for r in edges.select("from", "to").collect()}
-    out, at = [], start
-    while at != end:
-        if at not in after or len(out) > len(after):
-            raise ValueError(f"no unbroken chain from {start} to {end}")
-        out.append((at, after[at]))
-        at = after[at]
-    return out
+def change_chain(edges: DataFrame, start: str, end: str) -> DataFrame:
+    """INC-9: (position, from, to), the contiguous edges between two versions in order; none if they are the same. Other columns of ``edges`` come along.
+
+    Versions are walked backwards by pointer doubling: round k knows each version's 2 ** k-th predecessor, so a chain of n edges takes log n joins of small tables, stored one by one.
+    Two edges to one version are a fork, also beside the chain; a version that has none before ``start`` is reached is a gap. Both are errors, as is a circle that ``start`` isn't in."""
+    spark, folder = edges.sparkSession, scratch(edges.sparkSession, "chain")
+    if edges.groupBy("to").count().filter("count > 1").limit(1).count():
+        raise ValueError("two changes lead to one version")
+    if start == end:
+        return edges.limit(0).select(F.lit(0).cast("long").alias("position"), *edges.columns)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    n = edges.count()
+    jumps = [kept(edges.select(F.col("to").alias("v"), F.col("from").alias("w")), "jump-0")]
+    while 1 << len(jumps) <= n:
+        last = jumps[-1]
+        jumps.append(kept(last.join(last.select(F.col("v").alias("w"), F.col("w").alias("x")), "w").select("v", F.col("x").alias("w")), f"jump-{len(jumps)}"))
+    # All versions behind ``end``, by their distance: each round doubles them.
+    seen = kept(spark.range(1).select(F.lit(end).cast(edges.schema["to"].dataType).alias("v"), F.lit(0).cast("long").alias("back")), "seen")
+    for k in reversed(range(len(jumps))):
+        seen = kept(seen.unionByName(seen.join(jumps[k], "v").select(F.col("w").alias("v"), (F.col("back") + (1 << k)).alias("back"))), f"seen-{k}")
+    far = seen.filter(F.col("v") == F.lit(start)).agg(F.min("back")).first()[0]
+    if far is None:
+        raise ValueError(f"no unbroken chain from {start} to {end}")
+    on = seen.filter(F.col("back") < far).select(F.col("v").alias("to"), (F.lit(far) - F.col("back")).alias("position"))
+    return edges.join(on, "to").select("position", *edges.columns)
 
 
 def replay(base: DataFrame, changes: list[tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlake.functions.cleaning import SENTINELS, strip
+from revlake.operators import positions
 
 #: Parts that a path's values are dealt over before the frequent ones are ranked.
 SALTS = 64
@@ -124,16 +125,11 @@ RANKS = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.
 def numeric_stats(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     """PRF-5, AGG-13: exact statistics of numbers; text with thousands separators is read as a number. A rank q is the sorted value at place int(q * n), from 0.
 
-    Values are counted before they are ranked, so a running sum over the distinct values of a key is all that one task has to do."""
+    Values are counted before they are ranked, and the running counts are carried over parts, so no task sees all values of a key."""
     x = F.regexp_replace(value.cast("string"), ",", "").try_cast("double")
     known = df.withColumn("_x", x).filter("_x is not null")
     stats = known.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_x").alias("min"), F.max("_x").alias("max"), F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"), F.count_if(F.col("_x") == 0).alias("zeros"), F.count_if(F.col("_x") < 0).alias("negatives"))
-    counts = known.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
-    counts = counts.withColumn("_to", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)))
-    both = counts.join(stats.select(*keys, "n"), keys)
-    place = lambda q: F.floor(F.lit(q) * F.col("n"))
-    at = lambda q: F.when((F.col("_to") > place(q)) & (F.col("_to") - F.col("_c") <= place(q)), F.col("_x"))
-    ranks = both.groupBy(*keys).agg(*(F.max(at(q)).alias(k) for k, q in RANKS.items()))
+    ranks = positions.ranks(known, keys, "_x", {k: lambda n, q=q: F.floor(F.lit(q) * n) for k, q in RANKS.items()})
     return stats.join(ranks, keys)
 
 

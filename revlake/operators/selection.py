@@ -44,15 +44,6 @@ def last_known(df: DataFrame, keys: list[str], by: list[Column], value: str, nam
     return df.withColumn(name, F.first(value, ignorenulls=True).over(w))
 
 
-def union_length(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """WIN-9: total length in seconds of the union of overlapping intervals, per key."""
-    df = df.withColumns({c: F.col(c).cast("timestamp") for c in (start, end)})
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    covered = F.greatest(F.lit(0), F.unix_seconds(end) - F.unix_seconds(F.greatest(F.coalesce(reach, F.col(start)), F.col(start))))
-    return df.withColumn("_s", covered).groupBy(*keys).agg(F.sum("_s").alias("seconds"))
-
-
 def spread_sample(df: DataFrame, keys: list[str], by: list[Column]) -> DataFrame:
     """WIN-10: the first, middle and last row of each group."""
     w = Window.partitionBy(*keys)

@@ -165,11 +165,15 @@ def page_faults(spark, sf):
     return coverage.page_faults(pages, c.select(q, F.col("role").alias("key")), 10)
 
 
-@query("""SELECT event_type AS endpoint, COUNT(*) AS requests, AVG(CASE WHEN value > 10 THEN 1.0 ELSE 0.0 END) AS success_rate, CAST(SUM(user_id % 3) AS BIGINT) AS retries, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1""")
+@query("""
+    WITH e AS (SELECT event_type, ts AS s, ts + INTERVAL 1 MINUTE AS t FROM events), r AS (SELECT *, MAX(t) OVER (PARTITION BY event_type ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+    b AS (SELECT event_type, CAST(SUM(GREATEST(0, CAST(FLOOR(epoch(t)) AS BIGINT) - CAST(FLOOR(epoch(GREATEST(COALESCE(reach, s), s))) AS BIGINT))) AS BIGINT) AS busy_seconds FROM r GROUP BY 1)
+    SELECT event_type AS endpoint, COUNT(*) AS requests, AVG(CASE WHEN value > 10 THEN 1.0 ELSE 0.0 END) AS success_rate, CAST(SUM(user_id % 3) AS BIGINT) AS retries, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, ANY_VALUE(busy_seconds) AS busy_seconds
+    FROM events JOIN b USING (event_type) GROUP BY 1""")
 def request_metrics(spark, sf):
     e = table(spark, sf, "events")
     rows = e.select(F.col("event_type").alias("endpoint"), (F.col("value") > 10).alias("ok"), (F.col("user_id") % 3 + 1).alias("attempt"), F.col("value").alias("latency"), F.col("ts").alias("started_at"), (F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("ended_at"))
-    return coverage.request_metrics(rows).drop("busy_seconds")
+    return coverage.request_metrics(rows)
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlake.operators import graph, ledger, references, selection, sets
+from revlake.operators import graph, ledger, positions, references, selection, sets
 from revlake.plans.catalog import query, table
 from revlake.sources import scans, sinks
 
@@ -171,7 +171,18 @@ def last_known(spark, sf):
     SELECT user_id, CAST(SUM(GREATEST(0, CAST(FLOOR(epoch(t)) AS BIGINT) - CAST(FLOOR(epoch(GREATEST(COALESCE(reach, s), s))) AS BIGINT))) AS BIGINT) AS seconds FROM m GROUP BY user_id""")
 def interval_union(spark, sf):
     e = table(spark, sf, "events").select("user_id", F.col("ts").alias("s"), (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("t"))
-    return selection.union_length(e, ["user_id"], "s", "t")
+    return positions.union_length(e, ["user_id"], "s", "t")
+
+
+@query("""
+    WITH e AS (SELECT event_id, user_id, ts, ROW_NUMBER() OVER (ORDER BY ts NULLS FIRST, event_id) AS n, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id) AS of_type,
+        SUM(user_id) OVER (PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS users FROM events)
+    SELECT event_id, of_type, CAST(users AS BIGINT) AS users FROM e WHERE n % 7 = 0""")
+def every_nth(spark, sf):
+    """SRC-8: each seventh event in the order of time, with its number and a running sum in its type, which has a quarter of all rows."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    rows = positions.numbered(positions.running(e, ["event_type"], ["ts", "event_id"], {"users": ("sum", "user_id", True)}), ["ts", "event_id"], ["event_type"], "of_type")
+    return positions.every_nth(rows, ["ts", "event_id"], 7).select("event_id", "of_type", "users")
 
 
 @query("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from revlake.operators import assembly, provinces
+from revlake.operators import assembly, ledger, positions, provinces
 from revlake.plans.catalog import query, table
 from revlake.plans.chain_queries import bronze
 from revlake.plans.opening_queries import FREE, chosen, columns
@@ -45,3 +45,16 @@ def opening_assembly(spark, sf):
     rows = rows.withColumns({"context_mode": F.when(F.col("k") % 12 == 6, "1_HTHS"), "exception": F.when(F.col("k") % 12 == 11, "cancelled_after_technical")})
     found = assembly.check(rows, [assembly.NOTICE, assembly.ROUND])
     return found.select("k", "collection_status", F.array_join(F.array_sort("issues.code"), ",").alias("codes"))
+
+
+@query("""
+    WITH v AS (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS i, LAG(o_orderkey) OVER (ORDER BY o_orderkey) AS p, COUNT(*) OVER () AS n FROM orders)
+    SELECT i - 10 AS position, 'v' || p AS "from", 'v' || o_orderkey AS "to" FROM v WHERE i > 10 AND i <= n - 5""")
+def change_chain(spark, sf):
+    """INC-9: an edge from each order to the next; the chain from the tenth to the sixth last."""
+    o = table(spark, sf, "orders").select("o_orderkey")
+    at = positions.numbered(o, ["o_orderkey"], name="i")
+    edges = at.alias("a").join(at.alias("b"), F.expr("a.i + 1 = b.i")).select(F.expr("'v' || a.o_orderkey").alias("from"), F.expr("'v' || b.o_orderkey").alias("to"))
+    n = at.count()
+    ends = {r["i"]: f"v{r['o_orderkey']}" for r in at.filter(F.col("i").isin(10, n - 5)).collect()}
+    return ledger.change_chain(edges, ends[10], ends[n - 5])

@@ -62,11 +62,6 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema.add("_corrupt", T.StringType())).option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
-def every_nth(df: DataFrame, key: str, step: int) -> DataFrame:
-    """SRC-8: about one row in ``step``, the same ones in each run: chosen by a hash of the key, so no row has to be numbered."""
-    return df.filter(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(step)) == 0)
-
-
 def write_version(df: DataFrame, root: str, version: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
 

@@ -68,7 +68,3 @@ def test_incremental_equals_rebuild(spark):
 def test_replay_refuses_a_wrong_before_image(spark, days):
     with pytest.raises(Exception, match="before-image"):
         sets.replace_rows(days, days.withColumn("x", F.lit(99)), days).collect()
-    edges = spark.createDataFrame([("1", "2"), ("2", "3")], "from string, to string")
-    assert ledger.change_chain(edges, "1", "3") == [("1", "2"), ("2", "3")]
-    with pytest.raises(ValueError):
-        ledger.change_chain(edges, "1", "9")
