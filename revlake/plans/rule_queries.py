@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from revlake.operators import assembly, ledger, positions, provinces
+from revlake.plans import linkage
 from revlake.plans.catalog import query, table
 from revlake.plans.chain_queries import bronze
 from revlake.plans.opening_queries import FREE, chosen, columns
@@ -58,3 +61,58 @@ def change_chain(spark, sf):
     n = at.count()
     ends = {r["i"]: f"v{r['o_orderkey']}" for r in at.filter(F.col("i").isin(10, n - 5)).collect()}
     return ledger.change_chain(edges, ends[10], ends[n - 5])
+
+
+def roots(spark, sf):
+    """Six root tables from orders and one from customers: a package for each order, notices, results, openings, contracts and reports for some; a plan for each customer."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey").cast("string")
+    of = lambda letter, c=k: F.concat(F.lit(letter), c)
+    day = lambda n: F.date_add(F.to_date("o_orderdate"), n)
+    made = lambda where, letter, days, **columns: o.filter(where).select(of(letter).alias("entity_id"), of(f"r{letter}").alias("revision_id"), day(days).alias("public_date"), *(c.alias(n) for n, c in columns.items()))
+    customer = F.col("o_custkey").cast("string")
+    plans = table(spark, sf, "customer").select(of("L", F.col("c_custkey").cast("string")).alias("entity_id"), of("rL", F.col("c_custkey").cast("string")).alias("revision_id"), F.lit("1990-01-01").cast("date").alias("public_date"), of("N", F.col("c_custkey").cast("string")).alias("plan_no"))
+    return {
+        "package_revision": made("true", "P", -90, source_id=F.lit(" "), package_no=F.concat(F.lit(" B"), k), plan_id=F.when(F.col("o_orderkey") % 2 == 0, of("L", customer)), plan_no=of("N", customer)), "plan_revision": plans,
+        "notice_revision": made("o_orderkey % 2 = 0", "T", -60, package_no=of("B"), notify_no=of("T")), "result_revision": made("o_orderkey % 3 = 0", "R", 0, bid_id=of("P"), package_no=F.lit("")), "opening_revision": made("o_orderkey % 5 = 0", "O", -30, package_no=of("B")),
+        "contract_revision": made("o_orderkey % 4 = 0", "C", 30, notice_no=of("T"), contract_code=of("K")), "contract_performance_revision": made("o_orderkey % 8 = 0", "F", 60, contract_code=of("K")),
+    }
+
+
+_NODES = """
+    n AS (SELECT o_orderkey AS k, o_custkey AS c, unnest(list_filter(['package_revision:P' || o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'notice_revision:T' || o_orderkey END, CASE WHEN o_orderkey % 3 = 0 THEN 'result_revision:R' || o_orderkey END, CASE WHEN o_orderkey % 5 = 0 THEN 'opening_revision:O' || o_orderkey END,
+        CASE WHEN o_orderkey % 4 = 0 THEN 'contract_revision:C' || o_orderkey END, CASE WHEN o_orderkey % 8 = 0 THEN 'contract_performance_revision:F' || o_orderkey END], lambda x: x IS NOT NULL)) AS node FROM orders),
+    p AS (SELECT c_custkey AS c, 'plan_revision:L' || c_custkey AS node FROM customer)"""
+
+
+@query(f"""WITH {_NODES} SELECT node, MIN(node) OVER (PARTITION BY k) AS component_id FROM n UNION ALL SELECT node, node FROM p""")
+def linkage_families(spark, sf):
+    """GRF-1, GRF-5: a component for each order over seven tables; plans don't link."""
+    return linkage.index(roots(spark, sf)).select(F.concat_ws(":", "entity_type", "entity_id").alias("node"), "component_id")
+
+
+@query(f"""WITH {_NODES}, u AS (SELECT c, node FROM n UNION ALL SELECT * FROM p) SELECT node, MIN(node) OVER (PARTITION BY c) AS component_id FROM u""")
+def linkage_plans(spark, sf):
+    """GRF-5: with plan links, by id or number, a component for each customer."""
+    return linkage.index(roots(spark, sf), plan_links=True).select(F.concat_ws(":", "entity_type", "entity_id").alias("node"), "component_id")
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 3 = 0 AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01')
+    SELECT 'package_revision' AS entity_type, 'rP' || k AS revision_id FROM o WHERE d - 90 < DATE '1996-01-01' UNION ALL SELECT 'notice_revision', 'rT' || k FROM o WHERE k % 2 = 0 AND d - 60 < DATE '1996-01-01' UNION ALL SELECT 'opening_revision', 'rO' || k FROM o WHERE k % 5 = 0 AND d - 30 < DATE '1996-01-01'""")
+def component_closure(spark, sf):
+    """JN-11: what results since 1996 need from before, over the components of three tables; plans aren't in them."""
+    tables = roots(spark, sf)
+    found = linkage.upstream(linkage.index(tables), tables["result_revision"].filter("public_date >= '1996-01-01'"), tables, "1996-01-01")
+    parts = [df.select(F.lit(name).alias("entity_type"), "revision_id") for name, df in found.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(f"""
+    WITH {_NODES}, t AS (SELECT node, unnest(list_filter(CASE split_part(node, '_', 1) WHEN 'package' THEN ['package:P' || k, 'package_code: B' || k, CASE WHEN k % 2 = 0 THEN 'plan:L' || c END, 'plan_code:N' || c] WHEN 'notice' THEN ['package_code:B' || k, 'notice:T' || k] WHEN 'result' THEN ['package:P' || k, 'result:R' || k]
+        WHEN 'opening' THEN ['package_code:B' || k] ELSE CASE WHEN node LIKE 'contract_revision%' THEN ['notice:T' || k, 'contract:K' || k] ELSE ['contract:K' || k] END END, lambda x: x IS NOT NULL)) AS token FROM n
+        UNION ALL SELECT node, unnest(['plan:L' || c, 'plan_code:N' || c]) FROM p)
+    SELECT node, replace(token, ': B', ':B') AS token FROM t""")
+def typed_links(spark, sf):
+    """GRF-1: the typed families of each root table."""
+    return linkage.impact_links(roots(spark, sf))
