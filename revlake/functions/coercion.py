@@ -61,16 +61,15 @@ def coerce(df: DataFrame, schema: T.StructType, key: list[str]) -> tuple[DataFra
 
 @F.pandas_udf(T.StringType())
 def content_hash(payload: pd.Series) -> pd.Series:
-    """PRJ-16: SHA-256 of a JSON text with sorted keys and without blanks; null for nulls and for what isn't JSON. Spark keeps
+    """PRJ-16: SHA-256 of a JSON text with sorted keys and without blanks; null for nulls and for what can't be read as JSON, be it nested deeper than the parser goes. Spark keeps
     the order of keys and has no function that sorts them at every level, so this runs on Arrow batches."""
 
     def of(text: str | None) -> str | None:
         try:
-            value = json.loads(text) if text is not None else None
-        except ValueError:
+            if text is None:
+                return None
+            return hashlib.sha256(json.dumps(json.loads(text), sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")).hexdigest()
+        except (ValueError, RecursionError):
             return None
-        if text is None:
-            return None
-        return hashlib.sha256(json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")).hexdigest()
 
     return payload.map(of, na_action="ignore")

@@ -21,12 +21,15 @@ ROWS = 10_000
 
 
 def walk(text: str | None) -> Iterator[tuple[str, str | None, str, str]]:
-    """(path, value, state, type) of every node of a JSON text, the root "$" first; one that can't be read is a string by itself. Containers have no
-    value. A stack, so depth has no limit but the parser's."""
+    """(path, value, state, type) of every node of a JSON text, the root "$" first; one that isn't JSON is a string by itself, one that is nested deeper
+    than the parser goes is ``unreadable``, so that it is counted and not taken for a string. Containers have no value."""
     try:
         root = json.loads(text, parse_float=_Float, parse_int=_Int, parse_constant=_Float) if text is not None else None
-    except (ValueError, RecursionError):
+    except ValueError:
         root = text
+    except RecursionError:
+        yield "$", None, "unreadable", "unreadable"
+        return
     stack = [("$", root)]
     while stack:
         path, x = stack.pop()

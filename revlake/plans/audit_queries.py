@@ -43,12 +43,18 @@ def cohort_warnings(spark, sf):
     return w.select("doc_id", F.array_contains("warnings", "small_payload").alias("small_payload"), F.array_contains("warnings", "shared_payload").alias("shared_payload"))
 
 
-@query("""SELECT event_id, strlen(props) AS bytes, CAST(1 AS BIGINT) AS fields, CAST(1 AS BIGINT) AS populated, CAST(0 AS DOUBLE) AS empty_ratio, sha256('["k"]') AS shape_hash, sha256('[]') AS null_hash FROM events""")
+@query("""
+    WITH e AS (SELECT event_id, event_id % 4 AS m, event_id % 3 AS q, '{"k":' || user_id || CASE WHEN event_id % 4 >= 1 THEN ',"a":' || CASE WHEN event_id % 3 = 0 THEN 'null' ELSE '"x"' END ELSE '' END || CASE WHEN event_id % 4 >= 2 THEN ',"b":' || CASE WHEN event_id % 3 = 1 THEN 'null' ELSE '""' END ELSE '' END || '}' AS payload FROM events)
+    SELECT event_id, strlen(payload) AS bytes, CAST(1 + CASE WHEN m >= 1 THEN 1 ELSE 0 END + CASE WHEN m >= 2 THEN 1 ELSE 0 END AS BIGINT) AS fields, CAST(1 + CASE WHEN m >= 1 AND q <> 0 THEN 1 ELSE 0 END AS BIGINT) AS populated,
+        sha256(CASE WHEN m = 0 THEN '["k"]' WHEN m = 1 THEN '["a","k"]' ELSE '["a","b","k"]' END) AS shape_hash, sha256(CASE WHEN m >= 2 AND q = 0 THEN '["a","b"]' WHEN m >= 2 THEN '["b"]' WHEN m = 1 AND q = 0 THEN '["a"]' ELSE '[]' END) AS null_hash FROM e""")
 def payload_metrics(spark, sf):
-    e = table(spark, sf, "events")
+    """DQ-3: payloads of one to three fields, of which some are null or empty."""
+    k, q = F.col("event_id") % 4, F.col("event_id") % 3
+    text = F.concat(F.lit('{"k":'), F.col("user_id").cast("string"), F.when(k >= 1, F.concat(F.lit(',"a":'), F.when(q == 0, "null").otherwise('"x"'))).otherwise(""), F.when(k >= 2, F.concat(F.lit(',"b":'), F.when(q == 1, "null").otherwise('""'))).otherwise(""), F.lit("}"))
+    e = table(spark, sf, "events").select("event_id", text.alias("props"))
     flat = profiling.flatten_json(e, "event_id", "props")
     out = quality.payload_metrics(flat, e.select(F.col("event_id").alias("record"), F.col("props").alias("payload")))
-    return out.select(F.col("record").alias("event_id"), F.col("bytes").cast("bigint").alias("bytes"), "fields", "populated", F.col("empty_ratio").cast("double").alias("empty_ratio"), "shape_hash", "null_hash")
+    return out.select(F.col("record").alias("event_id"), F.col("bytes").cast("bigint").alias("bytes"), "fields", "populated", "shape_hash", "null_hash")
 
 
 @query("""
@@ -133,10 +139,12 @@ def calendar_coverage(spark, sf):
     return coverage.coverage(attempts(spark, sf), "2023-12-30", "2024-02-01")
 
 
-@query(f"""WITH {_ATTEMPTS} SELECT resource, MAX(source_date) FILTER (status = 'success') AS latest_success, 34 - COUNT(DISTINCT source_date) AS missing_dates, CAST(DATE '2024-02-10' - MAX(source_date) FILTER (status = 'success') AS BIGINT) AS freshness_days FROM a GROUP BY 1""")
+@query(f"""
+    WITH {_ATTEMPTS}, p AS (SELECT resource, source_date, BOOL_OR(status = 'success') AS s, BOOL_OR(status = 'running') AS u FROM a GROUP BY ALL)
+    SELECT resource, MAX(source_date) FILTER (s) AS latest_success, COUNT(*) FILTER (NOT s AND NOT u) AS failed_dates, 34 - COUNT(*) AS missing_dates, CAST(DATE '2024-02-10' - MAX(source_date) FILTER (s) AS BIGINT) AS freshness_days FROM p GROUP BY 1""")
 def resource_health(spark, sf):
     h = coverage.health(calendar_coverage(spark, sf), "2024-02-10")
-    return h.select("resource", "latest_success", "missing_dates", F.col("freshness_days").cast("bigint").alias("freshness_days"))
+    return h.select("resource", "latest_success", "failed_dates", "missing_dates", F.col("freshness_days").cast("bigint").alias("freshness_days"))
 
 
 @query(f"""WITH {_ATTEMPTS} SELECT resource, source_date, COUNT(*) AS attempts, arg_max(run_id, (ts, run_id)) FILTER (status = 'success') AS effective_run, arg_max(run_id, (ts, run_id)) AS latest_run FROM a GROUP BY ALL""")

@@ -374,9 +374,14 @@ def star_join(spark, sf):
     return wide.groupBy("r_name", "c_mktsegment").agg(F.sum("o_totalprice").cast(MONEY).alias("total"))
 
 
-@query("""SELECT 'l_extendedprice' AS measure, CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS exact FROM lineitem UNION ALL SELECT 'l_quantity', CAST(SUM(CAST(l_quantity AS DECIMAL(38,6))) AS DECIMAL(38,6)) FROM lineitem""")
+@query("""
+    SELECT measure, CAST(SUM(CAST(v AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS exact, round(SUM(v), 2) AS approximate, abs(SUM(v) - CAST(SUM(CAST(v AS DECIMAL(38,6))) AS DOUBLE)) <= 0.000000001 * SUM(v) AS near
+    FROM (SELECT 'l_extendedprice' AS measure, l_extendedprice AS v FROM lineitem UNION ALL SELECT 'l_quantity', l_quantity FROM lineitem UNION ALL SELECT 'third', l_quantity + 0.0000004 FROM lineitem) GROUP BY 1""")
 def precision_check(spark, sf):
-    return reporting.precision(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"]).select("measure", F.col("exact").cast(MONEY).alias("exact"))
+    """MEA-13: exact sums, sums of doubles, and whether the gap between them is none to speak of; one measure has digits that the exact type cuts off."""
+    rows = table(spark, sf, "lineitem").withColumn("third", F.col("l_quantity") + 0.0000004)
+    out = reporting.precision(rows, ["l_extendedprice", "l_quantity", "third"])
+    return out.select("measure", F.col("exact").cast(MONEY).alias("exact"), F.round("approximate", 2).alias("approximate"), (F.col("gap") <= 1e-9 * F.col("approximate")).alias("near"))
 
 
 @query("""

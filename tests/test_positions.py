@@ -112,3 +112,15 @@ def test_assembled_openings(spark):
     df = spark.createDataFrame([(i, json.dumps(c[0]), c[1]) for i, c in enumerate(cases)], "i int, payload string, exception string").withColumns({"v": F.try_parse_json("payload"), "context_id": F.lit("id"), "context_mode": F.lit(None).cast("string")})
     got = {r["i"]: (r["collection_status"], sorted(x["code"] for x in r["issues"])) for r in assembly.check(df, [assembly.NOTICE, assembly.ROUND]).collect()}
     assert got == {i: (c[2], c[3]) for i, c in enumerate(cases)}
+
+
+def test_deeply_nested_json_ends_no_job(spark):
+    """Records nested deeper than the parser goes are unreadable and have no hash; others are read."""
+    from revlake.functions import coercion
+
+    deep = "[" * 100_000 + "]" * 100_000
+    df = spark.createDataFrame([(1, deep), (2, '{"a":[1]}'), (3, "no json")], "i int, p string")
+    got = {(r["record"], r["path"]): (r["state"], r["type"]) for r in profiling.flatten_json(df, "i", "p").collect()}
+    assert got[1, "$"] == ("unreadable", "unreadable") and got[2, "$.a[]"] == ("populated", "int") and got[3, "$"] == ("populated", "string")
+    hashes = {r["i"]: r["h"] for r in df.select("i", coercion.content_hash("p").alias("h")).collect()}
+    assert hashes[1] is None and hashes[2] is not None and hashes[3] is None
