@@ -65,7 +65,7 @@ def test_streams(spark, tmp_path):
         if rows:
             make(rows).coalesce(1).write.mode("append").parquet(src)
         streams.start_upsert(streams.read_arrivals(spark, src, _parse_datatype_string(schema)), out, ["id"], chk).awaitTermination()
-    assert {(r["id"], r["x"]) for r in spark.read.parquet(f"{out}/v=1").collect()} == {("a", 2), ("b", 5)}
+    assert {(r["id"], r["x"]) for r in streams.upserted(spark, out, _parse_datatype_string(schema)).collect()} == {("a", 2), ("b", 5)}
     q = streams.daily(streams.read_arrivals(spark, src, _parse_datatype_string(schema)), "ingested_at", ["id"], ["x"]).writeStream.format("memory").queryName("daily_x").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("daily_x").agg(F.sum("rows")).first()[0] == 4
