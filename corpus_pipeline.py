@@ -82,7 +82,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", good_quality), ("language", known_language), ("exact", distinct_texts), ("near", distinct_content), ("packing", sequences)]
 
-#: The stages' models and searches can't be written in SQL; tests compare them with brute force.
+#: The stages' models and searches can't be written in SQL; the operators have tests against brute force, the whole run has not.
 ORACLE_SQL = None
 
 
