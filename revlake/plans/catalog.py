@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-MODULES = ["rows_queries", "field_queries", "fact_queries", "audit_queries", "chain_queries", "relation_queries", "stream_queries", "opening_queries", "rule_queries", "business_queries", "measure_queries"]
+MODULES = ["rows_queries", "field_queries", "fact_queries", "audit_queries", "chain_queries", "relation_queries", "stream_queries", "opening_queries", "rule_queries", "business_queries", "measure_queries", "silver_queries"]
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:

@@ -175,6 +175,26 @@ PERFORMANCE = Spec("contract_performance", ("performance",), "id", {"contract_co
 RESULT = Spec("result", ("bideContractorInputResultDTO", ""), "id", {"notify_no": F1(T, "notifyNo"), "notify_version": F1(T, "notifyVersion"), "package_id": F1(R, "bidId"), "package_no": F1(T, "bidNo"), "plan_no": F1(R, "planNo"), "status_raw": F1(T, "status"), "decision_date": F1(D, "decisionDate", anchor="publicDate"), "public_date": F1(D, "publicDate"), "unit": F1(C.clean_currency, "bidPriceUnit"), "estimate_unit": F1(C.clean_currency, "bidEstimatePriceUnit")}, checks=(("conflicting_currency", "unit != estimate_unit", "warn"),))
 
 
+def project_tables(bronze: DataFrame) -> dict[str, DataFrame]:
+    """SLV-2, SLV-3: projects and their places: items of the list ``plocation``, of the payload or else of its root, also a list written as text; where there is no
+    list, or an empty one, the one place that the payload's or root's own fields name. Items that are no objects or name nothing are no places."""
+    out = resource(bronze, PROJECT, "project")
+    rows = out["project_revision"].select("revision_id", "observation_id", "root_json").join(observation(bronze, "project").select("observation_id", "payload"), "observation_id")
+    either = lambda p: F.coalesce(F.nullif(F.get_json_object("payload", f"$.{p}"), F.lit("")), F.get_json_object("root_json", f"$.{p}"))
+    rows = rows.withColumns({"raw": either("plocation"), **{k: either(k) for k in ("provCode", "provName", "districtCode", "districtName")}}).withColumn("items", json_items(F.col("raw")))
+    listed = rows.filter(F.size("items") > 0).select("revision_id", F.posexplode("items").alias("ordinal", "item")).filter(F.trim("item").startswith("{"))
+    of = lambda p: F.get_json_object("item", f"$.{p}")
+    codes, names = {"province_code": "provCode", "district_code": "districtCode", "ward_code": "wardCode"}, {"province_name": "provName", "district_name": "districtName", "ward_name": "wardName"}
+    listed = listed.select("revision_id", "ordinal", *(C.clean_pipe_code(of(p)).alias(k) for k, p in codes.items()), *(T(of(p)).alias(k) for k, p in names.items()))
+    listed = listed.withColumn("location_name", F.nullif(F.concat_ws(", ", "ward_name", "district_name", "province_name"), F.lit("")))
+    none = F.lit(None).cast("string")
+    single = rows.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0).select("revision_id", F.lit(0).alias("ordinal"), C.clean_pipe_code(F.col("provCode")).alias("province_code"), C.clean_pipe_code(F.col("districtCode")).alias("district_code"), none.alias("ward_code"), T(F.col("provName")).alias("province_name"), T(F.col("districtName")).alias("district_name"), none.alias("ward_name"), T(F.when(~F.trim("raw").rlike(r"^[\[{]"), F.col("raw"))).alias("location_name"))
+    places = listed.unionByName(single).filter("coalesce(province_code, district_code, location_name, province_name, district_name) is not null")
+    place = [F.col(c) for c in ("province_code", "province_name", "district_code", "district_name", "ward_code", "ward_name", "location_name")]
+    out["project_location"] = places.withColumn("project_location_id", C.digest(F.col("revision_id"), F.lit("location"), F.col("ordinal"), *place))
+    return out
+
+
 def notice_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """SLV-9..11: the three families of notices, each by its spec, united by name."""
     out: dict[str, DataFrame] = {}

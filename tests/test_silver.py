@@ -82,3 +82,12 @@ def test_from_payloads_to_facts(spark):
     fact = facts.build("fact_award_daily", facts.award_contributions(award, "2024-01-01", "2024-12-31"))
     assert fact.count() == 1 and facts.gate("fact_award_daily", fact, facts.award_contributions(award, "2024-01-01", "2024-12-31")).filter("rows > 0").count() == 0
     assert facts.build("fact_demand_daily", facts.demand_contributions(dem, "2024-01-01", "2024-12-31")).agg(F.sum("package_count")).first()[0] == 3
+
+
+def test_project_places(spark):
+    one = {"provCode": "|7|", "provName": "P", "wardName": " W "}
+    cases = [{"projectDTO": {"id": "a", "plocation": [one, 3, {}, {"districtCode": "d"}]}}, {"projectDTO": {"id": "b"}, "plocation": json.dumps([one])}, {"projectDTO": {"id": "c", "provCode": "1", "plocation": []}}, {"projectDTO": {"id": "d", "plocation": "here"}}, {"projectDTO": {"id": "e"}}, {"projectDTO": {"id": "f", "plocation": {"x": 1}, "districtName": "D"}}]
+    out = silver.project_tables(bronze(spark, cases))
+    ids = out["project_revision"].select("revision_id", F.get_json_object("root_json", "$.id").alias("id"))
+    got = sorted(tuple(r) for r in out["project_location"].join(ids, "revision_id").select("id", "ordinal", "province_code", "district_code", "district_name", "location_name").fillna("-").collect())
+    assert got == [("a", 0, "7", "-", "-", "W, P"), ("a", 3, "-", "d", "-", "-"), ("b", 0, "7", "-", "-", "W, P"), ("c", 0, "1", "-", "-", "-"), ("d", 0, "-", "-", "-", "here"), ("f", 0, "-", "-", "D", "-")]
