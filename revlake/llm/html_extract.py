@@ -12,13 +12,17 @@
 Counts say nothing about hosts of fewer than ``min_pages`` pages. There names alone decide, and where a page has main content only that is taken.
 
 Nulls: null html is an empty page, whose text is empty; pages with a null url or one without a host have no host, so names decide. Repeated pages and ids (ties) each
-get a row. Only the columns in ``keep`` are passed on, so others can't clash. An empty table gives an empty result; a page may have any length.
+get a row. Only the columns in ``keep`` are passed on, so others can't clash. An empty table gives an empty result; a page may have any length, and is read in a time
+that grows with it, however it is broken: tags that never end are text, comments that never end take the rest, a tag whose quotes never close ends at its first ``>``,
+end tags of elements that aren't open mean nothing, and elements that are never closed end with the page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,12 +37,16 @@ from revlake.llm.common import frugal, run_dir, small_batches, stored
 #: A hash is a template from this many pages of a host on, and from a share of the host's pages on, by kind, which are a hash's last two bits:
 MIN_PAGES = 10
 OUTSIDE, INSIDE, BESIDE, NAMED = range(4)
-#: subtrees outside and inside the main content, shells beside it, shells with a telling name.
+#: containers outside the main content; containers in it, and paragraphs and the like outside of it; shells beside it; shells with a telling name.
 SHARES = (0.05, 0.5, 0.5, 0.05)
 #: Templates and hosts that are sent to every task at most (16 bytes and a host name each); more are joined by a shuffle.
 BROADCAST_TEMPLATES = 50_000
 
-TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[a-zA-Z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|<[a-zA-Z/!?][^>]*+>|[^<]++|<""", re.S)
+TEXT = re.compile(r"[^<]++")
+COMMENT = re.compile(r"<!--(?:.*?-->|.*)", re.S)
+WHOLE_TAG = re.compile(r"""<[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
+TAG_START = re.compile(r"<[a-zA-Z/!?]")
+QUOTE = re.compile(r"[\"']")
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "title", "textarea", "xmp", "noembed", "noframes", "iframe")}
@@ -55,12 +63,19 @@ NOT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banne
 #: Elements that may be deleted inside the main content.
 CONTAINERS = frozenset("div section aside figure details ul ol dl table center".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+ZEROS = re.compile(r"&#0+(?=[0-9])")
+BEYOND = re.compile(r"&#[0-9]{8,};?")
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
+def decoded(text: str) -> str:
+    """Text with its character references replaced; numbers beyond Unicode, however long, stand for U+FFFD."""
+    return entities.unescape(BEYOND.sub("\ufffd", ZEROS.sub("&#", text))) if "&" in text else text
+
+
 def refused(tag: str, attrs: dict[str, str], inside: int) -> bool:
     """Whether HTML itself says that an element isn't article text."""
     if tag in NOT_TEXT or tag == "header" and not inside:
@@ -94,7 +109,7 @@ class Open:
     before: int = 0
     mains: int = 0
     shell: int = 0
-    parts: list[str] = field(default_factory=list)
+    parts: deque[str] = field(default_factory=deque)
     beside: list[int] = field(default_factory=list)
 
 
@@ -106,41 +121,67 @@ class Page:
     def __init__(self, source: str, templates: frozenset[int] | None = frozenset()):
         self.templates, self.hashes = templates, set()
         self.blocks: list[list] = []
+        #: Numbers of the blocks that aren't in a recurring shell, and for each name how deep its open elements are, both ascending.
+        self.plain: list[int] = []
+        self.depths: dict[str, list[int]] = {}
         self.words: list[str] = []
         self.seen = [True, False, False]
         self.mains = 0
         self.open: list[Open] = [Open("")]
+        self.last, self.lost = source.rfind(">"), []
         at, n = 0, len(source)
         while at < n:
-            m = TOKEN.match(source, at)
-            at, token = m.end(), m[0]
-            if token[0] != "<" or len(token) == 1:
-                self.data(token)
-            elif t := TAG.match(token):
-                name = t[1].lower()
-                if token[1] == "/":
-                    self.close(name)
-                    continue
-                self.start(name, token[t.end() : -1])
-                if raw := RAW.get(name):
-                    e = raw.search(source, at)
-                    if name in ("xmp",):
-                        self.data(source[at : e.start() if e else n])
-                    at = e.start() if e else n
+            if source[at] != "<":
+                begin, at = at, TEXT.match(source, at).end()
+                self.data(source[begin:at])
+            elif source.startswith("<!--", at):
+                at = COMMENT.match(source, at).end()
+            elif not TAG_START.match(source, at) or at > self.last:
+                self.data("<")
+                at += 1
+            else:
+                begin, at = at, self.tag_end(source, at)
+                if t := TAG.match(source, begin, at):
+                    name = t[1].lower()
+                    if source[begin + 1] == "/":
+                        self.close(name)
+                        continue
+                    self.start(name, source[t.end() : at - 1])
+                    if raw := RAW.get(name):
+                        e = raw.search(source, at)
+                        if name in ("xmp",):
+                            self.data(source[at : e.start() if e else n])
+                        at = e.start() if e else n
         self.pop(1)
         self.flush()
         if self.mains:
             self.hashes.update(self.open[0].beside)
 
+    def tag_end(self, source: str, at: int) -> int:
+        """Where the tag at ``at`` ends: after its first ``>`` outside quotes, else, where there is none, after its first ``>``.
+
+        ``lost`` are searches that came to the end of the page, each as a place and the quote that is open there. One that is outside quotes at ``at`` has seen what a new search would
+        see. A quote moves searches between the three states without ever joining two, so there are at most three of them."""
+        for x in self.lost:
+            for q in QUOTE.findall(source, x[0], at):
+                x[1] = q if not x[1] else "" if x[1] == q else x[1]
+            x[0] = at
+        if all(quote for _, quote in self.lost):
+            if m := WHOLE_TAG.match(source, at):
+                return m.end()
+            self.lost.append([at, ""])
+        return source.index(">", at) + 1
+
     def data(self, text: str) -> None:
         if not self.open[-1].no:
-            self.words.append(entities.unescape(text) if "&" in text else text)
+            self.words.append(decoded(text))
         if self.templates is not None:
             self.open[-1].parts.append(text)
 
     def flush(self) -> None:
         if self.words:
             if text := " ".join("".join(self.words).split()):
+                self.plain.append(len(self.blocks))
                 self.blocks.append([self.open[-1].zone, text, False])
             self.words = []
 
@@ -156,7 +197,7 @@ class Page:
             self.flush()
         if name in VOID:
             return
-        attrs = {a.lower(): entities.unescape(x or y or z or "") for a, x, y, z in ATTRIBUTE.findall(rest)} if "=" in rest or "hidden" in rest else {}
+        attrs = {a.lower(): decoded(x or y or z or "") for a, x, y, z in ATTRIBUTE.findall(rest)} if "=" in rest or "hidden" in rest else {}
         zone = self.open[-1].zone
         shell = (name, *sorted(attrs.get("class", "").split()), attrs.get("id", ""), attrs.get("role", ""))
         no = self.open[-1].no or refused(name, attrs, zone)
@@ -168,25 +209,22 @@ class Page:
             zone = max(zone, 2 if name == "article" else 1 if name == "main" or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody" else 0)
             self.seen[zone] = True
         self.open.append(Open(name, attrs.get("class", ""), zone, no, len(self.blocks), self.mains, 0 if zone or self.templates is None else hashed(BESIDE, *shell)))
+        self.depths.setdefault(name, []).append(len(self.open) - 1)
         self.mains += zone > 0
 
     def close(self, name: str) -> None:
-        if name == "p" and all(x.name != "p" for x in self.open):
+        if depths := self.depths.get(name):
+            self.pop(depths[-1])
+        elif name == "p":
             self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name == name:
-                return self.pop(i)
 
     def until(self, names: set[str], border: set[str]) -> None:
         """Close the outermost open element of ``names`` that is above any of ``border``."""
-        found = 0
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in names:
-                found = i
-            elif self.open[i].name in border:
-                break
-        if found:
-            self.pop(found)
+        there = [x for name in names if (x := self.depths.get(name))]
+        if there:
+            edge = max((x[-1] for name in border - names if (x := self.depths.get(name))), default=0)
+            if found := [x[k] for x in there if (k := bisect_right(x, edge)) < len(x)]:
+                self.pop(min(found))
 
     def pop(self, depth: int) -> None:
         while len(self.open) > depth:
@@ -194,28 +232,48 @@ class Page:
             if x.name in BLOCK:
                 self.flush()
             self.open.pop()
+            self.depths[x.name].pop()
             if self.templates is None:
                 continue
             over = self.open[-1]
             if not x.zone and self.mains > x.mains:  # around main content: what stands beside it, or in another element around it, stays known
+                if len(over.beside) < len(x.beside):  # their order means nothing
+                    over.beside, x.beside = x.beside, over.beside
                 over.beside += x.beside
                 continue
             if x.zone and not over.zone:  # main content itself
                 continue
+            if x.name not in BLOCK:  # as text of the element around it; the longer of the two is kept
+                if len(over.parts) < len(x.parts):
+                    over.parts, x.parts = x.parts, over.parts
+                    over.parts.extendleft(reversed(x.parts))
+                else:
+                    over.parts.extend(x.parts)
+                continue
             content = " ".join("".join(x.parts).split())
-            kind = INSIDE if x.zone else OUTSIDE
+            kind = OUTSIDE if not x.zone and x.name in CONTAINERS else INSIDE
             h = hashed(kind, x.name, x.kind, content)
-            over.parts.append(f"<{h}>" if x.name in BLOCK else content)
-            if not content or x.name not in (CONTAINERS if x.zone else BLOCK) or x.name in ("html", "body", "article", "main"):
+            over.parts.append(f"<{h}>")
+            if not content or x.zone and x.name not in CONTAINERS or x.name in ("html", "body", "article", "main"):
                 continue
             self.hashes.add(h)
             if h in self.templates:
                 del self.blocks[x.before :]
+                self.take(x.before)
             elif not x.zone:
                 over.beside.append(x.shell)
                 if x.shell in self.templates:
-                    for block in self.blocks[x.before :]:
-                        block[2] = True
+                    for k in self.take(x.before):
+                        self.blocks[k][2] = True
+
+    def take(self, before: int) -> list[int]:
+        """The numbers in ``plain`` from ``before`` on, which leave it."""
+        k = len(self.plain)
+        while k and self.plain[k - 1] >= before:
+            k -= 1
+        out = self.plain[k:]
+        del self.plain[k:]
+        return out
 
     def text(self) -> str:
         """Where names decide, the blocks of the main content; else all that no template took, without those beside main content in recurring shells."""

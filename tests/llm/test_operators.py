@@ -81,7 +81,7 @@ def test_every_operator_takes_empty_tables(spark, docs):
     assert html_extract.extract(pages).count() == 0 and bpe.decode(bpe.encode(none, RANKS, PATTERN), RANKS).count() == 0
     assert langid.predict(none, langid.learn(none)).count() == 0
     assert quality.predict(quality.features(none), quality.fit(quality.features(none).selectExpr("doc_id AS id", "stats", "1 AS label"))).count() == 0
-    assert packing.pack(packing.pieces(none, JSON, PATTERN)).count() == 0
+    assert packing.pack(packing.stored(packing.pieces(none, JSON, PATTERN), packing.run_dir(spark, "none"))).count() == 0
     assert embed_dedup.near_vectors(none.selectExpr("doc_id AS vec_id", "CAST(array(1.0) AS array<float>) AS embedding")).count() == 0
 
 
@@ -287,6 +287,67 @@ def test_html_banner_inside_the_article_and_words_in_text(spark):
     assert got == {i: f"T {i}\n\nQuoted by all.\n\nown {i}{tail.get(i, '')}" for i in range(40)}
 
 
+def test_html_equals_articles_by_another_parser(spark):
+    """Counts alone leave of the given pages what the standard library's parser finds in their articles."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.no, self.blocks = 0, 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.no += tag in ("script", "style", "form", "nav", "aside")
+            self.blocks += [""] if tag in ("p", "h1", "h2", "h3", "div", "ul", "li", "article", "section", "blockquote") else []
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.handle_starttag(tag, [])
+            self.depth -= 2 * (tag == "article")
+            self.no -= 2 * (tag in ("script", "style", "form", "nav", "aside"))
+
+        def handle_data(self, data):
+            if self.depth and not self.no:
+                self.blocks[-1] += data
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        page = Article()
+        page.feed(r["html"] or "")
+        page.close()
+        want[r["page_id"]] = "\n\n".join(t for b in page.blocks if (t := " ".join(b.split())))
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()} == want
+
+
+@pytest.mark.parametrize("bit", ["<a ", "<b></i>", '<a ">"', "<a '\">'", "<!-", "<!--", "<b>x", "<p><button>", "<li><i>", "<div><p>y</p>", "&#1", "<a b = ' c=\" ", "<"])
+def test_html_time_grows_with_the_page(bit):
+    """Long runs of each kind of fault take seconds, with and without main content after them, or under an open paragraph and many elements."""
+    import time
+
+    at = time.process_time()
+    for page in (bit * (300_000 // len(bit)), bit * (300_000 // len(bit)) + "<main>m</main>", "<p><button>" + "<i>" * 20_000 + f"<h1>{bit}</h1>" * 10_000):
+        for known in (None, frozenset()):
+            html_extract.Page(page, known).text()
+    assert time.process_time() - at < 20
+
+
+def test_html_faults_have_defined_texts():
+    text = lambda s: html_extract.Page(s).text()
+    assert text("a <b c") == "a <b c" and text("<p>a</i></p>b") == "a\n\nb" and text('<a b=">">x</a>') == "x" and text('<a b="c>x</a>y') == "xy" and text("a<!--b") == "a"
+    assert text(f"&#{'9' * 5000};&#{'0' * 5000}65;&#{'9' * 20}b") == "\ufffdA\ufffdb"
+    words = " ".join(map(str, range(20)))
+    assert text(f"<p>{words}</p>" * 20_000) == "\n\n".join([words] * 20_000)
+
+
+def test_html_paragraphs_that_some_pages_share_are_text(spark):
+    """Outside of main content a container goes that a tenth of the host's pages have, a paragraph stays."""
+    rows = [(i, f"http://q.example/{i}", f"<body><div><p>own {i}</p>{'<p>Quoted words</p>' if i < 13 else ''}</div>{f'<div><p>Box</p></div>' if i < 13 else ''}</body>") for i in range(100)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"own {i}" + ("\n\nQuoted words" if i < 13 else "") for i in range(100)}
+
+
 def test_language_accuracy_on_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = queries.op7_language_id(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
@@ -394,6 +455,21 @@ def test_packing_is_whole_and_tight(spark, docs):
         assert list(g.offset) == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= 64
 
 
+def test_packing_of_repeated_and_text_ids(spark):
+    """Rows with one id, or none, of one length: each has a place of its own, and several tasks share them."""
+    rows = [(None, "a b"), ("x", "a b"), ("x", "a b")] * 400
+    parts = packing.pieces(spark.createDataFrame(rows, "doc_id string, text string"), JSON, PATTERN, capacity=64)
+    old = packing.ROWS_PER_SALT
+    try:
+        packing.ROWS_PER_SALT = 100
+        got = packing.pack(packing.stored(parts, packing.run_dir(spark, "same")), capacity=64).toPandas()
+    finally:
+        packing.ROWS_PER_SALT = old
+    n = got.length.iloc[0]
+    assert len(got) == 1200 and (got.length == n).all() and len(got[["sequence_id", "offset"]].drop_duplicates()) == 1200
+    assert got.sequence_id.nunique() == -(-1200 // (64 // n)) and ((got.offset % n) == 0).all() and (got.offset + n <= 64).all()
+
+
 def test_plans_beat_best_fit_decreasing():
     import bisect
 
