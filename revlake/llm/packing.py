@@ -239,7 +239,7 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[lis
 
 
 def pack(parts: DataFrame, *, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """``parts`` with ``sequence_id`` and ``offset``; it must be a stored table, as it is read twice."""
+    """``parts`` with ``sequence_id`` and ``offset``; it must be a table stored as Parquet, as it is read several times, and its rows are told apart by their file and number."""
     spark = parts.sparkSession
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
     starts: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -256,11 +256,13 @@ def pack(parts: DataFrame, *, id_col: str = "doc_id", capacity: int = CAPACITY)
     tables = {s: np.array(x, np.int64).T for s, x in starts.items()}
     # A row for each possible length at most, so this may be broadcast.
     salts = F.broadcast(spark.createDataFrame([(s, n // ROWS_PER_SALT + 1) for s, n in counts.items()], "length long, salts long"))
-    salted = parts.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.col("salts"))).drop("salts")
+    # By where a row is stored, not by its id, so that rows with no id or the same one are spread as well.
+    rows = parts.withColumns({"_at": F.xxhash64("_metadata.file_name", "_metadata.row_index"), "_index": F.col("_metadata.row_index")})
+    salted = rows.join(salts, "length").withColumn("salt", F.pmod("_at", "salts")).drop("salts")
     totals = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = totals.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
     before = stored(before, f"{run_dir(spark, 'pack')}/before")
-    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy(id_col, "piece", "ids_crc32")) - 1
+    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("_at", "_index")) - 1
     ranked = salted.withColumn("within", within).join(before, ["length", "salt"]).select(id_col, "piece", "start", "length", "ids_crc32", (F.col("within") + F.col("before")).alias("rank"))
     schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     names = parts.columns
