@@ -27,6 +27,16 @@ def multiset_equal(a: DataFrame, b: DataFrame, ignore: list[str] = ()) -> bool:
     return sorted(a.columns) == sorted(b.columns) and symmetric_difference(a, b.select(a.columns)).isEmpty()
 
 
+def bucket_differences(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+    """SNK-14: for each of 16 buckets, the first hex digit of the MD5 of the key's text, how many rows each side has and how many differ, copies counted. A row that both sides have equally often
+    differs in nothing. One grouping serves all buckets; a bucket that neither side has rows in has no row; nulls in the key are a text of their own."""
+    marked = lambda df, side: df.select(*a.columns).withColumn("_side", F.lit(side))
+    both = marked(a, 1).unionByName(marked(b, -1))
+    net = both.groupBy(*a.columns).agg(F.sum("_side").alias("_net"), F.count_if(F.col("_side") == 1).alias("_left"), F.count_if(F.col("_side") == -1).alias("_right"))
+    text = F.concat_ws("\x1f", *(F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in key))
+    return net.groupBy(F.substring(F.md5(text), 1, 1).alias("bucket")).agg(F.sum("_left").alias("left_rows"), F.sum("_right").alias("right_rows"), F.sum(F.abs("_net")).alias("differing"))
+
+
 def replace_rows(base: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
     """SET-4: ``base`` with the rows of ``old`` taken out once each and those of ``new`` put in. ``old`` has to be there: its rows
     that aren't end the job."""

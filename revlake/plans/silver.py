@@ -47,6 +47,7 @@ class Spec:
     versioned: bool = True
     same_in_roots: tuple[str, ...] = ()
     version_path: str | None = None
+    version_fallback: str | None = None  # where neither version_path nor the envelope names a version
     checks: tuple[tuple[str, str, str], ...] = ()  # (code, SQL fault over targets, severity)
     contract: str = "v1"
 
@@ -74,8 +75,8 @@ def observation(bronze: DataFrame, resource: str, namespace: str = "main") -> Da
     return bronze.withColumns({"observation_id": ident, "resource": F.lit(resource), "observed_at": F.col("ingested_at")})
 
 
-def resource(bronze: DataFrame, spec: Spec, name: str, namespace: str = "main") -> dict[str, DataFrame]:
-    """``observation``, ``<entity>_revision``, its children, ``quality_issue`` and ``quarantine``."""
+def resource(bronze: DataFrame, spec: Spec, name: str, namespace: str = "main", carry: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """``observation``, ``<entity>_revision``, its children, ``quality_issue`` and ``quarantine``; revisions also have the columns of ``bronze`` that ``carry`` names."""
     seen = observation(bronze, name, namespace)
     at = [F.col("payload") if r == "" else F.get_json_object("payload", f"$.{r}") for r in spec.roots]
     is_object = lambda c: F.trim(c).startswith("{")
@@ -93,7 +94,9 @@ def resource(bronze: DataFrame, spec: Spec, name: str, namespace: str = "main")
     rows = rows.withColumn("conflicts", F.filter(F.array(*differ), lambda x: x.isNotNull()) if differ else F.array().cast("array<string>"))
     reason = F.when(F.col("root").isNull(), "missing_root").when(F.col("identity").isNull(), "missing_identity").when(F.size("conflicts") > 0, "conflicting_identity")
     rows = rows.withColumn("reason", reason)
-    own_version = F.coalesce(C.clean_text(F.get_json_object("root", f"$.{spec.version_path}")) if spec.version_path else F.lit(None), C.clean_text(F.col("source_version")))
+    versions = [F.get_json_object("root", f"$.{spec.version_path}")] if spec.version_path else []
+    versions += [F.col("source_version")] + ([F.get_json_object("root", f"$.{spec.version_fallback}")] if spec.version_fallback else [])
+    own_version = F.coalesce(*map(C.clean_text, versions))
     good = rows.filter("reason is null").withColumn("entity_id", C.digest(F.lit(namespace), F.lit(spec.entity), F.lit(spec.scheme), F.col("identity")))
     good = good.withColumn("version", own_version if spec.versioned else F.lit(None).cast("string"))
     good = good.withColumn("revision_id", C.digest(F.col("entity_id"), F.col("version"), F.sha2("payload", 256), F.lit(spec.contract)))
@@ -106,7 +109,7 @@ def resource(bronze: DataFrame, spec: Spec, name: str, namespace: str = "main")
     typed = typed.withColumn("issues", C.issues(*found, *((code, F.when(F.coalesce(F.expr(fault), F.lit(False)), code), severity) for code, fault, severity in spec.checks)))
     out = {
         "observation": seen.select("observation_id", "resource", "source_date", "run_id", "observed_at", "source_id", "source_version", "content_hash"),
-        f"{spec.entity}_revision": typed.select("revision_id", "entity_id", "observation_id", "observed_at", "version", *spec.fields, F.col("root").alias("root_json")),
+        f"{spec.entity}_revision": typed.select("revision_id", "entity_id", "observation_id", "observed_at", "version", *spec.fields, F.col("root").alias("root_json"), *carry),
         "quarantine": rows.filter("reason is not null").select("observation_id", "reason"),
     }
     bad = rows.filter("reason is not null").select("observation_id", F.explode(F.when(F.size("conflicts") > 0, F.col("conflicts")).otherwise(F.array(F.lit("root")))).alias("path"), F.col("reason").alias("code")).withColumn("severity", F.lit("error"))
@@ -164,15 +167,20 @@ PACKAGE = Spec(
 )
 _notice = {"notify_no": F1(T, "notifyNo"), "notify_version": F1(T, "notifyVersion"), "package_id": F1(R, "bidId"), "package_no": F1(T, "bidNo"), "plan_no": F1(R, "planNo"), "title": F1(T, "bidName"), "procuring_entity_code": F1(T, "procuringEntityCode"), "procuring_entity_name": F1(T, "procuringEntityName"), "investor_name": F1(T, "investorName"), "bid_price": F1(M, "bidPrice"), "currency": F1(T, "bidPriceUnit"), "guarantee_currency": F1(T, "bidGuaranteeUnit"), "bid_field": F1(T, "investField"), "bid_form": F1(T, "bidForm"), "bid_mode": F1(T, "bidMode"), "status_raw": F1(T, "status"), "bid_open_date": F1(I, "bidOpenDate", anchor="publicDate"), "bid_close_date": F1(I, "bidCloseDate", anchor="publicDate"), "published_at": F1(I, "publicDate"), "public_date": F1(D, "publicDate"), "cancel_date": F1(I, "cancelDate", anchor="publicDate"), "cancel_reason": F1(T, "cancelReason")}
 _notice_checks = (("close_after_open", "bid_close_date > bid_open_date", "warn"), ("published_after_close", "published_at > bid_close_date", "warn"))
-_notice_children = {"notice_location": Child(("lsBidLocation", "bidLocation", "locations"), _place), "notice_lot": Child(("lotDTOList", "lsLot", "bidpBidLotList"), {"source_lot_id": F1(T, "id"), "lot_no": F1(T, "lotNo"), "lot_name": F1(T, "lotName"), "lot_price": F1(M, "lotPrice")}, ("currency",))}
+_notice_lot = {"lot_no": F1(T, "lotNo"), "lot_name": F1(T, "lotName"), "lot_price": F1(M, "lotPrice"), "estimate_price": F1(M, "lotEstimatePrice"), "currency": F1(T, "lotPriceUnit"), "guarantee_amount": F1(M, "lotGuaranteeValue"), "contract_duration_raw": F1(T, "cperiod"), "contract_duration_unit": F1(T, "cperiodUnit"), "notify_id": F1(T, "notifyId"), "notify_no": F1(T, "notifyNo")}
+_submission = {"submission_id": F1(T, "reofferSubmissionId"), "reoffer_id": F1(T, "reofferId"), "lot_no": F1(T, "lotNo"), "contractor_code": F1(T, "contractorCode"), "contractor_name": F1(T, "contractorName"), "venture_code": F1(T, "ventureCode"), "venture_name": F1(T, "ventureName"), "times_raw": F1(T, "times"), "offered_at_raw": F1(T, "reofferDate"), "form_code": F1(T, "formCode"), "form_value": F1(T, "formValue"), "currency": F1(T, "reofferPriceUnit"), "price": F1(M, "reofferPrice"), "final_price": F1(M, "reofferPriceFinal"), "offered_at": F1(I, "reofferDate"), "is_newest": F1(B, "isNewest")}
+#: SLV-11: lists of a notice's payload that are read one after the other, and the list of lots that goes before a standard notice's own.
+NOTICE_PLACES = ("bidpBidLocationList", "lsBidpBidLocationDTO", "bidDetail.bidLocation")
+SUBMISSIONS = ("contractorsResult", "contractorsResultAll")
+LOT_MIRROR = "bidNoContractorResponse.bidNotification.lotDTOList"
 NOTICES = {
-    "standard": Spec("notice", ("bidoNotifyContractorM", "bidoNotifyContractorP", ""), "id", _notice | {"currency": F1(lambda c: F.coalesce(C.clean_currency(c), F.lit("VND")), "bidPriceUnit")}, _notice_children, same_in_roots=("id", "notifyNo", "notifyVersion", "bidId"), version_path="notifyVersion", checks=_notice_checks),
-    "vk_adb": Spec("notice", ("bidoNotifyContractorP",), "id", _notice | {"contract_type": F1(T, "cType")}, _notice_children, version_path="notifyVersion", checks=_notice_checks),
-    "reoffer": Spec("notice", ("",), "id", _notice, _notice_children | {"notice_reoffer_submission": Child(("reofferSubmissionList", "submissionList"), {"contractor_code": F1(T, "contractorCode"), "contractor_name": F1(T, "contractorName"), "bid_price": F1(M, "bidPrice")})}, scheme="reoffer_no", version_path="reofferVersion", checks=_notice_checks),
+    "standard": Spec("notice", ("bidoNotifyContractorM", "bidoNotifyContractorP", ""), "id", _notice | {"currency": F1(lambda c: F.coalesce(C.clean_currency(c), F.lit("VND")), "bidPriceUnit")}, same_in_roots=("id", "notifyNo", "notifyVersion", "bidId"), version_path="notifyVersion", checks=_notice_checks),
+    "vk_adb": Spec("notice", ("bidoNotifyContractorP",), "id", _notice | {"contract_type": F1(T, "cType")}, version_path="notifyVersion", checks=_notice_checks),
+    "reoffer": Spec("notice", ("",), "id", _notice, scheme="reoffer_no", version_path="reofferVersion", checks=_notice_checks),
 }
 CONTRACT = Spec("contract", ("contract",), "contractCode", {"contract_code": F1(T, "contractCode"), "contract_version": F1(T, "contractVersion"), "price_after": F1(M, "priceAfter"), "notify_no": F1(T, "notifyNo"), "result_id": F1(R, "resultId")}, version_path=None)
 PERFORMANCE = Spec("contract_performance", ("performance",), "id", {"contract_code": F1(T, "contractCode"), "contract_version": F1(T, "contractVersion"), "progress_status": F1(T, "contractStatus"), "planned_completion_date": F1(D, "completePlanDate"), "actual_completion_date": F1(D, "completeRealityDate")}, checks=(("unknown_progress_status", "progress_status is not null and progress_status not in ('0', '1', '2', '3', '4')", "warn"),))
-RESULT = Spec("result", ("bideContractorInputResultDTO", ""), "id", {"notify_no": F1(T, "notifyNo"), "notify_version": F1(T, "notifyVersion"), "package_id": F1(R, "bidId"), "package_no": F1(T, "bidNo"), "plan_no": F1(R, "planNo"), "status_raw": F1(T, "status"), "decision_date": F1(D, "decisionDate", anchor="publicDate"), "public_date": F1(D, "publicDate"), "unit": F1(C.clean_currency, "bidPriceUnit"), "estimate_unit": F1(C.clean_currency, "bidEstimatePriceUnit")}, checks=(("conflicting_currency", "unit != estimate_unit", "warn"),))
+RESULT = Spec("result", ("bideContractorInputResultDTO", ""), "id", {"notify_no": F1(T, "notifyNo"), "notify_version": F1(T, "notifyVersion"), "package_id": F1(R, "bidId"), "package_no": F1(T, "bidNo"), "plan_no": F1(R, "planNo"), "status_raw": F1(T, "status"), "decision_date": F1(D, "decisionDate", anchor="publicDate"), "public_date": F1(D, "publicDate"), "unit": F1(C.clean_currency, "bidPriceUnit"), "estimate_unit": F1(C.clean_currency, "bidEstimatePriceUnit")}, version_fallback="resultVersion", checks=(("conflicting_currency", "unit != estimate_unit", "warn"),))
 
 
 def project_tables(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -195,12 +203,45 @@ def project_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def notice_lists(rows: DataFrame, family: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """SLV-11: ``notice_lot``, ``notice_location`` and ``notice_reoffer_submission`` of revisions with ``root_json`` and ``payload``, and the issues of their fields.
+
+    All lists of a kind are read, so a place that two lists name has two rows, told apart by ``source_path``. Lots are those of the root; of a standard notice those of ``LOT_MIRROR``
+    where that is a list, an empty one too. Items that are no objects have no row; a list that is null, absent or no list has none."""
+    of = lambda path, source="payload": json_items(F.get_json_object(source, f"$.{path}"))
+    is_object = lambda r: F.coalesce(F.trim(F.get_json_object("payload", f"$.{r}") if r else F.col("payload")).startswith("{"), F.lit(False))
+    lot_path = F.coalesce(*(F.when(is_object(r), f"{r}.lotDTOList" if r else "lotDTOList") for r in NOTICES[family].roots))
+    lots = of("lotDTOList", "root_json")
+    if family == "standard":
+        mirror = of(LOT_MIRROR)
+        lot_path, lots = F.when(mirror.isNotNull(), LOT_MIRROR).otherwise(lot_path), F.coalesce(mirror, lots)
+    kinds = {"notice_lot": ([(lot_path, lots)], _notice_lot), "notice_location": ([(F.lit(p), of(p)) for p in NOTICE_PLACES], _place | {"ward_name": F1(T, "wardName")}), "notice_reoffer_submission": ([(F.lit(p), of(p)) for p in SUBMISSIONS if family == "reoffer"], _submission)}
+    out, issues = {}, []
+    for name, (lists, fields) in kinds.items():
+        if not lists:
+            continue
+        each = rows.select("revision_id", "observation_id", F.explode(F.array(*(F.struct(p.alias("source_path"), x.alias("items")) for p, x in lists))).alias("list"))
+        each = each.select("revision_id", "observation_id", "list.source_path", F.posexplode("list.items").alias("ordinal", "item")).filter(F.trim("item").startswith("{"))
+        at = F.concat("source_path", F.lit("["), F.col("ordinal").cast("string"), F.lit("]."))
+        values, found = {f"{name}_id": C.digest(F.col("revision_id"), F.col("source_path"), F.col("ordinal"), F.col("item")), "source_id": C.clean_text(F.get_json_object("item", "$.id"))}, []
+        for target, f in fields.items():
+            values[target], issue, repair = _read(F.col("item"), f)
+            found += [(f.paths[0], issue, "warn"), (f.paths[0], repair, "info")]
+        read = each.withColumns(values).withColumns({"at": at, "issues": C.issues(*found)})
+        issues.append(read.select("observation_id", "at", F.explode("issues").alias("x")).select("observation_id", "x.code", F.concat("at", "x.path").alias("path"), "x.severity"))
+        out[name] = read.select(f"{name}_id", "revision_id", "source_path", "ordinal", "source_id", *fields)
+    return out, reduce(DataFrame.unionByName, issues)
+
+
 def notice_tables(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """SLV-9..11: the three families of notices, each by its spec, united by name."""
+    """SLV-9..11: the three families of notices, each by its spec, with their lists, united by name."""
     out: dict[str, DataFrame] = {}
     for family, df in bronze.items():
-        for t, part in resource(df, NOTICES[family], f"notice_{family}").items():
-            part = part.withColumn("source_family", F.lit(family)) if t == "notice_revision" else part
+        tables = resource(df, NOTICES[family], f"notice_{family}", carry=("payload",))
+        lists, issues = notice_lists(tables["notice_revision"], family)
+        issues = issues.withColumn("issue_id", C.digest(F.col("observation_id"), F.col("code"), F.col("path")))
+        tables |= lists | {"notice_revision": tables["notice_revision"].drop("payload").withColumn("source_family", F.lit(family)), "quality_issue": tables["quality_issue"].unionByName(issues).dropDuplicates(["issue_id"])}
+        for t, part in tables.items():
             out[t] = out[t].unionByName(part, allowMissingColumns=True) if t in out else part
     return out
 
@@ -212,8 +253,13 @@ def outcome(raw: Column) -> tuple[Column, Column]:
 
 
 def result_tables(bronze: DataFrame) -> dict[str, DataFrame]:
-    """SLV-12..18: results with ``award_lot`` and ``award_contractor``, and totals where every part of them is certain."""
+    """SLV-12..18: results with ``award_lot`` and ``award_contractor``, and totals where every part of them is certain; ``record_reference`` has a row for each notice, package
+    and plan that a result names. The version is the envelope's, else the result's own."""
     out = resource(bronze, RESULT, "result")
+    names = [("notice", "notify_no", "notifyNo"), ("package", "uuid", "bidId"), ("plan", "number", "planNo")]
+    named = [F.struct(F.lit(target).alias("target"), F.lit(scheme).alias("scheme"), C.clean_text(F.get_json_object("root_json", f"$.{path}")).alias("value"), F.lit(path).alias("path")) for target, scheme, path in names]
+    refs = out["result_revision"].select("revision_id", F.explode(F.array(*named)).alias("r")).select("revision_id", "r.*").filter("value is not null")
+    out["record_reference"] = refs.withColumn("reference_id", C.digest(F.col("revision_id"), F.col("target"), F.col("value"))).dropDuplicates(["reference_id"])
     head = out["result_revision"].withColumn("currency", F.when(F.col("unit").eqNullSafe(F.col("estimate_unit")) | F.col("unit").isNull() | F.col("estimate_unit").isNull(), F.coalesce("unit", "estimate_unit")))
     head = head.withColumn("currency_conflict", F.coalesce(F.col("unit") != F.col("estimate_unit"), F.lit(False)))
     lots = head.select("revision_id", "observation_id", "currency", "currency_conflict", F.posexplode(json_items(F.get_json_object("root_json", "$.lotResultDTO"))).alias("lot_ordinal", "lot"))

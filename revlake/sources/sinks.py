@@ -59,7 +59,7 @@ def replace_slice(existing: DataFrame, new: DataFrame, slices: DataFrame) -> Dat
 
 
 def replace_owners(existing: DataFrame, new: DataFrame, owner: str, owners: DataFrame) -> DataFrame:
-    """SNK-5, SNK-16: children of the owners listed are replaced; an owner with no new child has none."""
+    """SNK-5: children of the owners listed are replaced; an owner with no new child has none."""
     return existing.join(owners.select(owner).distinct(), owner, "left_anti").unionByName(new.select(existing.columns))
 
 
@@ -68,6 +68,25 @@ def merge(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return upsert(existing, new, key)
 
 
+def apply_delta(tables: dict[str, DataFrame], delta: dict[str, DataFrame], keys: dict[str, list[str]], owners: dict[str, tuple[str, DataFrame]]) -> dict[str, DataFrame]:
+    """SNK-16: all tables after a prepared delta. A table in ``owners`` (its owner column, the owners concerned) loses the rows of these owners and gets the delta's, also none; one in ``keys``
+    is merged by them; others, and those that the delta leaves out and no owner concerns, stay. A delta for a table that has neither, or rows of owners not named, end the job."""
+    out = dict(tables)
+    for name in delta.keys() | owners.keys():
+        new = delta.get(name, tables[name].limit(0))
+        if name in owners:
+            column, concerned = owners[name]
+            known = concerned.select(column).distinct().withColumn("_known", F.lit(True))
+            stray = F.when(F.col("_known").isNull(), F.raise_error(F.lit(f"{name}: the delta has rows of owners that it does not name"))).otherwise(F.lit(True))
+            new = new.join(known, column, "left").filter(stray).drop("_known")
+            out[name] = replace_owners(tables[name], new, column, concerned)
+        elif name in keys:
+            out[name] = merge(tables[name], new, keys[name])
+        else:
+            raise ValueError(f"{name}: neither owners nor keys")
+    return out
+
+
 def last_cohort(df: DataFrame, key: list[str], cohort: str) -> DataFrame:
     """SNK-9: all rows of each key's latest cohort; rows with a null key stay. The maxima are grouped, not ranked, so repeated rows stay too."""
     known = df
