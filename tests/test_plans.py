@@ -12,3 +12,9 @@ def test_fields_are_read_in_one_pass(spark, name):
     # What is left reads a list that is text, and the path inside a member; each list once.
     assert plan.count("get_json_object(") <= 8
     assert "json_tuple(" in plan
+
+
+@pytest.mark.parametrize("name", ["opening_submissions", "opening_lots"])
+def test_openings_are_parsed_once_a_scan(spark, name):
+    plan = catalog.queries()[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("parse_json(") + plan.count("parseJson") <= 4
