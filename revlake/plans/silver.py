@@ -2,6 +2,7 @@
 
 ``resource`` runs a spec as one lazy plan per table. Payloads stay JSON text; all members of an object that a spec names are read in one pass, so numbers keep their text until
 they are cast. Rows without a root or an identity go to quarantine, all others get an entity and a revision. Of a key that an object has twice the last value that isn't null counts.
+Spark takes what is parsed out of payloads for far smaller than it is and would broadcast it whole, so tables made here are joined with the hint ``merge``.
 """
 
 from __future__ import annotations
@@ -230,7 +231,7 @@ def project_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     """SLV-2, SLV-3: projects and their places: items of the list ``plocation``, of the payload or else of its root, also a list written as text; where there is no
     list, or an empty one, the one place that the payload's or root's own fields name. Items that are no objects or name nothing are no places."""
     out = resource(bronze, PROJECT, "project")
-    rows = out["project_revision"].select("revision_id", "observation_id", "root_json").join(observation(bronze, "project").select("observation_id", "payload"), "observation_id")
+    rows = out["project_revision"].select("revision_id", "observation_id", "root_json").join(observation(bronze, "project").select("observation_id", "payload").hint("merge"), "observation_id")
     own = ("provCode", "provName", "districtCode", "districtName")
     rows, outer = members(rows, "payload", ("plocation", *own))
     rows, inner = members(rows, "root_json", ("plocation", *own))
@@ -333,14 +334,14 @@ def result_tables(bronze: DataFrame) -> dict[str, DataFrame]:
     win = F.col("is_winner")
     tiny = win & ((F.col("winning_price") == 0) | (F.col("winning_price") <= 10) & (F.coalesce("lot_currency", F.lit("VND")) == "VND"))
     per_lot = people.groupBy("award_lot_id").agg(F.count_if(win).alias("winners"), F.bool_or(F.col("outcome_issue").isNotNull()).alias("open_outcome"), F.bool_or(win & F.col("winning_price").isNull()).alias("no_price"), F.bool_or(tiny).alias("tiny_price"), (F.count_if(win & F.col("is_consortium")) > 1).alias("split_consortium"), F.sum(F.when(win, F.col("winning_price"))).alias("won"))
-    lots = lots.join(per_lot, "award_lot_id", "left")
+    lots = lots.join(per_lot.hint("merge"), "award_lot_id", "left")
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
     has = F.coalesce("winners", F.lit(0)) > 0
     unresolved = yes("open_outcome") | yes("no_price") | yes("tiny_price") | yes("split_consortium") | F.col("lot_conflict") | (has & F.col("lot_currency").isNull())
     fits = F.abs("won") < F.lit("1e32").cast("double")
     lots = lots.withColumns({"is_unresolved": unresolved, "winning_price": F.when(~unresolved & has & fits, F.col("won").cast(C.MONEY))})
     per_result = lots.groupBy("revision_id").agg(F.bool_or("is_unresolved").alias("u"), F.count_if(has).alias("w"), F.countDistinct(F.when(has, F.col("lot_currency"))).alias("n"), F.min(F.when(has, F.col("lot_currency"))).alias("only"), F.sum(F.when(has, F.col("winning_price"))).cast(C.MONEY).alias("total"), F.count_if(has & F.col("winning_price").isNull()).alias("none"))
-    head = head.join(per_result, "revision_id", "left")
+    head = head.join(per_result.hint("merge"), "revision_id", "left")
     certain = ~yes("u") & (F.col("w") > 0) & (F.col("none") == 0) & (F.col("n") == 1) & ~F.col("currency_conflict")
     out["result_revision"] = head.withColumns({"winning_price": F.when(certain, F.col("total")), "currency": F.coalesce("currency", F.when(certain, F.col("only")))}).drop("u", "w", "n", "only", "total", "none", "currency_conflict", "unit", "estimate_unit")
     out["award_lot"] = lots.select("award_lot_id", "revision_id", "lot_ordinal", "source_lot_id", "lot_no", "lot_name", "lot_price", "lot_currency", "winning_price", "is_unresolved")
@@ -358,14 +359,14 @@ def result_tables(bronze: DataFrame) -> dict[str, DataFrame]:
 def assemble(tables: dict[str, DataFrame], revision: str, children: list[str] = (), day: str = "public_date") -> dict[str, DataFrame]:
     """SLV-26: revisions once each, ``source_month``, and ``is_current`` where an entity's latest observation names one revision only."""
     out = dict(tables)
-    one = tables[revision].groupBy("revision_id").agg(F.max("observed_at").alias("_seen")).join(tables[revision].dropDuplicates(["revision_id"]), "revision_id")
+    one = tables[revision].groupBy("revision_id").agg(F.max("observed_at").alias("_seen")).join(tables[revision].dropDuplicates(["revision_id"]).hint("merge"), "revision_id")
     latest = one.groupBy("entity_id").agg(F.max("_seen").alias("_last"))
-    at_last = one.join(latest, "entity_id").filter("_seen = _last").groupBy("entity_id").agg(F.count("*").alias("_n"), F.min("revision_id").alias("_r"))
-    rows = one.join(at_last, "entity_id").withColumn("is_current", (F.col("_n") == 1) & (F.col("revision_id") == F.col("_r")))
+    at_last = one.join(latest.hint("merge"), "entity_id").filter("_seen = _last").groupBy("entity_id").agg(F.count("*").alias("_n"), F.min("revision_id").alias("_r"))
+    rows = one.join(at_last.hint("merge"), "entity_id").withColumn("is_current", (F.col("_n") == 1) & (F.col("revision_id") == F.col("_r")))
     rows = rows.withColumn("source_month", F.trunc(day if day in one.columns else F.to_date("observed_at"), "month"))
     out[revision] = rows.drop("_seen", "_n", "_r")
     for c in children:
-        out[c] = tables[c].dropDuplicates([f"{c}_id"] if f"{c}_id" in tables[c].columns else None).join(out[revision].select("revision_id", "source_month"), "revision_id")
+        out[c] = tables[c].dropDuplicates([f"{c}_id"] if f"{c}_id" in tables[c].columns else None).join(out[revision].select("revision_id", "source_month").hint("merge"), "revision_id")
     conflict = rows.filter((F.col("_n") > 1)).select("observation_id", F.lit("conflicting_revisions").alias("code"), F.lit("revision").alias("path"), F.lit("error").alias("severity")).distinct()
     conflict = conflict.withColumn("issue_id", C.digest(F.col("observation_id"), F.col("code"), F.col("path")))
     out["quality_issue"] = tables["quality_issue"].unionByName(conflict) if "quality_issue" in tables else conflict
@@ -375,8 +376,8 @@ def assemble(tables: dict[str, DataFrame], revision: str, children: list[str] =
 def integrity(tables: dict[str, DataFrame], revision: str, children: list[str] = ()) -> DataFrame:
     """SLV-27: (violation, key): observations neither accepted nor quarantined, or both, and children without their revision."""
     obs, rev, qua = tables["observation"].select("observation_id").distinct(), tables[revision].select("observation_id"), tables["quarantine"].select("observation_id")
-    found = [obs.join(rev.unionByName(qua), "observation_id", "left_anti").select(F.lit("lost_observation").alias("violation"), F.col("observation_id").alias("key")), rev.join(qua, "observation_id", "left_semi").select(F.lit("accepted_and_quarantined").alias("violation"), F.col("observation_id").alias("key"))]
-    found += [tables[c].join(tables[revision].select("revision_id"), "revision_id", "left_anti").select(F.lit(f"orphan_{c}").alias("violation"), F.col("revision_id").alias("key")) for c in children]
+    found = [obs.join(rev.unionByName(qua).hint("merge"), "observation_id", "left_anti").select(F.lit("lost_observation").alias("violation"), F.col("observation_id").alias("key")), rev.join(qua.hint("merge"), "observation_id", "left_semi").select(F.lit("accepted_and_quarantined").alias("violation"), F.col("observation_id").alias("key"))]
+    found += [tables[c].join(tables[revision].select("revision_id").hint("merge"), "revision_id", "left_anti").select(F.lit(f"orphan_{c}").alias("violation"), F.col("revision_id").alias("key")) for c in children]
     return reduce(DataFrame.unionByName, found)
 
 

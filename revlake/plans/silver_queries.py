@@ -26,7 +26,7 @@ def silver_project_places(spark, sf):
     payload = F.when(m == 0, F.concat(F.lit('{"projectDTO":{"id":"'), key(), F.lit('"},"plocation":'), items, F.lit("}"))).otherwise(obj(projectDTO=F.struct(key().alias("id"), own(code).alias("provCode"), own(F.lit("P")).alias("provName"), written.alias("plocation"))))
     out = silver.project_tables(bronze(spark, sf, payload))
     ids = out["project_revision"].select("revision_id", F.get_json_object("root_json", "$.id").cast("long").alias("k"))
-    return out["project_location"].join(ids, "revision_id").select("k", "ordinal", "province_code", "province_name", "location_name")
+    return out["project_location"].join(ids.hint("merge"), "revision_id").select("k", "ordinal", "province_code", "province_name", "location_name")
 
 
 @query("""
@@ -39,8 +39,8 @@ def silver_price_anomalies(spark, sf):
     lots = F.array(F.struct(F.lit("1").alias("lotNo"), price().alias("lotPrice"), F.array(F.struct(F.lit("c").alias("orgCode"), F.lit("1").alias("bidResult"), won.alias("bidWiningPrice"))).alias("contractorList")))
     out = silver.result_tables(bronze(spark, sf, obj(bideContractorInputResultDTO=F.struct(key().alias("id"), F.lit("VND").alias("bidPriceUnit"), lots.alias("lotResultDTO")))))
     found = out["quality_issue"].groupBy("observation_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "code", "path"))), ",").alias("issues"))
-    heads = out["result_revision"].select("revision_id", "observation_id", F.get_json_object("root_json", "$.id").cast("long").alias("k")).join(found, "observation_id", "left")
-    return out["award_lot"].join(heads, "revision_id").select("k", F.col("lot_price").cast("double").alias("lot_price"), F.col("winning_price").cast("double").alias("winning_price"), "is_unresolved", F.coalesce("issues", F.lit("")).alias("issues"))
+    heads = out["result_revision"].select("revision_id", "observation_id", F.get_json_object("root_json", "$.id").cast("long").alias("k")).join(found.hint("merge"), "observation_id", "left")
+    return out["award_lot"].join(heads.hint("merge"), "revision_id").select("k", F.col("lot_price").cast("double").alias("lot_price"), F.col("winning_price").cast("double").alias("winning_price"), "is_unresolved", F.coalesce("issues", F.lit("")).alias("issues"))
 
 
 @query("""SELECT o_orderkey AS k FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderkey % 2 = 0)""")
@@ -76,7 +76,7 @@ def silver_notice_lots(spark, sf):
     """SLV-9, SLV-11: lots of all three families, of the root or of the mirror list."""
     out = notice_families(spark, sf)
     heads = out["notice_revision"].select("revision_id", "notify_no", "source_family")
-    return out["notice_lot"].drop("notify_no").join(heads, "revision_id").select("notify_no", "source_family", "source_path", "ordinal", "lot_no", F.col("lot_price").cast("double").alias("lot_price"), "currency", "contract_duration_raw")
+    return out["notice_lot"].drop("notify_no").join(heads.hint("merge"), "revision_id").select("notify_no", "source_family", "source_path", "ordinal", "lot_no", F.col("lot_price").cast("double").alias("lot_price"), "currency", "contract_duration_raw")
 
 
 @query("""
@@ -85,7 +85,7 @@ def silver_notice_lots(spark, sf):
 def silver_notice_places(spark, sf):
     """SLV-11: places of all three lists; what is no list has none."""
     out = notice_families(spark, sf, ("standard", "vk_adb"))
-    return out["notice_location"].join(out["notice_revision"].select("revision_id", "notify_no"), "revision_id").select("notify_no", "source_path", "ordinal", "province_code", "ward_name")
+    return out["notice_location"].join(out["notice_revision"].select("revision_id", "notify_no").hint("merge"), "revision_id").select("notify_no", "source_path", "ordinal", "province_code", "ward_name")
 
 
 @query("""
@@ -95,7 +95,7 @@ def silver_notice_places(spark, sf):
 def silver_reoffer_submissions(spark, sf):
     """SLV-11: submissions of both lists of a new offer."""
     out = notice_families(spark, sf, ("reoffer",))
-    rows = out["notice_reoffer_submission"].join(out["notice_revision"].select("revision_id", "notify_no"), "revision_id")
+    rows = out["notice_reoffer_submission"].join(out["notice_revision"].select("revision_id", "notify_no").hint("merge"), "revision_id")
     return rows.select("notify_no", "source_path", "ordinal", "contractor_code", F.col("price").cast("double").alias("price"), F.col("offered_at").isNotNull().alias("has_time"), "is_newest")
 
 
@@ -121,7 +121,7 @@ def silver_result_references(spark, sf):
     rows = bronze(spark, sf, obj(bideContractorInputResultDTO=root)).withColumn("source_version", F.when(F.col("source_id").cast("long") % 2 == 0, "1"))
     out = silver.result_tables(rows)
     heads = out["result_revision"].select("revision_id", "version", F.get_json_object("root_json", "$.id").cast("long").alias("k"))
-    return out["record_reference"].join(heads, "revision_id").select("k", "version", "target", "scheme", "value")
+    return out["record_reference"].join(heads.hint("merge"), "revision_id").select("k", "version", "target", "scheme", "value")
 
 
 @query("""

@@ -1,8 +1,9 @@
 import json
 
+from conftest import DATA
 from pyspark.sql import functions as F
 
-from revlake.plans import business, facts, silver
+from revlake.plans import business, catalog, facts, silver
 
 
 def bronze(spark, payloads, ids=None):
@@ -91,3 +92,10 @@ def test_project_places(spark):
     ids = out["project_revision"].select("revision_id", F.get_json_object("root_json", "$.id").alias("id"))
     got = sorted(tuple(r) for r in out["project_location"].join(ids, "revision_id").select("id", "ordinal", "province_code", "district_code", "district_name", "location_name").fillna("-").collect())
     assert got == [("a", 0, "7", "-", "-", "W, P"), ("a", 3, "-", "d", "-", "-"), ("b", 0, "7", "-", "-", "W, P"), ("c", 0, "1", "-", "-", "-"), ("d", 0, "-", "-", "-", "here"), ("f", 0, "-", "-", "D", "-")]
+
+
+def test_payloads_are_spread_and_never_broadcast(spark):
+    """A file of one row group is one task, and Spark's guess of what is parsed out of payloads is far too small; at 60 times sf0.1 these queries were one task, or broadcast all children."""
+    for name in ("silver_locations", "silver_package_lots", "silver_result"):
+        plan = catalog.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(o_orderkey" in plan and "Broadcast" not in plan and "SortMergeJoin" in plan
