@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from revlake.operators import assembly, coverage, ledger, positions, profiling, provinces
+from revlake.operators import assembly, coverage, graph, ledger, positions, profiling, provinces
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +124,23 @@ def test_deeply_nested_json_ends_no_job(spark):
     assert got[1, "$"] == ("unreadable", "unreadable") and got[2, "$.a[]"] == ("populated", "int") and got[3, "$"] == ("populated", "string")
     hashes = {r["i"]: r["h"] for r in df.select("i", coercion.content_hash("p").alias("h")).collect()}
     assert hashes[1] is None and hashes[2] is not None and hashes[3] is None
+
+
+def test_components_go_on_with_what_is_left(spark, monkeypatch):
+    """Links shrink to at most half of their nodes a round, down long paths, hot tokens and circles alike; before, each round joined all links again."""
+    path = [(f"n{i:03d}", f"t{j}") for i in range(200) for j in (i, i + 1)]
+    hot = [(f"h{i}", "hot") for i in range(50)] + [("h0", "own"), ("alone", "own-too")]
+    ring = [(f"r{i}", f"ring{j % 30}") for i in range(30) for j in (i, i + 1)]
+    sizes, kept = [], graph._kept
+
+    def counting(df, where):
+        out = kept(df, where)
+        if "/edges-" in where:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "_kept", counting)
+    found = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(path + hot + ring, "node string, token string")).collect()}
+    assert found == {n: "n000" for n, _ in path} | {n: "h0" for n, _ in hot[:-1]} | {"alone": "alone"} | {n: "r0" for n, _ in ring}
+    assert sizes[0] > 200 and sizes[-1] == 0 and all(b <= a / 2 for a, b in zip(sizes, sizes[1:]))
+    assert graph.components(spark.createDataFrame([("a", "x"), ("b", "y")], "node string, token string")).filter("node = component").count() == 2
