@@ -69,10 +69,11 @@ def slice_change(before: DataFrame, after: DataFrame, keys: DataFrame, on: list[
     return before.join(keys, on, "left_semi"), after.join(keys, on, "left_semi")
 
 
-def change_chain(edges: DataFrame, start: str, end: str) -> DataFrame:
+def change_chain(edges: DataFrame, start: str, end: str, *, small: int = 1_000_000) -> DataFrame:
     """INC-9: (position, from, to), the contiguous edges between two versions in order; none if they are the same. Other columns of ``edges`` come along.
 
-    Versions are walked backwards by pointer doubling: round k knows each version's 2 ** k-th predecessor, so a chain of n edges takes log n joins of small tables, stored one by one.
+    Versions are walked backwards. A round takes out about a quarter of the versions, none of them next to another: what came after such a version then comes after its predecessor, with the steps
+    added. So all rounds together cost a few times the first. ``small`` versions or fewer are walked by pointer doubling; the rounds are then gone back to place what they took out.
     Two edges to one version are a fork, also beside the chain; a version that has none before ``start`` is reached is a gap. Both are errors, as is a circle that ``start`` isn't in."""
     spark, folder = edges.sparkSession, scratch(edges.sparkSession, "chain")
     if edges.groupBy("to").count().filter("count > 1").limit(1).count():
@@ -84,20 +85,36 @@ def change_chain(edges: DataFrame, start: str, end: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    n = edges.count()
-    jumps = [kept(edges.select(F.col("to").alias("v"), F.col("from").alias("w")), "jump-0")]
-    while 1 << len(jumps) <= n:
+    # Each version ``v`` is ``n`` steps behind ``w``, which is before it.
+    links = kept(edges.select(F.col("to").alias("v"), F.col("from").alias("w"), F.lit(1).cast("long").alias("n")), "links-0")
+    left, taken = links.count(), []
+    while left > max(small, 2):
+        k = len(taken)
+        coin = lambda c: F.xxhash64(F.lit(k), F.col(c)) % 2 == 0  # noqa: B023, E731
+        out = coin("v") & ~coin("w") & ~F.col("v").isin(start, end)
+        gone = links.filter(out).select(F.col("v").alias("w"), F.col("w").alias("x"), F.col("n").alias("m"))
+        both = kept(links.filter(~out).join(gone, "w", "left"), f"both-{k}")
+        taken.append(both.filter("m is not null").select("v", "w", "n"))
+        shorter = both.select("v", F.coalesce("x", "w").alias("w"), (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
+        # A circle without ``start`` and ``end`` shrinks to a version that is before itself, and would never go.
+        links = kept(shorter.filter((F.col("v") != F.col("w")) | F.col("v").isin(start, end)), f"links-{k + 1}")
+        left = links.count()
+    jumps = [links]
+    while 1 << len(jumps) <= left:
         last = jumps[-1]
-        jumps.append(kept(last.join(last.select(F.col("v").alias("w"), F.col("w").alias("x")), "w").select("v", F.col("x").alias("w")), f"jump-{len(jumps)}"))
+        jumps.append(kept(last.join(last.select(F.col("v").alias("w"), F.col("w").alias("x"), F.col("n").alias("m")), "w").select("v", F.col("x").alias("w"), (F.col("n") + F.col("m")).alias("n")), f"jump-{len(jumps)}"))
     # All versions behind ``end``, by their distance: each round doubles them.
     seen = kept(spark.range(1).select(F.lit(end).cast(edges.schema["to"].dataType).alias("v"), F.lit(0).cast("long").alias("back")), "seen")
     for k in reversed(range(len(jumps))):
-        seen = kept(seen.unionByName(seen.join(jumps[k], "v").select(F.col("w").alias("v"), (F.col("back") + (1 << k)).alias("back"))), f"seen-{k}")
+        seen = kept(seen.unionByName(seen.join(jumps[k], "v").select(F.col("w").alias("v"), (F.col("back") + F.col("n")).alias("back"))), f"seen-{k}")
     far = seen.filter(F.col("v") == F.lit(start)).agg(F.min("back")).first()[0]
     if far is None:
         raise ValueError(f"no unbroken chain from {start} to {end}")
-    on = seen.filter(F.col("back") < far).select(F.col("v").alias("to"), (F.lit(far) - F.col("back")).alias("position"))
-    return edges.join(on, "to").select("position", *edges.columns)
+    on = seen.filter(F.col("back") < far)
+    for k in reversed(range(len(taken))):
+        between = on.join(taken[k], "v").select(F.col("w").alias("v"), (F.col("back") + F.col("n")).alias("back")).filter(F.col("back") < far)
+        on = kept(on.unionByName(between), f"on-{k}")
+    return edges.join(on.select(F.col("v").alias("to"), (F.lit(far) - F.col("back")).alias("position")), "to").select("position", *edges.columns)
 
 
 def replay(base: DataFrame, changes: list[tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -144,3 +144,13 @@ def test_components_go_on_with_what_is_left(spark, monkeypatch):
     assert found == {n: "n000" for n, _ in path} | {n: "h0" for n, _ in hot[:-1]} | {"alone": "alone"} | {n: "r0" for n, _ in ring}
     assert sizes[0] > 200 and sizes[-1] == 0 and all(b <= a / 2 for a, b in zip(sizes, sizes[1:]))
     assert graph.components(spark.createDataFrame([("a", "x"), ("b", "y")], "node string, token string")).filter("node = component").count() == 2
+
+
+def test_change_chain_takes_versions_out(spark, tmp_path, monkeypatch):
+    """Above ``small`` versions each round stores fewer links than the one before, and only the rest is doubled; before, each doubling stored all versions again. Branches and circles don't matter."""
+    edges = spark.createDataFrame([(f"v{i}", f"v{i + 1}", i) for i in range(60)] + [(f"v{i}", f"side{i}", -i) for i in range(0, 60, 6)] + [("o1", "o2", 0), ("o2", "o1", 0)], "from string, to string, n int").coalesce(1)
+    monkeypatch.setattr(ledger, "scratch", lambda spark, name: str(tmp_path / name))
+    found = sorted(tuple(r) for r in ledger.change_chain(edges, "v3", "v55", small=20).collect())
+    assert found == [(i - 2, f"v{i}", f"v{i + 1}", i) for i in range(3, 55)]
+    sizes = [spark.read.parquet(str(p)).count() for p in sorted((tmp_path / "chain").glob("links-*"))]
+    assert len(sizes) > 3 and sizes == sorted(sizes, reverse=True) and sizes[-1] <= 20 and len(list((tmp_path / "chain").glob("jump-*"))) < 5
