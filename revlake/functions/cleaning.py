@@ -44,7 +44,9 @@ def not_blank(c: Column) -> Column:
 
 def clean_text(c: Column, *, sentinels: bool = True) -> Column:
     """PRJ-1: trimmed text; blanks and sentinels are null."""
-    return bind(strip(c.cast("string")), lambda t: F.when((t != "") & ~F.lower(t).isin(SENTINELS) if sentinels else t != "", t))
+    # Lower-casing is dear: what is longer than all sentinels, or begins with a digit, is none.
+    named = lambda t: (F.length(t) > max(map(len, SENTINELS))) | F.ascii(t).between(48, 57) | ~F.lower(t).isin(SENTINELS)
+    return bind(strip(c.cast("string")), lambda t: F.when((t != "") & named(t) if sentinels else t != "", t))
 
 
 def clean_reference(c: Column) -> Column:
@@ -173,10 +175,13 @@ def normalised_name(c: Column) -> Column:
 
 def digest(*columns: Column) -> Column:
     """PRJ-17, FCT-9: SHA-256 of the JSON list of the columns as text, nulls as null."""
-    return F.sha2(F.to_json(F.array(*(c.cast("string") for c in columns)), {"ignoreNullFields": "false"}), 256)
+    # Never null, which is said so that joins on it need no filter, for which Spark would compute it twice.
+    return F.coalesce(F.sha2(F.to_json(F.array(*(c.cast("string") for c in columns)), {"ignoreNullFields": "false"}), 256), F.lit(""))
 
 
-def issues(*found: tuple[str, Column, str]) -> Column:
+def issues(*found: tuple[str | Column, Column, str]) -> Column:
     """Array of (code, path, severity) of the rules that failed; ``found`` has (path, issue, severity)."""
     all_of = F.array(*(F.when(code.isNotNull(), F.struct(code.alias("code"), F.lit(path).alias("path"), F.lit(severity).alias("severity"))) for path, code, severity in found))
+    if not found:
+        return F.array().cast("array<struct<code:string,path:string,severity:string>>")
     return F.filter(all_of, lambda x: x.isNotNull())

@@ -34,7 +34,7 @@ def obj(**fields):
     return F.to_json(F.struct(*(c.alias(k) for k, c in fields.items())))
 
 
-def packages(spark, sf):
+def packages(spark, sf, only=None, fields=None):
     k = F.col("o_orderkey")
     lots = F.array(F.struct(F.lit("1").alias("lotNo"), price().alias("lotPrice")), F.struct(F.lit("2").alias("lotNo"), F.lit("x").alias("lotPrice")))
     place = F.array(F.struct(F.concat(F.lit("|"), (k % 63).cast("string"), F.lit("|")).alias("provCode"), F.lit(" A ").alias("provName")))
@@ -42,7 +42,7 @@ def packages(spark, sf):
         id=F.when(k % 13 != 0, key()), bidNo=F.concat(F.lit(" B"), key()), planNo=F.when(k % 7 == 0, "N/A").otherwise(F.concat(F.lit("P"), F.col("o_custkey").cast("string"))), bidPrice=F.when(k % 5 == 0, "1.2345678").otherwise(price()), bidPriceUnit=F.when(k % 3 != 0, "VND"),
         bidStartYear=F.year("o_orderdate").cast("string"), bidStartMonth=F.when(k % 11 == 0, "13").otherwise(F.month("o_orderdate").cast("string")), createdDate=F.concat(day(), F.lit("T10:00:00")), bidpBidLotList=lots, bidLocation=F.to_json(place),
     )
-    return silver.resource(bronze(spark, sf, F.when(k % 17 != 0, full)), silver.PACKAGE, "package")
+    return silver.resource(bronze(spark, sf, F.when(k % 17 != 0, full)), silver.PACKAGE, "package", only=only, fields=fields)
 
 
 _GOOD = "o_orderkey % 17 <> 0 AND o_orderkey % 13 <> 0"
@@ -53,7 +53,7 @@ _GOOD = "o_orderkey % 17 <> 0 AND o_orderkey % 13 <> 0"
            CAST(year(o_orderdate) AS BIGINT) AS bid_start_year, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(month(o_orderdate) AS BIGINT) END AS bid_start_month, CAST(o_orderdate AS DATE) AS public_date FROM orders WHERE {_GOOD}""")
 def silver_package(spark, sf):
     """SLV-1, SLV-6."""
-    return packages(spark, sf)["package_revision"].select("package_no", "plan_no", "bid_price", "currency", F.col("bid_start_year").cast("bigint").alias("bid_start_year"), F.col("bid_start_month").cast("bigint").alias("bid_start_month"), "public_date")
+    return packages(spark, sf, ["package_revision"], ["package_no", "plan_no", "bid_price", "currency", "bid_start_year", "bid_start_month", "public_date"])["package_revision"].select("package_no", "plan_no", "bid_price", "currency", F.col("bid_start_year").cast("bigint").alias("bid_start_year"), F.col("bid_start_month").cast("bigint").alias("bid_start_month"), "public_date")
 
 
 @query(f"""
@@ -61,21 +61,21 @@ def silver_package(spark, sf):
     FROM orders, (VALUES (0, '1'), (1, '2')) v(ordinal, lot_no) WHERE {_GOOD}""")
 def silver_package_lots(spark, sf):
     """SLV-8: lots with the package's currency."""
-    t = packages(spark, sf)
+    t = packages(spark, sf, ["package_lot", "package_revision"], ["package_no"])
     return t["package_lot"].join(t["package_revision"].select("revision_id", "package_no").hint("merge"), "revision_id").select("package_no", "ordinal", "lot_no", "lot_price", "currency")
 
 
 @query(f"""SELECT 'B' || o_orderkey AS package_no, CAST(o_orderkey % 63 AS VARCHAR) AS province_code, 'A' AS province_name FROM orders WHERE {_GOOD}""")
 def silver_locations(spark, sf):
     """SLV-3, SLV-8: places from an array that is text."""
-    t = packages(spark, sf)
+    t = packages(spark, sf, ["package_location", "package_revision"], ["package_no"])
     return t["package_location"].join(t["package_revision"].select("revision_id", "package_no").hint("merge"), "revision_id").select("package_no", "province_code", "province_name")
 
 
 @query("""SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'missing_root' ELSE 'missing_identity' END AS reason, COUNT(*) AS n FROM orders WHERE o_orderkey % 17 = 0 OR o_orderkey % 13 = 0 GROUP BY 1""")
 def silver_quarantine(spark, sf):
     """SLV-1: what has no root or no identity."""
-    return packages(spark, sf)["quarantine"].groupBy("reason").agg(F.count("*").alias("n"))
+    return packages(spark, sf, ["quarantine"])["quarantine"].groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""
@@ -83,7 +83,7 @@ def silver_quarantine(spark, sf):
     UNION ALL SELECT 'orphan_package_location', COUNT(*) FROM orders WHERE {_GOOD} AND o_orderkey % 19 = 0) WHERE n > 0""")
 def silver_integrity(spark, sf):
     """SLV-27: without the revisions of some packages their observations are lost and their children orphaned; all else is whole."""
-    t, root = packages(spark, sf), scratch(spark, "integrity")
+    t, root = packages(spark, sf, ["observation", "quarantine", "package_revision", "package_lot", "package_location"], ["package_no"]), scratch(spark, "integrity")
     # Tables that are read several times are stored, else every reading parses all payloads again.
     for name, columns in {"observation": ["observation_id"], "quarantine": ["observation_id"], "package_revision": ["observation_id", "revision_id", "package_no"], "package_lot": ["revision_id"], "package_location": ["revision_id"]}.items():
         t[name].select(*columns).write.parquet(f"{root}/{name}")
@@ -118,30 +118,30 @@ def silver_plan(spark, sf):
     return silver.resource(bronze(spark, sf, payload), silver.PLAN, "plan")["plan_revision"].select("plan_no", "project_id", F.col("package_total").cast("bigint").alias("package_total"), "public_date")
 
 
-def notices(spark, sf):
+def notices(spark, sf, only=None, fields=None):
     k = F.col("o_orderkey")
     main = F.struct(key().alias("id"), F.concat(F.lit("T"), key()).alias("notifyNo"), F.lit("1").alias("notifyVersion"), F.concat(day(), F.lit("T09:00:00")).alias("publicDate"))
     other = F.struct(key().alias("id"), F.when(k % 10 == 0, "other").otherwise(F.concat(F.lit("T"), key())).alias("notifyNo"))
-    return silver.notice_tables({"standard": bronze(spark, sf, obj(bidoNotifyContractorM=main, bidoNotifyContractorP=other))})
+    return silver.notice_tables({"standard": bronze(spark, sf, obj(bidoNotifyContractorM=main, bidoNotifyContractorP=other))}, only, fields)
 
 
 @query("""SELECT 'T' || o_orderkey AS notify_no, 'VND' AS currency, 'standard' AS source_family, CAST(o_orderdate AS DATE) AS public_date FROM orders WHERE o_orderkey % 10 <> 0""")
 def silver_notice(spark, sf):
     """SLV-9, SLV-11."""
-    return notices(spark, sf)["notice_revision"].select("notify_no", "currency", "source_family", "public_date")
+    return notices(spark, sf, ["notice_revision"], ["notify_no", "currency", "public_date"])["notice_revision"].select("notify_no", "currency", "source_family", "public_date")
 
 
 @query("""SELECT 'conflicting_identity' AS code, 'notifyNo' AS path, COUNT(*) AS n FROM orders WHERE o_orderkey % 10 = 0 GROUP BY ALL""")
 def silver_notice_conflicts(spark, sf):
     """SLV-10."""
-    return notices(spark, sf)["quality_issue"].groupBy("code", "path").agg(F.count("*").alias("n"))
+    return notices(spark, sf, ["quality_issue"])["quality_issue"].groupBy("code", "path").agg(F.count("*").alias("n"))
 
 
-def results(spark, sf):
+def results(spark, sf, only=("result_revision",)):
     k = F.col("o_orderkey")
     win = lambda won, code: F.struct(F.lit("c1").alias("orgCode"), code.alias("bidResult"), won.alias("bidWiningPrice"))
     lots = F.array(F.struct(F.lit("1").alias("lotNo"), F.array(win(price(), F.lit("1")), win(F.lit(None).cast("string"), F.lit("0"))).alias("contractorList")), F.struct(F.lit("2").alias("lotNo"), F.array(win(F.when(k % 4 != 0, "100.5"), F.when(k % 6 != 0, "1"))).alias("contractorList")))
-    return silver.result_tables(bronze(spark, sf, obj(bideContractorInputResultDTO=F.struct(key().alias("id"), F.concat(F.lit("T"), key()).alias("notifyNo"), F.lit("VND").alias("bidPriceUnit"), F.when(k % 9 == 0, "USD").alias("bidEstimatePriceUnit"), lots.alias("lotResultDTO")))))
+    return silver.result_tables(bronze(spark, sf, obj(bideContractorInputResultDTO=F.struct(key().alias("id"), F.concat(F.lit("T"), key()).alias("notifyNo"), F.lit("VND").alias("bidPriceUnit"), F.when(k % 9 == 0, "USD").alias("bidEstimatePriceUnit"), lots.alias("lotResultDTO")))), only)
 
 
 @query("""
@@ -163,7 +163,7 @@ def silver_award_contractors(spark, sf):
     UNION ALL SELECT 'conflicting_currency', COUNT(*) FILTER (o_orderkey % 9 = 0) FROM orders) WHERE n > 0""")
 def silver_result_issues(spark, sf):
     """SLV-16."""
-    return results(spark, sf)["quality_issue"].filter("code in ('missing_outcome', 'incomplete_winner_price', 'conflicting_currency')").groupBy("code").agg(F.count("*").alias("n"))
+    return results(spark, sf, ["quality_issue"])["quality_issue"].filter("code in ('missing_outcome', 'incomplete_winner_price', 'conflicting_currency')").groupBy("code").agg(F.count("*").alias("n"))
 
 
 @query("""

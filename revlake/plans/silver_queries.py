@@ -37,7 +37,7 @@ def silver_price_anomalies(spark, sf):
     m = F.col("o_orderkey") % 4
     won = F.when(m == 0, (F.col("o_totalprice").cast("decimal(18,2)") * 200).cast("string")).when(m == 1, "0").when(m == 2, "5").otherwise(price())
     lots = F.array(F.struct(F.lit("1").alias("lotNo"), price().alias("lotPrice"), F.array(F.struct(F.lit("c").alias("orgCode"), F.lit("1").alias("bidResult"), won.alias("bidWiningPrice"))).alias("contractorList")))
-    out = silver.result_tables(bronze(spark, sf, obj(bideContractorInputResultDTO=F.struct(key().alias("id"), F.lit("VND").alias("bidPriceUnit"), lots.alias("lotResultDTO")))))
+    out = silver.result_tables(bronze(spark, sf, obj(bideContractorInputResultDTO=F.struct(key().alias("id"), F.lit("VND").alias("bidPriceUnit"), lots.alias("lotResultDTO")))), ["quality_issue"])
     found = out["quality_issue"].groupBy("observation_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "code", "path"))), ",").alias("issues"))
     heads = out["result_revision"].select("revision_id", "observation_id", F.get_json_object("root_json", "$.id").cast("long").alias("k")).join(found.hint("merge"), "observation_id", "left")
     return out["award_lot"].join(heads.hint("merge"), "revision_id").select("k", F.col("lot_price").cast("double").alias("lot_price"), F.col("winning_price").cast("double").alias("winning_price"), "is_unresolved", F.coalesce("issues", F.lit("")).alias("issues"))
@@ -51,7 +51,7 @@ def unapproved_errors(spark, sf):
     return silver.unapproved(errors, o.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k")), ["k"], F.col("root")).select("k")
 
 
-def notice_families(spark, sf, families=("standard", "vk_adb", "reoffer")):
+def notice_families(spark, sf, families=("standard", "vk_adb", "reoffer"), only=None, fields=("notify_no",)):
     """Notices of three families by order key, or of some of them; a standard one with an even key has its lots in the mirror list as well, with another name. Prices, dates and flags are wrong in turn."""
     k = F.col("o_orderkey")
     lot = lambda no, cost: F.struct(F.lit(no).alias("lotNo"), cost.alias("lotPrice"), F.lit("12").alias("cperiod"), F.lit("VND").alias("lotPriceUnit"))
@@ -65,7 +65,7 @@ def notice_families(spark, sf, families=("standard", "vk_adb", "reoffer")):
     every = F.when(k % 2 == 0, F.array(offer, offer))
     reoffer = obj(id=key(), notifyNo=F.concat(F.lit("T"), key()), lotDTOList=lots("r"), contractorsResult=F.array(offer), contractorsResultAll=every)
     payloads = {"standard": (0, standard), "vk_adb": (1, foreign), "reoffer": (2, reoffer)}
-    return silver.notice_tables({f: bronze(spark, sf, F.when(k % 3 == m, payload)).filter("payload is not null") for f, (m, payload) in payloads.items() if f in families})
+    return silver.notice_tables({f: bronze(spark, sf, F.when(k % 3 == m, payload)).filter("payload is not null") for f, (m, payload) in payloads.items() if f in families}, only, fields)
 
 
 @query("""
@@ -74,7 +74,7 @@ def notice_families(spark, sf, families=("standard", "vk_adb", "reoffer")):
            i AS ordinal, CASE WHEN mirrored THEN 'm' ELSE 'r' END || (i + 1) AS lot_no, CAST(CASE WHEN i = 0 THEN p WHEN k % 5 <> 0 THEN 7.5 END AS DOUBLE) AS lot_price, 'VND' AS currency, '12' AS contract_duration_raw FROM o, LATERAL (VALUES (0), (1)) v(i)""")
 def silver_notice_lots(spark, sf):
     """SLV-9, SLV-11: lots of all three families, of the root or of the mirror list."""
-    out = notice_families(spark, sf)
+    out = notice_families(spark, sf, only=["notice_revision", "notice_lot"])
     heads = out["notice_revision"].select("revision_id", "notify_no", "source_family")
     return out["notice_lot"].drop("notify_no").join(heads.hint("merge"), "revision_id").select("notify_no", "source_family", "source_path", "ordinal", "lot_no", F.col("lot_price").cast("double").alias("lot_price"), "currency", "contract_duration_raw")
 
@@ -84,7 +84,7 @@ def silver_notice_lots(spark, sf):
     (VALUES (0, 'bidpBidLocationList', 'a'), (1, 'lsBidpBidLocationDTO', 'b'), (1, 'bidDetail.bidLocation', 'c')) v(m, source_path, ward_name) ON o_orderkey % 3 = m""")
 def silver_notice_places(spark, sf):
     """SLV-11: places of all three lists; what is no list has none."""
-    out = notice_families(spark, sf, ("standard", "vk_adb"))
+    out = notice_families(spark, sf, ("standard", "vk_adb"), ["notice_revision", "notice_location"])
     return out["notice_location"].join(out["notice_revision"].select("revision_id", "notify_no").hint("merge"), "revision_id").select("notify_no", "source_path", "ordinal", "province_code", "ward_name")
 
 
@@ -94,7 +94,7 @@ def silver_notice_places(spark, sf):
     FROM o JOIN (VALUES ('contractorsResult', 0), ('contractorsResultAll', 0), ('contractorsResultAll', 1)) v(source_path, i) ON source_path = 'contractorsResult' OR k % 2 = 0""")
 def silver_reoffer_submissions(spark, sf):
     """SLV-11: submissions of both lists of a new offer."""
-    out = notice_families(spark, sf, ("reoffer",))
+    out = notice_families(spark, sf, ("reoffer",), ["notice_revision", "notice_reoffer_submission"])
     rows = out["notice_reoffer_submission"].join(out["notice_revision"].select("revision_id", "notify_no").hint("merge"), "revision_id")
     return rows.select("notify_no", "source_path", "ordinal", "contractor_code", F.col("price").cast("double").alias("price"), F.col("offered_at").isNotNull().alias("has_time"), "is_newest")
 
@@ -107,7 +107,7 @@ def silver_reoffer_submissions(spark, sf):
     SELECT path, COUNT(*) AS n FROM x GROUP BY path""")
 def silver_notice_list_issues(spark, sf):
     """SLV-11: each field of a new offer's lists that can't be read is an issue at its place in its list."""
-    return notice_families(spark, sf, ("reoffer",))["quality_issue"].groupBy("path").agg(F.count("*").alias("n"))
+    return notice_families(spark, sf, ("reoffer",), ["quality_issue"])["quality_issue"].groupBy("path").agg(F.count("*").alias("n"))
 
 
 @query("""
@@ -119,7 +119,7 @@ def silver_result_references(spark, sf):
     text = lambda p: F.concat(F.lit(p), key())
     root = F.struct(key().alias("id"), text(" T").alias("notifyNo"), F.when(k % 5 != 0, text("B")).otherwise(" ").alias("bidId"), F.when(k % 7 != 0, text("P")).alias("planNo"), F.when(k % 3 == 0, "7").alias("resultVersion"))
     rows = bronze(spark, sf, obj(bideContractorInputResultDTO=root)).withColumn("source_version", F.when(F.col("source_id").cast("long") % 2 == 0, "1"))
-    out = silver.result_tables(rows)
+    out = silver.result_tables(rows, [])
     heads = out["result_revision"].select("revision_id", "version", F.get_json_object("root_json", "$.id").cast("long").alias("k"))
     return out["record_reference"].join(heads.hint("merge"), "revision_id").select("k", "version", "target", "scheme", "value")
 

@@ -99,3 +99,11 @@ def test_payloads_are_spread_and_never_broadcast(spark):
     for name in ("silver_locations", "silver_package_lots", "silver_result"):
         plan = catalog.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(o_orderkey" in plan and "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_what_is_not_asked_for_is_not_planned(spark):
+    """All issues of a contractor and all of a lot are one pass each: payloads were made and parsed in 13 places of this plan. Tables and fields that nobody asks for are left out."""
+    plan = catalog.queries()["silver_result_issues"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4
+    out = silver.resource(bronze(spark, [{"id": "p1", "bidNo": "B1"}]), silver.PACKAGE, "package", only=["package_revision"], fields=["package_no"])
+    assert list(out) == ["package_revision"] and "package_no" in out["package_revision"].columns and "title" not in out["package_revision"].columns
