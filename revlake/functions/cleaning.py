@@ -6,6 +6,7 @@ times: written out, the fields of one spec become generated methods that are too
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -15,6 +16,8 @@ Ruled = tuple[Column, Column]
 
 # Texts that stand for nothing.
 SENTINELS = ["n/a", "na", "null", "none", "unknown", "undefined", "-", "--", "chưa có", "không có", "không"]
+# The same as one pattern, which Python hands over in one call.
+NAMES_OF_NOTHING = rf"\A(?:{'|'.join(map(re.escape, SENTINELS))})\z"
 REFERENCE_PLACEHOLDERS = ["N/A", "NA", "NULL", "NONE"]
 # Year typos and what they mean.
 FOUR_DIGIT_YEARS = {"0222": "2022", "2222": "2022", "2202": "2022", "2223": "2023", "3023": "2023", "2206": "2026", "2044": "2024", "2035": "2025", "0202": "2022", "0201": "2021"}
@@ -45,7 +48,7 @@ def not_blank(c: Column) -> Column:
 def clean_text(c: Column, *, sentinels: bool = True) -> Column:
     """PRJ-1: trimmed text; blanks and sentinels are null."""
     # Lower-casing is dear: what is longer than all sentinels, or begins with a digit, is none.
-    named = lambda t: (F.length(t) > max(map(len, SENTINELS))) | F.ascii(t).between(48, 57) | ~F.lower(t).isin(SENTINELS)
+    named = lambda t: (F.length(t) > max(map(len, SENTINELS))) | F.ascii(t).between(48, 57) | ~F.lower(t).rlike(NAMES_OF_NOTHING)
     return bind(strip(c.cast("string")), lambda t: F.when((t != "") & named(t) if sentinels else t != "", t))
 
 

@@ -110,7 +110,8 @@ def read_rule(rule: Rule, issues: bool) -> Callable[[Column], Column]:
         args = [x["raw"], x["anchor"]] if rule in DATED else [x["raw"]]
         value, issue = rule(*args)
         repair = [(x["path"], C.date_repair(*args), "info")] if rule in DATED and issues else []
-        return F.struct(value.alias("value"), *([C.issues((x["path"], issue, "warn"), *repair).alias("issues")] if issues else []))
+        # Most fields of a payload are absent; a text that is null has neither value nor issue.
+        return F.when(x["raw"].isNotNull(), F.struct(value.alias("value"), *([C.issues((x["path"], issue, "warn"), *repair).alias("issues")] if issues else [])))
 
     return read
 
@@ -134,7 +135,7 @@ def read_fields(rows: DataFrame, at: Reader, fields: dict[str, Field], path: Cal
         name = f"_read{n}"
         lists[name] = F.transform(F.array(*(item(fields[t]) for t in targets)), read_rule(rule, issues))
         values |= {t: F.get(F.col(name), F.lit(i))["value"] if is_ruled(rule) else F.get(F.col(name), F.lit(i)) for i, t in enumerate(targets)}
-        found += [F.flatten(F.col(name)["issues"])] if is_ruled(rule) and issues else []
+        found += [F.flatten(F.filter(F.col(name)["issues"], lambda x: x.isNotNull()))] if is_ruled(rule) and issues else []
     if issues:
         values["issues"] = F.concat(*found) if found else C.issues()
     return rows.withColumns(lists).withColumns(values).drop(*lists) if fields else rows.withColumns(values)
@@ -173,7 +174,7 @@ def resource(bronze: DataFrame, spec: Spec, name: str, namespace: str = "main",
     # Fields that have to agree in all roots, and with the envelope.
     differ = []
     for p in spec.same_in_roots:
-        values = F.array_distinct(F.filter(F.array(*(C.clean_text(c(p)) for c in copies)), lambda x: x.isNotNull()))
+        values = F.array_distinct(F.filter(F.transform(F.array(*(c(p) for c in copies)), lambda c: C.clean_text(c)), lambda x: x.isNotNull()))
         differ.append(F.when(F.size(values) > 1, p))
     own = {"identity": identity} | ({"named": C.clean_text(of(spec.version_path))} if spec.version_path else {})
     # Columns of a generator are computed once, where a filter on them would compute them again.
@@ -340,13 +341,14 @@ def notice_tables(bronze: dict[str, DataFrame], only: Iterable[str] | None = Non
     """SLV-9..11: the three families of notices, each by its spec, with their lists, united by name; ``only`` and ``fields`` as in ``resource``."""
     out: dict[str, DataFrame] = {}
     for family, df in bronze.items():
-        tables = resource(df, NOTICES[family], f"notice_{family}", carry=("payload",), only=only, fields=fields)
-        # Lists are read out of revisions that have no fields, so theirs aren't planned.
-        bare = resource(df, NOTICES[family], f"notice_{family}", carry=("payload",), only=["notice_revision"], fields=())["notice_revision"]
-        lists, issues = notice_lists(bare, family, only)
+        # Lists are read out of revisions, which need no fields where nobody else asks for them.
+        asked = only is None or "notice_revision" in only
+        tables = resource(df, NOTICES[family], f"notice_{family}", carry=("payload",), only=None if only is None else {*only, "notice_revision"}, fields=fields if asked else ())
+        revision = tables.pop("notice_revision")
+        lists, issues = notice_lists(revision, family, only)
         tables |= lists
-        if "notice_revision" in tables:
-            tables["notice_revision"] = tables["notice_revision"].drop("payload").withColumn("source_family", F.lit(family))
+        if asked:
+            tables["notice_revision"] = revision.drop("payload").withColumn("source_family", F.lit(family))
         if issues:
             more = reduce(DataFrame.unionByName, issues).withColumn("issue_id", C.digest(F.col("observation_id"), F.col("code"), F.col("path")))
             tables["quality_issue"] = tables["quality_issue"].unionByName(more).dropDuplicates(["issue_id"])
