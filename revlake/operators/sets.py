@@ -15,9 +15,11 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SET-3: rows that one side has more often, with ``side``. Counted in one grouping rather than two EXCEPT ALLs."""
-    both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
-    net = both.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
+    """SET-3: rows that one side has more often, with ``side``. Counted in one grouping rather than two EXCEPT ALLs.
+
+    Rows are spread first: a file of one row group is one task, which would hold all its different rows to combine them. Copies of a row from several tasks stay apart, so they are combined before they meet."""
+    both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1))).withColumn("_from", F.spark_partition_id())
+    net = both.repartition(*a.columns, "_from").groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
     return net.withColumn("side", F.when(F.col("_n") > 0, "left").otherwise("right")).withColumn("copies", F.abs("_n")).drop("_n")
 
 

@@ -269,7 +269,7 @@ def keyed_merge(spark, sf):
 def compaction(spark, sf):
     """SNK-10..12: the rows of many files in one, checked as multisets."""
     root = scratch(spark, "compaction")
-    orders(spark, sf).select("o_orderkey", "o_orderstatus", F.lit("r1").alias("run_id")).repartition(7).write.parquet(f"{root}/a")
+    orders(spark, sf).select("o_orderkey", "o_orderstatus", F.lit("r1").alias("run_id")).repartition(7, "o_orderkey").write.parquet(f"{root}/a")
     sinks.compact(spark, f"{root}/a", f"{root}/b", run_id="r2")
     return spark.read.parquet(f"{root}/b").groupBy("run_id", "o_orderstatus").agg(F.count("*").alias("n"))
 
@@ -337,7 +337,7 @@ def keyed_merge(spark, sf):
 def compaction(spark, sf):
     """SNK-10..12: the rows of many files in one, checked as multisets."""
     root = scratch(spark, "compaction")
-    orders(spark, sf).select("o_orderkey", "o_orderstatus", F.lit("r1").alias("run_id")).repartition(7).write.parquet(f"{root}/a")
+    orders(spark, sf).select("o_orderkey", "o_orderstatus", F.lit("r1").alias("run_id")).repartition(7, "o_orderkey").write.parquet(f"{root}/a")
     sinks.compact(spark, f"{root}/a", f"{root}/b", run_id="r2")
     return spark.read.parquet(f"{root}/b").groupBy("run_id", "o_orderstatus").agg(F.count("*").alias("n"))
 

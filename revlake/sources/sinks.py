@@ -109,12 +109,14 @@ def compaction_candidates(df: DataFrame, day: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, source: str, target: str, *, target_bytes: int = 256 << 20, run_id: str | None = None) -> int:
-    """SNK-10: the rows of ``source`` in few files of about ``target_bytes``, zstd; ``run_id`` is rewritten, all else untouched, which is checked."""
+    """SNK-10: the rows of ``source`` in few files of about ``target_bytes``, zstd; ``run_id`` is rewritten, all else untouched, which is checked.
+
+    Rows go to files by their places: dealing them out in turns would sort all rows of a task first."""
     df = spark.read.parquet(source)
     size = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct().agg(F.sum("s")).first()[0] or 0
     files = max(1, math.ceil(size / target_bytes))
     out = df.withColumn("run_id", F.lit(run_id)) if run_id and "run_id" in df.columns else df
-    out.repartition(files).write.option("compression", "zstd").parquet(target)
+    out.repartition(files, F.col("_metadata.file_path"), F.col("_metadata.row_index")).write.option("compression", "zstd").parquet(target)
     if not multiset_equal(df, spark.read.parquet(target), ["run_id"] if run_id else []):
         raise ValueError("compaction changed rows")
     return files

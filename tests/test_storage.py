@@ -68,3 +68,19 @@ def test_incremental_equals_rebuild(spark):
 def test_replay_refuses_a_wrong_before_image(spark, days):
     with pytest.raises(Exception, match="before-image"):
         sets.replace_rows(days, days.withColumn("x", F.lit(99)), days).collect()
+
+
+def test_differences_are_counted_after_rows_are_spread(spark):
+    one = spark.createDataFrame([(1, None), (1, None), (2, "b"), (3, "c")], "x int, y string").coalesce(1)
+    plan = sets.symmetric_difference(one, one)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert any("REPARTITION_BY_COL" in line for line in plan[next(i for i, line in enumerate(plan) if "partial_sum" in line) :])
+    other = spark.createDataFrame([(1, None), (2, "b"), (2, "b")], "x int, y string")
+    assert rows_of(sets.symmetric_difference(one, other))[1] == sorted(map(repr, [(1, "left", 1, None), (1, "left", 3, "c"), (1, "right", 2, "b")]))
+
+
+def test_compaction_into_several_files_keeps_hot_rows(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(1000, numPartitions=1).select((F.col("id") % 2).alias("x"), F.lit("r1").alias("run_id")).write.parquet(source)
+    files = sinks.compact(spark, source, target, target_bytes=300, run_id="r2")
+    sizes = [r["n"] for r in spark.read.parquet(target).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == files > 1 and sum(sizes) == 1000 and max(sizes) < 1000 / files * 1.5
