@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlake.functions.cleaning import not_blank
+from revlake.operators.graph import scratch
 
 #: Rows that a policy table may have to be broadcast; a larger one goes by the plain join.
 BROADCAST_ROWS = 100_000
@@ -16,22 +17,38 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written once and read back, for broadcasting if it is small: what few rows are needed for then isn't shuffled to meet them."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return bounded(df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def wanted(target: DataFrame, key: str, rows: DataFrame) -> DataFrame:
+    """The rows of ``target`` whose key ``rows`` has, settled. Where many rows name few keys, a join with them shuffles none of the many."""
+    return settled(target.join(rows.select(key).distinct(), key, "left_semi"), "wanted")
+
+
 def resolve(left: DataFrame, target: DataFrame, *, id_col: str, code_col: str, entity: str, raw_id: str | None, target_code: str, prefix: str = "ref") -> DataFrame:
     """JN-1: ``left`` with ``<prefix>_entity`` and ``<prefix>_state``.
 
     An id that names one entity wins; an id that names several is ambiguous and never falls back; without an id match, a code that names one
-    entity is used. The maps are grouped first, so each join has at most one match a row."""
+    entity is used. The maps are grouped first, so each join has at most one match a row. Distinct pairs of id and code are resolved, not
+    rows, so rows are joined once, and aren't shuffled where there are few pairs."""
     ids = target.select(F.col(entity).cast("string").alias("_id"), F.col(entity).alias("_e"))
     if raw_id:
         ids = ids.unionByName(target.select(F.col(raw_id).cast("string").alias("_id"), F.col(entity).alias("_e")))
     by_id = ids.filter(not_blank(F.col("_id"))).groupBy("_id").agg(F.countDistinct("_e").alias("_n_id"), F.min("_e").alias("_by_id"))
     codes = target.select(F.col(target_code).alias("_code"), F.col(entity).alias("_e")).filter(not_blank(F.col("_code")))
     by_code = codes.groupBy("_code").agg(F.countDistinct("_e").alias("_n_code"), F.min("_e").alias("_by_code"))
-    both = left.join(by_id, F.col(id_col).cast("string") == F.col("_id"), "left").join(by_code, F.col(code_col) == F.col("_code"), "left")
+    pairs = left.select(F.col(id_col).cast("string").alias("_own_id"), F.col(code_col).alias("_own_code")).distinct()
+    both = pairs.join(by_id, F.col("_own_id") == F.col("_id"), "left").join(by_code, F.col("_own_code") == F.col("_code"), "left")
     no_id = F.coalesce(F.col("_n_id"), F.lit(0)) == 0
     found = F.when(F.col("_n_id") == 1, F.col("_by_id")).when(no_id & (F.col("_n_code") == 1), F.col("_by_code"))
     state = F.when(F.col("_n_id") == 1, "id").when(F.col("_n_id") > 1, "ambiguous").when(F.col("_n_code") == 1, "code").when(F.col("_n_code") > 1, "ambiguous").otherwise("unresolved")
-    return both.withColumns({f"{prefix}_entity": found, f"{prefix}_state": state}).drop("_id", "_n_id", "_by_id", "_code", "_n_code", "_by_code")
+    resolved = settled(both.select("_own_id", "_own_code", found.alias(f"{prefix}_entity"), state.alias(f"{prefix}_state")), "resolved")
+    same = F.col(id_col).cast("string").eqNullSafe(F.col("_own_id")) & F.col(code_col).eqNullSafe(F.col("_own_code"))
+    return left.join(resolved, same, "left").drop("_own_id", "_own_code")
 
 
 def minted_key(prefix: str, entity: Column, state: Column, text: Column) -> Column:

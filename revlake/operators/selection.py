@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlake.operators.references import settled
+
 
 def version_number(c: Column) -> Column:
     """WIN-2: the first digits of a version text, so that version 10 follows version 2."""
@@ -31,6 +33,15 @@ def overlap_count(df: DataFrame, keys: list[str], name: str = "decisions") -> Da
     return df.join(df.groupBy(*keys).agg(F.count("*").alias(name)), keys)
 
 
+def rare_overlap_count(df: DataFrame, keys: list[str], name: str = "decisions") -> DataFrame:
+    """WIN-4 where few rows share their keys: hashes of keys are counted, and of rows whose hash occurs again the keys themselves, so neither rows nor long keys are shuffled."""
+    known = df.dropna(subset=keys)
+    hashed = known.select(*keys, F.xxhash64(*keys).alias("_h"))
+    again = settled(hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h"), "again")
+    shared = settled(hashed.join(again, "_h", "left_semi").groupBy(*keys).agg(F.count("*").alias(name)), "shared")
+    return known.join(shared, keys, "left").withColumn(name, F.coalesce(name, F.lit(1).cast("long")))
+
+
 def last_of_period(df: DataFrame, period: str, day: str = "report_date") -> DataFrame:
     """WIN-6: rows of the last observed day of each period. The maxima are a few rows per year."""
     at = F.date_trunc(period, F.col(day))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from revlake.functions.amounts import norm_bid_price, recover_award_amount
 from revlake.operators import policies as P
-from revlake.operators.references import known_first, minted_key, resolve, unique_lookup
-from revlake.operators.selection import first_by, joined_set, latest, only_value, order, overlap_count, tie_conflict, version_number
+from revlake.operators.references import known_first, minted_key, resolve, unique_lookup, wanted
+from revlake.operators.selection import first_by, joined_set, latest, only_value, order, rare_overlap_count, tie_conflict, version_number
 
 MONEY = "decimal(38,6)"
 # Source states.
@@ -161,19 +161,27 @@ def location_bridge(places: DataFrame, keys: DataFrame) -> DataFrame:
     return places.join(keys.select("revision_id", "location_set_key"), "revision_id").select("location_set_key", "province_code").filter("province_code is not null").distinct()
 
 
-def tender_notice(notices: DataFrame, demand_rows: DataFrame, places: DataFrame) -> DataFrame:
-    """BIZ-15: one row per notice: preparation hours, cancellation, and the demand's keys where the notice has none."""
+def named_demand(demand_rows: DataFrame, rows: DataFrame) -> DataFrame:
+    """The demand of packages that ``rows`` name. Keys that were minted for want of one package name none."""
+    none = F.col("package_key").startswith("PKG_UNRESOLVED:") | F.col("package_key").startswith("PKG_AMBIGUOUS:")
+    return wanted(demand_rows, "package_key", rows.filter(~none))
+
+
+def tender_notice(notices: DataFrame, demand_rows: DataFrame, places: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """BIZ-15: one row per notice: preparation hours, cancellation, and the demand's keys where the notice has none. ``keep`` are columns of the notices to have beside."""
     rows = notices.join(places, "revision_id", "left").withColumnRenamed("geography_key", "_own_geo").join(demand_rows.select("package_key", F.col("geography_key").alias("_geo"), "sector_key", "method_key", F.col("currency_key").alias("_cur")), "package_key", "left")
     hours = F.when(F.col("bid_close_date") >= F.col("published_at"), F.round((F.unix_seconds("bid_close_date") - F.unix_seconds("published_at")) / 3600, 2).cast(MONEY))
     cancelled = F.col("cancel_date").isNotNull() | F.upper(F.coalesce("status_raw", F.lit(""))).isin(CANCELLED)
-    return rows.select("notice_business_key", "round_business_key", "package_key", F.coalesce("sector_key", F.concat(F.lit("SEC_"), F.coalesce(_filled("bid_field"), F.lit("UNKNOWN")))).alias("sector_key"), F.coalesce("method_key", F.lit("METHOD_UNKNOWN")).alias("method_key"), known_first("GEO_UNKNOWN", F.col("_own_geo"), F.col("_geo"), F.lit("GEO_UNKNOWN")).alias("geography_key"), "source_family", "published_at", F.to_date("published_at").alias("published_date"), F.col("bid_close_date").alias("close_at"), F.to_date("bid_close_date").alias("close_date"), hours.alias("preparation_hours"), F.when(_filled("guarantee_currency").isNotNull(), currency_key("guarantee_currency")).otherwise(F.coalesce("_cur", F.lit("CUR_UNKNOWN"))).alias("guarantee_currency_key"), F.when(cancelled, "cancelled").otherwise("none").alias("cancellation_state"), "cancel_reason", F.to_date("cancel_date").alias("cancel_date"), F.concat(F.lit("EVD:NOTICE:"), "revision_id").alias("evidence_set_key"))
+    return rows.select("notice_business_key", "round_business_key", "package_key", F.coalesce("sector_key", F.concat(F.lit("SEC_"), F.coalesce(_filled("bid_field"), F.lit("UNKNOWN")))).alias("sector_key"), F.coalesce("method_key", F.lit("METHOD_UNKNOWN")).alias("method_key"), known_first("GEO_UNKNOWN", F.col("_own_geo"), F.col("_geo"), F.lit("GEO_UNKNOWN")).alias("geography_key"), "source_family", "published_at", F.to_date("published_at").alias("published_date"), F.col("bid_close_date").alias("close_at"), F.to_date("bid_close_date").alias("close_date"), hours.alias("preparation_hours"), F.when(_filled("guarantee_currency").isNotNull(), currency_key("guarantee_currency")).otherwise(F.coalesce("_cur", F.lit("CUR_UNKNOWN"))).alias("guarantee_currency_key"), F.when(cancelled, "cancelled").otherwise("none").alias("cancellation_state"), "cancel_reason", F.to_date("cancel_date").alias("cancel_date"), F.concat(F.lit("EVD:NOTICE:"), "revision_id").alias("evidence_set_key"), *keep)
 
 
 def award_items(results: DataFrame, lots: DataFrame, notices: DataFrame) -> DataFrame:
-    """BIZ-16: one item per lot of a result, or one for the whole package where it has no lot."""
-    rounds = notices.groupBy("notify_no").agg(F.count("*").alias("_n"), F.min("round_business_key").alias("_round")).filter("_n = 1").drop("_n")
+    """BIZ-16: one item per lot of a result, or one for the whole package where it has no lot. Where ``notices`` have a geography (BIZ-15), items keep the round and the
+    geography of their one notice, so that BIZ-23 need not look for it again."""
+    own = {"round_business_key": "round_business_key", "geography_key": "notice_geography_key"} if "geography_key" in notices.columns else {}
+    rounds = notices.groupBy("notify_no").agg(F.count("*").alias("_n"), F.min("round_business_key").alias("_round"), *(F.min(c).alias(name) for c, name in own.items())).filter("_n = 1").drop("_n")
     r = results.join(rounds, "notify_no", "left").withColumn("_round", F.coalesce("_round", F.concat(F.lit("RESULT:"), "entity_id")))
-    head = ["revision_id", "package_key", "status_raw", "notify_no"]
+    head = ["revision_id", "package_key", "status_raw", "notify_no", *own.values()]
     dates = [F.col("public_date").alias("award_published_date"), F.col("decision_date").alias("award_decision_date")]
     each = lots.filter(_filled("lot_no").isNotNull()).select("revision_id", "award_lot_id", "lot_no", "source_lot_id", F.col("winning_price").alias("_won"), "lot_price", "lot_currency")
     ident = F.coalesce(_filled("source_lot_id"), F.concat(F.lit("REVISION:"), "award_lot_id"))
@@ -199,7 +207,7 @@ def recipient_summary(won: DataFrame) -> DataFrame:
 
 def resolved_awards(items: DataFrame, summary: DataFrame, demand_rows: DataFrame) -> DataFrame:
     """BIZ-19: amounts repaired against a baseline, state of each award, and whether its amount may be summed."""
-    rows = overlap_count(items, ["package_key", "scope_key"]).join(summary, "award_business_key", "left").join(demand_rows.select("package_key", "planned_package_amount"), "package_key", "left")
+    rows = rare_overlap_count(items, ["package_key", "scope_key"]).join(summary, "award_business_key", "left").join(demand_rows.select("package_key", "planned_package_amount"), "package_key", "left")
     positive = lambda c: F.when(F.col(c) > 0, F.col(c))
     rows = rows.withColumn("baseline", F.coalesce(positive("lot_price"), F.when(F.col("award_lot_id").isNull(), positive("planned_package_amount"))))
     rows = rows.withColumns({"award_amount": recover_award_amount(F.col("raw_amount"), F.col("baseline")), "winner_count": F.coalesce("winner_count", F.lit(0))})
@@ -240,16 +248,25 @@ def recipient_bridge(won: DataFrame, summary: DataFrame) -> DataFrame:
     return rows.select("award_business_key", party.alias("party_key"), share.alias("allocated_percent")).distinct()
 
 
+def award_evidence() -> Column:
+    return F.concat(F.lit("EVD:AWARD:"), "revision_id")
+
+
 def fact_award(awards: DataFrame, demand_rows: DataFrame, notices: DataFrame) -> DataFrame:
     """BIZ-23: awards with their keys; the demand's geography unless it is unknown, then the notice's."""
     d = demand_rows.select("package_key", F.col("geography_key").alias("_d"), "sector_key", "method_key", "relationship_state", F.col("planned_package_amount").alias("_planned"), F.col("package_published_date").alias("_planned_on"), F.col("currency_key").alias("_planned_cur"))
-    once = notices.groupBy("notify_no").agg(F.count("*").alias("_k"), F.min("geography_key").alias("_n"), F.min("round_business_key").alias("round_business_key")).filter("_k = 1").drop("_k") if "notify_no" in notices.columns else None
     rows = awards.join(d, "package_key", "left")
-    rows = rows.join(once, "notify_no", "left") if once is not None else rows.withColumns({"_n": F.lit(None).cast("string"), "round_business_key": F.lit(None).cast("string")})
+    if "notice_geography_key" in awards.columns:
+        rows = rows.withColumnRenamed("notice_geography_key", "_n")
+    elif "notify_no" in notices.columns:
+        once = notices.groupBy("notify_no").agg(F.count("*").alias("_k"), F.min("geography_key").alias("_n"), F.min("round_business_key").alias("round_business_key")).filter("_k = 1").drop("_k")
+        rows = rows.join(once, "notify_no", "left")
+    else:
+        rows = rows.withColumns({"_n": F.lit(None).cast("string"), "round_business_key": F.lit(None).cast("string")})
     none = F.col("winner_count") == 0
     state = F.when(none, "no_winner").when(F.col("has_consortium"), "unallocated_consortium").when(F.col("winner_count") == 1, "single_recipient").otherwise("independent_winners")
     recipient = F.when(none, "REC_NONE").when(F.col("has_consortium"), F.coalesce(F.concat(F.lit("CON:"), "sample_venture_code"), F.lit("REC_CONSORTIUM"))).when(F.col("winner_count") == 1, F.coalesce(F.concat(F.lit("PARTY:"), "sample_party_code"), F.lit("PARTY_UNKNOWN"))).otherwise("REC_MULTIPLE_INDEPENDENT")
-    return rows.withColumns({"geography_key": known_first("GEO_UNKNOWN", F.col("_d"), F.col("_n"), F.lit("GEO_UNKNOWN")), "currency_key": currency_key("currency"), "sector_key": F.coalesce("sector_key", F.lit("SEC_UNKNOWN")), "method_key": F.coalesce("method_key", F.lit("METHOD_UNKNOWN")), "recipient_allocation_state": state, "recipient_set_key": recipient, "evidence_set_key": F.concat(F.lit("EVD:AWARD:"), "revision_id")}).drop("_d", "_n")
+    return rows.withColumns({"geography_key": known_first("GEO_UNKNOWN", F.col("_d"), F.col("_n"), F.lit("GEO_UNKNOWN")), "currency_key": currency_key("currency"), "sector_key": F.coalesce("sector_key", F.lit("SEC_UNKNOWN")), "method_key": F.coalesce("method_key", F.lit("METHOD_UNKNOWN")), "recipient_allocation_state": state, "recipient_set_key": recipient, "evidence_set_key": award_evidence()}).drop("_d", "_n")
 
 
 def evidence_bridge(facts: dict[str, DataFrame]) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 from decimal import Decimal
 
+from conftest import rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,3 +53,20 @@ def test_dimensions_of_batches(spark):
     places = spark.createDataFrame([(" 9", "Nine"), ("9", "Neuf"), ("x", "Ex "), ("1", "no"), ("", "none"), (None, None)], "province_code string, province_name string")
     got = business.dim_geography(known, canonical, places, canonical.select(F.col("province_code").alias("raw_code")))
     assert {tuple(r) for r in got.collect()} == {("GEO_1", "1", "One", "North"), ("GEO_9", "9", None, None), ("GEO_X", "X", "Ex", None)}
+
+
+def test_few_references_are_resolved_without_shuffling_rows(spark):
+    from revlake.operators import references, selection
+
+    target = spark.createDataFrame([("e1", "c1"), ("e2", "c2"), ("e3", "c2")], "e string, code string")
+    left = spark.createDataFrame([(1, "e1", None), (2, None, "c1"), (3, None, "c2"), (4, None, None), (5, "x", "c1"), (6, "e1", None)], "k int, id string, code string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = references.resolve(left, target, id_col="id", code_col="code", entity="e", raw_id=None, target_code="code")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().sparkPlan().toString()
+        assert sorted((r["k"], r["ref_entity"], r["ref_state"]) for r in got.collect()) == [(1, "e1", "id"), (2, "e1", "code"), (3, None, "ambiguous"), (4, None, "unresolved"), (5, "e1", "code"), (6, "e1", "id")]
+        for keys in (["code"], ["id", "code"]):
+            assert rows_of(selection.rare_overlap_count(left, keys)) == rows_of(selection.overlap_count(left, keys))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
