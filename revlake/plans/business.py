@@ -360,8 +360,11 @@ def opening_context(openings: DataFrame, notices: DataFrame, demand_rows: DataFr
 
 
 def submission_summary(submissions: DataFrame, context: DataFrame) -> DataFrame:
-    """BIZ-35: bidders, results, discounts and amounts of each opening, prices repaired against its baseline."""
-    rows = submissions.join(context.select("revision_id", "baseline"), "revision_id", "left").withColumns({"bid": norm_bid_price(F.col("bid_price"), F.col("baseline")), "final": norm_bid_price(F.col("final_bid_price"), F.col("baseline"))})
+    """BIZ-35: bidders, results, discounts and amounts of each opening, prices repaired against its baseline.
+
+    Submissions are dealt over all shuffle partitions: all steps up to the summary are one task a partition, which holds much more than it reads, so partitions are not to be put together by what they read."""
+    dealt = submissions.repartition(int(submissions.sparkSession.conf.get("spark.sql.shuffle.partitions")), "revision_id")
+    rows = dealt.join(context.select("revision_id", "baseline"), "revision_id", "left").withColumns({"bid": norm_bid_price(F.col("bid_price"), F.col("baseline")), "final": norm_bid_price(F.col("final_bid_price"), F.col("baseline"))})
     off = F.col("bid") > F.col("final")
     zero = F.lit(0).cast(MONEY)
     total = lambda c: F.coalesce(F.sum(c), zero).cast(MONEY)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from revlake.operators import ledger, profiling
 from revlake.operators.graph import scratch
 from revlake.plans import business, facts, reporting
+from revlake.plans.business_queries import stored
 from revlake.plans.catalog import query, table
 from revlake.plans.fact_queries import _BIDS, _DEMAND, _ROUNDS, END, START, daily_fact_competition, daily_fact_duration, daily_fact_notice, demand, demand_fact
 from revlake.plans.rows_queries import orders
@@ -45,7 +46,7 @@ def measure_duration(spark, sf):
     SELECT CAST(date_trunc('year', d) AS DATE) AS report_year, COUNT(*) FILTER (t > b) AS tech_over_bidders, CAST(0 AS BIGINT) AS money_identity_off FROM f GROUP BY 1""")
 def measure_anomalies(spark, sf):
     """MEA-10: groups with more technical results than bidders; groups whose amounts don't add up, of which there are none as prices are repaired before."""
-    fact = daily_fact_competition(spark, sf).withColumn("report_year", F.trunc("report_date", "year"))
+    fact = stored(daily_fact_competition(spark, sf), "competition").withColumn("report_year", F.trunc("report_date", "year"))
     star = {"fact_bidding_competition_daily": fact}
     return reporting.measure(star, "tech_over_bidders", ["report_year"]).join(reporting.measure(star, "money_identity_off", ["report_year"]), "report_year")
 

@@ -70,3 +70,11 @@ def test_few_references_are_resolved_without_shuffling_rows(spark):
             assert rows_of(selection.rare_overlap_count(left, keys)) == rows_of(selection.overlap_count(left, keys))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_submissions_are_dealt_over_all_partitions(spark):
+    context = spark.createDataFrame([("r1", None)], "revision_id string, baseline decimal(38,6)")
+    one = spark.createDataFrame([("r1", "a", None, "1", None, None, "1", None)], "revision_id string, contractor_code string, contractor_name string, submission_id string, bid_price decimal(38,6), final_bid_price decimal(38,6), tech_result string, discount_rate double")
+    summary = business.submission_summary(one, context)
+    assert "REPARTITION_BY_NUM" in summary._jdf.queryExecution().sparkPlan().toString()
+    assert [(r["bidders"], r["tech_passed_count"]) for r in summary.collect()] == [(1, 1)]
