@@ -18,3 +18,13 @@ def test_fields_are_read_in_one_pass(spark, name):
 def test_openings_are_parsed_once_a_scan(spark, name):
     plan = catalog.queries()[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("parse_json(") + plan.count("parseJson") <= 4
+
+
+def through_driver(spark, name):
+    """Broadcasts in a query's plan: what they send goes through the driver whole."""
+    return catalog.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+@pytest.mark.parametrize("name", ["opening_lots"])
+def test_payloads_are_not_broadcast(spark, name):
+    assert through_driver(spark, name) == 0
