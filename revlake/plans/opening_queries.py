@@ -109,10 +109,6 @@ def made(rows, payload):
     return out.withColumn("content_hash", F.sha2("payload", 256))
 
 
-def of_source(df, seen):
-    return df.join(seen.select("revision_id", "source_id"), "revision_id")
-
-
 @query(f"""
     WITH l AS ({LINES})
     SELECT CAST(k AS VARCHAR) AS source_id, i AS ordinal, CASE WHEN s % 7 <> 0 THEN 'C' || s END AS contractor_code, CAST(CASE WHEN q % 4 <> 0 THEN price END AS DOUBLE) AS bid_price, CAST(CASE WHEN q < 45 THEN q END AS DOUBLE) AS tech_score, s % 7 <> 0 AS accepted,
@@ -122,7 +118,7 @@ def opening_submissions(spark, sf):
     line = text('{"id":"S<i>","contractorCode":"<c>","bidPrice":"<p>","techScore":<t>}', i=F.col("i"), c=F.when(F.col("s") % 7 != 0, F.concat(F.lit("C"), F.col("s").cast("string"))).otherwise(" "), p=F.when(F.col("q") % 4 == 0, F.concat(F.col("price").cast("string"), F.lit("55555"))).otherwise(F.col("price").cast("string")), t=F.when(F.col("q") >= 45, "1234567890123.5").otherwise(F.col("q").cast("string")))
     rows = with_lines(spark, sf, line)
     seen = openings.read(made(rows, text("{" + NOTICE + "," + ROUND + ',"bid_open":' + LIST + ',"lot_open_detail":[]}', **columns(subs=F.col("subs")))))
-    out = of_source(openings.submissions(openings.phases(seen.filter("root is not null"))), seen)
+    out = openings.submissions(openings.phases(seen.filter("root is not null"), carry=SOURCE), carry=SOURCE)
     shown = lambda c: F.when(F.col("accepted"), F.col(c)).otherwise(F.col(c)).cast("double").alias(c)
     return out.select("source_id", F.col("ordinal").cast("long").alias("ordinal"), "contractor_code", shown("bid_price"), shown("tech_score"), "accepted", F.array_join("issues.code", ",").alias("codes"))
 
