@@ -79,9 +79,8 @@ def opening_phases(spark, sf):
     """SLV-22: a list that was not fetched, is missing, null or there."""
     states = ["null", '{"bidSubmissionByContractorViewResponse":null}', '{"bidSubmissionByContractorViewResponse":{"bidSubmissionDTOList":null}}', '{"bidSubmissionByContractorViewResponse":7}', '{"bidSubmissionByContractorViewResponse":{"bidSubmissionDTOList":{}}}', FREE]
     payload = chosen(F.col(K) % 6, ["{" + NOTICE + "," + ROUND + ',"bid_open_technical":' + s + ',"lot_open_detail_technical":[]}' for s in states], **columns())
-    rows = openings.phases(openings.read(bronze(spark, sf, payload)).filter("root is not null"))
-    ids = openings.read(bronze(spark, sf, payload)).select("revision_id", "source_id")
-    return rows.join(ids, "revision_id").select("source_id", "phase", "submission_shape", "reported_contractor_count", F.array_join("issues.code", ",").alias("codes"))
+    rows = openings.phases(openings.read(bronze(spark, sf, payload)).filter("root is not null"), carry=SOURCE)
+    return rows.select("source_id", "phase", "submission_shape", "reported_contractor_count", F.array_join("issues.code", ",").alias("codes"))
 
 
 #: Lines of orders, numbered within their order.

@@ -25,6 +25,6 @@ def through_driver(spark, name):
     return catalog.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
 
 
-@pytest.mark.parametrize("name", ["opening_submissions", "opening_lots"])
+@pytest.mark.parametrize("name", ["opening_phases", "opening_submissions", "opening_lots"])
 def test_payloads_are_not_broadcast(spark, name):
     assert through_driver(spark, name) == 0
