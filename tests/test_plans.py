@@ -1,7 +1,10 @@
 """What plans must not do: parse a payload once for each use of each of its fields."""
 
+from pathlib import Path
+
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from revlake.plans import catalog
 
@@ -28,3 +31,16 @@ def through_driver(spark, name):
 @pytest.mark.parametrize("name", ["opening_phases", "opening_submissions", "opening_lots"])
 def test_payloads_are_not_broadcast(spark, name):
     assert through_driver(spark, name) == 0
+
+
+def test_openings_store_no_digests(spark):
+    """Digests don't compress: tables that hold some for each lot take many times the disk of the input."""
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.glob("openings-*"))
+    catalog.queries()["opening_reconciliation"](spark, DATA)
+    (folder,) = set(base.glob("openings-*")) - before
+    for path in sorted(folder.iterdir()):
+        df = spark.read.parquet(str(path))
+        texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+        found = df.select(*(F.max(F.col(c).rlike("^[0-9a-f]{64}$")).alias(c) for c in texts)).first().asDict()
+        assert not [c for c, digest in found.items() if digest], path.name
